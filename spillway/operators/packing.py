@@ -209,18 +209,24 @@ def assemble(packed: DataFrame, domain: Sequence[str], entry: str = "entry") ->
     )
 
 
-def halve(pos: Column, n: Column, limit: int) -> tuple[Column, Column]:
-    """(first position, size) of the piece an entry ends in when every piece above ``limit`` is halved.
+def halve(entries: DataFrame, pos: str, n: str, limit: int) -> DataFrame:
+    """Add ``piece`` (its first position) and ``size`` when every piece above ``limit`` is halved.
 
-    A batch holds at most 100 entries, so seven rounds always suffice.
+    A batch holds at most 100 entries, so seven rounds always suffice; each is
+    a projection, nothing is shuffled.
     """
-    low, size = F.lit(0).cast("bigint"), n
+    out = entries.withColumn("piece", F.lit(0).cast("bigint")).withColumn("size", F.col(n))
     for _ in range(7):
-        half = F.floor((size + 1) / 2).cast("bigint")
-        split = size > limit
-        right = split & (pos - low >= half)
-        low, size = (
-            F.when(right, low + half).otherwise(low),
-            F.when(~split, size).when(right, size - half).otherwise(half),
+        half = F.floor((F.col("size") + 1) / 2).cast("bigint")
+        out = out.withColumn("_half", F.when(F.col("size") > limit, half)).withColumn(
+            "_right", F.coalesce(F.col(pos) - F.col("piece") >= F.col("_half"), F.lit(False))
         )
-    return low, size
+        out = out.withColumns(
+            {
+                "piece": F.when(F.col("_right"), F.col("piece") + F.col("_half")).otherwise(F.col("piece")),
+                "size": F.when(F.col("_right"), F.col("size") - F.col("_half")).otherwise(
+                    F.coalesce("_half", "size")
+                ),
+            }
+        ).drop("_half", "_right")
+    return out

@@ -89,7 +89,7 @@ def source_union(spark, d):
 
 
 RUN_BASE = """
-entries AS (SELECT 'r' || (o_orderkey % 2) AS run, o_orderkey AS line, pos, 42 + length(CAST(o_orderkey AS VARCHAR)) AS sz
+entries AS (SELECT 'r' || (o_orderkey % 2) AS run, o_orderkey AS line, pos, 35 + length(CAST(o_orderkey AS VARCHAR)) AS sz
   FROM orders, (VALUES (0), (1), (2)) AS p(pos) WHERE o_orderkey % 10 > 1 AND pos <= o_orderkey % 3),
 base AS (SELECT run, line, pos, sz, 0 AS sec, row_number() OVER (PARTITION BY run ORDER BY line, pos) - 1 AS rn FROM entries)"""
 RUN_BATCHES = """,
@@ -120,11 +120,11 @@ def _run_responses(spark, d):
 
 def _drained(spark, d):
     return drain_dead_letters(
-        _run_lines(spark, d), _run_responses(spark, d), ["run"], ["line"], batch_size=40, max_bytes=1600
+        _run_lines(spark, d), _run_responses(spark, d), ["run"], ["line"], batch_size=40, max_bytes=1500
     )
 
 
-@query("drain_report", pack_sql(RUN_BASE, ["run"], 40, size=1600) + RUN_BATCHES + """,
+@query("drain_report", pack_sql(RUN_BASE, ["run"], 40, size=1500) + RUN_BATCHES + """,
 h AS (SELECT *, NOT (run = 'r1' AND batch_no >= 60) AS handled FROM batches)
 SELECT run, CAST(count(*) FILTER (WHERE handled AND batch_no % 7 < 5) AS BIGINT) AS batches_sent,
   CAST(coalesce(sum(n) FILTER (WHERE handled AND batch_no % 7 < 5), 0) AS BIGINT) AS entries_sent,
@@ -138,7 +138,7 @@ def drain_report(spark, d):
     return report.withColumn("remainder", F.col("remainder").cast("bigint"))
 
 
-@query("drain_unsent", pack_sql(RUN_BASE, ["run"], 40, size=1600) + RUN_BATCHES + """
+@query("drain_unsent", pack_sql(RUN_BASE, ["run"], 40, size=1500) + RUN_BATCHES + """
 SELECT run, batch_no, n AS n_entries, n_bytes FROM batches WHERE run = 'r1' AND batch_no >= 60
 """)
 def drain_unsent(spark, d):
@@ -203,7 +203,7 @@ def _repacked(spark, d):
     )
     return rebatch_backlog(
         A.backlog(spark, d), pacing.queue_state(target), F.lit(A.NOON).cast("bigint"),
-        chunk=CHUNK, rate=600, max_ahead_min=5, batch_size=60, max_bytes=2000,
+        chunk=CHUNK, rate=100, max_ahead_min=25, batch_size=60, max_bytes=2000,
     )
 
 
@@ -212,17 +212,17 @@ batches AS (SELECT queue, chunk, batch_start, count(*) AS n_entries, CAST(sum(sz
 per AS (SELECT queue, chunk, count(*) AS jobs, CAST(sum(n_entries) AS BIGINT) AS entries, count(*) FILTER (WHERE NOT own) AS returned FROM chunked GROUP BY ALL),
 target AS (SELECT 'backlog-' || (o_custkey % 2) AS queue, count(*) AS waiting, max({A.NOON} + o_orderkey % 600) AS last_due
   FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL),
-start AS (SELECT queue, greatest(0, waiting * 60 // 600, last_due - {A.NOON} + 60 // 600) AS start_in FROM target),
+start AS (SELECT queue, greatest(0, waiting * 60 // 100, last_due - {A.NOON} + 60 // 100) AS start_in FROM target),
 placed AS (SELECT per.*, start_in, (SELECT count(*) FROM batches b WHERE b.queue = per.queue AND b.chunk = per.chunk) AS n_batches,
    (SELECT count(*) FROM batches b WHERE b.queue = per.queue AND b.chunk < per.chunk) AS first_batch FROM per JOIN start USING (queue)),
-claimed AS (SELECT * FROM placed WHERE start_in + 60 * first_batch // 600 <= 300)"""
+claimed AS (SELECT * FROM placed WHERE start_in + 60 * first_batch // 100 <= 1500)"""
 
 
 @query("repack_schedule", REPACK_SQL + f""",
 numbered AS (SELECT b.*, start_in, first_batch + row_number() OVER (PARTITION BY b.queue, b.chunk ORDER BY batch_start) - 1 AS batch_no
   FROM batches b JOIN claimed USING (queue, chunk))
-SELECT queue, chunk, CAST(batch_start AS BIGINT) AS batch_start, batch_no, n_entries, n_bytes, start_in + 60 * batch_no // 600 AS due_in,
-       {A.NOON} + start_in + 60 * batch_no // 600 + 3600 AS retry_deadline FROM numbered
+SELECT queue, chunk, CAST(batch_start AS BIGINT) AS batch_start, batch_no, n_entries, n_bytes, start_in + 60 * batch_no // 100 AS due_in,
+       {A.NOON} + start_in + 60 * batch_no // 100 + 3600 AS retry_deadline FROM numbered
 """)
 def repack_schedule(spark, d):
     return _repacked(spark, d).batches

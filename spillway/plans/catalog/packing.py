@@ -32,27 +32,26 @@ def pack_sql(base: str, dom: list[str], n: int, size: int | None = None, age: in
     """
     keys = ", ".join(dom)
     on = lambda x, y: " AND ".join(f"{x}.{c} = {y}.{c}" for c in dom)
-    a_keys = ", ".join(f"a.{c}" for c in dom)
-    ends = [f"a.rn + {n}"]
-    joins = ""
+    ends = [f"rn + {n}"]
     if size is not None:
-        ends.append("greatest(coalesce(o.rn, 9000000000), a.rn + 1)")
-        joins += f" ASOF LEFT JOIN pre o ON {on('a', 'o')} AND a.e - a.sz + {size} < o.e"
+        # Rows whose end stays within the budget of a batch opened here, this one in any case.
+        ends.append(
+            f"rn + count(*) OVER (PARTITION BY {keys} ORDER BY e RANGE BETWEEN CURRENT ROW AND greatest({size} - sz, 0) FOLLOWING)"
+        )
     if age is not None:
-        old = "greatest(coalesce(f.rn, 9000000000), a.rn{})".format(" + 1" if tick else "")
+        old = f"count(*) OVER (PARTITION BY {keys} ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND {age - 1} FOLLOWING)"
         ends.append(old if tick else f"{old} + 1")
-        joins += f" ASOF LEFT JOIN firsts f ON {on('a', 'f')} AND a.sec + {age} <= f.sec"
     return f"""
 WITH RECURSIVE {base},
-pre AS (SELECT *, sum(sz) OVER (PARTITION BY {keys} ORDER BY rn) AS e FROM base),
-firsts AS (SELECT {keys}, sec, min(rn) AS rn FROM base GROUP BY ALL),
-nxt AS (SELECT {a_keys}, a.rn, least({', '.join(ends)}) AS nx FROM pre a{joins}),
+pre AS (SELECT *, CAST(sum(sz) OVER (PARTITION BY {keys} ORDER BY rn) AS BIGINT) AS e FROM base),
+nxt AS (SELECT {keys}, rn, least({', '.join(ends)}) AS nx FROM pre),
 chain AS (
   SELECT DISTINCT {keys}, CAST(0 AS BIGINT) AS st FROM base
   UNION ALL
   SELECT {', '.join('c.' + c for c in dom)}, CAST(n.nx AS BIGINT) FROM chain c JOIN nxt n ON {on('n', 'c')} AND n.rn = c.st
 ),
-packed AS (SELECT b.*, c.st AS batch_start FROM base b ASOF JOIN chain c ON {on('b', 'c')} AND b.rn >= c.st)
+packed AS (SELECT b.*, max(c.st) OVER (PARTITION BY {', '.join('b.' + c for c in dom)} ORDER BY b.rn) AS batch_start
+  FROM base b LEFT JOIN chain c ON {on('b', 'c')} AND b.rn = c.st)
 """
 
 
@@ -165,9 +164,8 @@ def split_halves(spark, d):
     """An endpoint that takes 30 entries at most makes every larger batch fall into halves."""
     packed = P.pack_by_count(A.raw_log(spark, d), DOMAIN, ORDER).withColumn("batch", pacing.div(F.col("rn"), F.lit(100)))
     sizes = packed.groupBy(*DOMAIN, "batch").agg(F.count(F.lit(1)).alias("n"))
-    rows = packed.join(sizes, [*DOMAIN, "batch"])
-    low, size = P.halve(F.col("rn") % 100, F.col("n"), 30)
-    return rows.select(*DOMAIN, "batch", low.alias("low"), size.alias("size")).distinct()
+    rows = packed.join(sizes, [*DOMAIN, "batch"]).withColumn("pos", F.col("rn") % 100)
+    return P.halve(rows, "pos", "n", 30).select(*DOMAIN, "batch", F.col("piece").alias("low"), "size").distinct()
 
 
 @query("bisect_rejected", f"""
@@ -201,14 +199,14 @@ def bisect_rejected(spark, d):
 LIMIT = 11
 TOKEN = ["token"]
 REQUEST_SQL = """
-req AS (SELECT user_id % 4 AS token, event_id AS seq, epoch_ms(ts) // 200 AS at,
-        row_number() OVER (PARTITION BY user_id % 4 ORDER BY epoch_ms(ts) // 200, event_id) - 1 AS rn FROM events)"""
+req AS (SELECT user_id % 4 AS token, event_id AS seq, epoch_us(ts) // 200000 AS t,
+        row_number() OVER (PARTITION BY user_id % 4 ORDER BY epoch_us(ts) // 200000, event_id) - 1 AS rn FROM events)"""
 T_MS, TAU_MS = limiter.limits(LIMIT)
 
 
 def _requests(spark, d):
     return A.events(spark, d).select(
-        (F.col("user_id") % 4).alias("token"), F.col("event_id").alias("seq"), pacing.div(F.col("ms"), F.lit(200)).alias("at")
+        (F.col("user_id") % 4).alias("token"), F.col("event_id").alias("seq"), pacing.div(F.col("ms"), F.lit(200)).alias("t")
     )
 
 
@@ -231,15 +229,15 @@ def gcra_params(spark, d):
 @query("gcra_shape", f"""
 WITH RECURSIVE {REQUEST_SQL},
 served AS (
-  SELECT token, seq, rn, at, at AS departs_ms, at + {T_MS} AS tat FROM req WHERE rn = 0
+  SELECT token, seq, rn, t, t AS departs_ms, t + {T_MS} AS tat FROM req WHERE rn = 0
   UNION ALL
-  SELECT q.token, q.seq, q.rn, q.at, greatest(q.at, s.tat - {TAU_MS}), greatest(s.tat, q.at) + {T_MS}
+  SELECT q.token, q.seq, q.rn, q.t, greatest(q.t, s.tat - {TAU_MS}), greatest(s.tat, q.t) + {T_MS}
   FROM served s JOIN req q ON q.token = s.token AND q.rn = s.rn + 1
 )
-SELECT token, seq, departs_ms, departs_ms - at AS waits_ms FROM served
+SELECT token, seq, departs_ms, departs_ms - t AS waits_ms FROM served
 """)
 def gcra_shape(spark, d):
-    return limiter.shape(_requests(spark, d), TOKEN, ["at", "seq"], "at", LIMIT).select(
+    return limiter.shape(_requests(spark, d), TOKEN, ["t", "seq"], "t", LIMIT).select(
         "token", "seq", "departs_ms", "waits_ms"
     )
 
@@ -247,29 +245,29 @@ def gcra_shape(spark, d):
 @query("gcra_police", f"""
 WITH RECURSIVE {REQUEST_SQL},
 seen AS (
-  SELECT token, seq, rn, at + {T_MS} AS tat, CAST(1 AS BIGINT) AS granted FROM req WHERE rn = 0
+  SELECT token, seq, rn, t + {T_MS} AS tat, CAST(1 AS BIGINT) AS granted FROM req WHERE rn = 0
   UNION ALL
-  SELECT q.token, q.seq, q.rn, CASE WHEN s.tat - {TAU_MS} <= q.at THEN greatest(s.tat, q.at) + {T_MS} ELSE s.tat END,
-         CAST(s.tat - {TAU_MS} <= q.at AS BIGINT)
+  SELECT q.token, q.seq, q.rn, CASE WHEN s.tat - {TAU_MS} <= q.t THEN greatest(s.tat, q.t) + {T_MS} ELSE s.tat END,
+         CAST(s.tat - {TAU_MS} <= q.t AS BIGINT)
   FROM seen s JOIN req q ON q.token = s.token AND q.rn = s.rn + 1
 )
 SELECT token, seq, granted FROM seen
 """)
 def gcra_police(spark, d):
-    out = limiter.police(_requests(spark, d), TOKEN, ["at", "seq"], "at", LIMIT)
+    out = limiter.police(_requests(spark, d), TOKEN, ["t", "seq"], "t", LIMIT)
     return out.select("token", "seq", F.col("granted").cast("bigint").alias("granted"))
 
 
 @query("gcra_police_paused", f"""
 WITH RECURSIVE {REQUEST_SQL},
-paused AS (SELECT *, max(CASE WHEN seq % 50 = 0 THEN at + (seq % 7) * 20000 ELSE 0 END)
+paused AS (SELECT *, max(CASE WHEN seq % 50 = 0 THEN t + (seq % 7) * 20000 ELSE 0 END)
              OVER (PARTITION BY token ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until FROM req),
 seen AS (
-  SELECT token, seq, rn, at + {T_MS} AS tat, CAST(1 AS BIGINT) AS granted FROM paused WHERE rn = 0
+  SELECT token, seq, rn, t + {T_MS} AS tat, CAST(1 AS BIGINT) AS granted FROM paused WHERE rn = 0
   UNION ALL
   SELECT q.token, q.seq, q.rn,
-         CASE WHEN s.tat - {TAU_MS} <= q.at AND q.until <= q.at THEN greatest(s.tat, q.at) + {T_MS} ELSE s.tat END,
-         CAST(s.tat - {TAU_MS} <= q.at AND q.until <= q.at AS BIGINT)
+         CASE WHEN s.tat - {TAU_MS} <= q.t AND q.until <= q.t THEN greatest(s.tat, q.t) + {T_MS} ELSE s.tat END,
+         CAST(s.tat - {TAU_MS} <= q.t AND q.until <= q.t AS BIGINT)
   FROM seen s JOIN paused q ON q.token = s.token AND q.rn = s.rn + 1
 )
 SELECT token, seq, granted FROM seen
@@ -278,42 +276,42 @@ def gcra_police_paused(spark, d):
     """Every 50th answer asks all senders of the token to pause; later requests honour it."""
     from spillway.operators.ordering import Scan, scan
 
-    asked = F.when(F.col("seq") % 50 == 0, F.col("at") + F.col("seq") % 7 * 20_000).otherwise(0)
-    staged = stage(_requests(spark, d), TOKEN, ["at", "seq"])
+    asked = F.when(F.col("seq") % 50 == 0, F.col("t") + F.col("seq") % 7 * 20_000).otherwise(0)
+    staged = stage(_requests(spark, d), TOKEN, ["t", "seq"])
     known = scan(staged, TOKEN, {"until": Scan("max", asked, before=True)}).drop("_pos", "_part")
-    out = limiter.police(known, TOKEN, ["at", "seq"], "at", LIMIT, paused_until_ms="until")
+    out = limiter.police(known, TOKEN, ["t", "seq"], "t", LIMIT, paused_until_ms="until")
     return out.select("token", "seq", F.col("granted").cast("bigint").alias("granted"))
 
 
 @query("pause_merge", f"""
 WITH {REQUEST_SQL}
-SELECT token, seq, coalesce(max(CASE WHEN seq % 10 > 0 THEN at + seq % 10 * 7000 END) OVER (PARTITION BY token ORDER BY rn), 0) AS paused_until_ms FROM req
+SELECT token, seq, coalesce(max(CASE WHEN seq % 10 > 0 THEN t + seq % 10 * 7000 END) OVER (PARTITION BY token ORDER BY rn), 0) AS paused_until_ms FROM req
 """)
 def pause_merge(spark, d):
     rows = _requests(spark, d).withColumn("ask", F.col("seq") % 10 * 7)
-    return limiter.pauses(rows, TOKEN, ["at", "seq"], "at", "ask").select("token", "seq", "paused_until_ms")
+    return limiter.pauses(rows, TOKEN, ["t", "seq"], "t", "ask").select("token", "seq", "paused_until_ms")
 
 
 @query("window_audit", f"""
-WITH {REQUEST_SQL}, m AS (SELECT token, at, count(*) AS requests FROM req GROUP BY ALL)
-SELECT token, at, requests,
-       CAST(sum(requests) OVER (PARTITION BY token ORDER BY at RANGE BETWEEN 59999 PRECEDING AND CURRENT ROW) AS BIGINT) AS in_window FROM m
+WITH {REQUEST_SQL}, m AS (SELECT token, t, count(*) AS requests FROM req GROUP BY ALL)
+SELECT token, t, requests,
+       CAST(sum(requests) OVER (PARTITION BY token ORDER BY t RANGE BETWEEN 59999 PRECEDING AND CURRENT ROW) AS BIGINT) AS in_window FROM m
 """)
 def window_audit(spark, d):
-    return limiter.requests_in_window(_requests(spark, d), TOKEN, ["at"], "at")
+    return limiter.requests_in_window(_requests(spark, d), TOKEN, ["t"], "t")
 
 
 @query("inline_pacing", f"""
 WITH RECURSIVE {REQUEST_SQL},
 sent AS (
-  SELECT token, seq, rn, at AS slot_ms FROM req WHERE rn = 0
+  SELECT token, seq, rn, t AS slot_ms FROM req WHERE rn = 0
   UNION ALL
-  SELECT q.token, q.seq, q.rn, greatest(q.at, s.slot_ms + {T_MS}) FROM sent s JOIN req q ON q.token = s.token AND q.rn = s.rn + 1
+  SELECT q.token, q.seq, q.rn, greatest(q.t, s.slot_ms + {T_MS}) FROM sent s JOIN req q ON q.token = s.token AND q.rn = s.rn + 1
 )
 SELECT token, seq, slot_ms FROM sent
 """)
 def inline_pacing(spark, d):
-    return limiter.pace_inline(_requests(spark, d), TOKEN, ["at", "seq"], "at", LIMIT).select("token", "seq", "slot_ms")
+    return limiter.pace_inline(_requests(spark, d), TOKEN, ["t", "seq"], "t", LIMIT).select("token", "seq", "slot_ms")
 
 
 @query("pace_schedule", f"""

@@ -242,7 +242,7 @@ def empty_context(spark, d):
     e = A.events(spark, d)
     k = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"))
     i = F.col("event_id")
-    ctx = F.when(i % 3 == 0, k).when(i % 3 == 1, F.map_filter(k, lambda *_: F.lit(False)))
+    ctx = F.when(i % 3 == 0, k).when(i % 3 == 1, F.map_filter(k, lambda _k, _v: F.lit(False)))
     rows = e.select(
         F.lit(0).alias("app"), F.lit(0).alias("proc"), i.alias("seq"), "ts", F.lit("info").alias("level_name"),
         F.lit("m").alias("message"), F.lit("h").alias("host"), ctx.alias("context"),
