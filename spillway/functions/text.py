@@ -109,7 +109,9 @@ def retry_after_seconds(header: Column, now: Column) -> Column:
     """
     h = trim_blanks(F.coalesce(header, F.lit("")))
     fixdate = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
-    at = F.try_to_timestamp(F.substring(h, 6, 64), F.lit("dd MMM yyyy HH:mm:ss 'GMT'"))
+    # Only text of the right shape is parsed: a failed parse is slow.
+    shaped = F.when(h.rlike(r"\A[A-Z][a-z]{2}, \d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} GMT\z"), F.substring(h, 6, 64))
+    at = F.try_to_timestamp(shaped, F.lit("dd MMM yyyy HH:mm:ss 'GMT'"))
     strict = F.when(F.date_format(at, fixdate) == h, F.unix_seconds(at))
     # Digits beyond 18 overflow to "far away" or "now"; the clamp decides anyway.
     digits = F.regexp_extract(h, r"^-?(\d+)$", 1)

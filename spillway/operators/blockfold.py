@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from spillway.operators.ordering import same
 from spillway.session import materialise
 
-FAN = 512
+FAN = 256
 
 
 class Rule(Protocol):

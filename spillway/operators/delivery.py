@@ -17,6 +17,7 @@ from spillway.constants import (
 )
 from spillway.functions.text import clip, retry_after_seconds, trim_blanks
 from spillway.operators.ordering import Scan, scan, stage
+from spillway.session import materialise
 
 
 def _success(status: Column) -> Column:
@@ -75,20 +76,28 @@ def next_action(attempts: DataFrame) -> DataFrame:
     Reads ``status, retry_after, body, attempt, now, retry_deadline, sync``.
     """
     status, now, deadline = F.col("status"), F.col("now"), F.col("retry_deadline")
-    outcome = outcome_queue(status)
-    expired = ~fits_before(now, F.lit(0), deadline)
-    delay = F.when(outcome == "rate_limited", retry_after_seconds(F.col("retry_after"), now)).otherwise(
-        queue_backoff(F.col("attempt"))
-    )
-    cause = F.when(status.isNull(), F.concat(F.lit("Ingest unreachable: "), F.coalesce("body", F.lit("")))).otherwise(
-        F.concat(F.lit("Ingest responded HTTP "), status.cast("string"))
-    )
-    obstacle = (
+    body = F.coalesce("body", F.lit(""))
+    # Step by step, so that each part is worked out once per row.
+    known = attempts.withColumns(
+        {
+            "_outcome": outcome_queue(status),
+            "_expired": ~fits_before(now, F.lit(0), deadline),
+            "_cause": F.when(status.isNull(), F.concat(F.lit("Ingest unreachable: "), body)).otherwise(
+                F.concat(F.lit("Ingest responded HTTP "), status.cast("string"))
+            ),
+        }
+    ).withColumn(
+        "_delay",
+        F.when(F.col("_outcome") == "rate_limited", retry_after_seconds(F.col("retry_after"), now)).otherwise(
+            queue_backoff(F.col("attempt"))
+        ),
+    ).withColumn(
+        "_obstacle",
         F.when(deadline.isNull(), "job without a deadline is not retried")
         .when(F.col("sync"), "sync queue can't retry")
-        .when(~fits_before(now, delay, deadline), "retry window exhausted")
+        .when(~fits_before(now, F.col("_delay"), deadline), "retry window exhausted"),
     )
-    retried = outcome.isin("rate_limited", "retry")
+    outcome, expired, obstacle, cause = (F.col(c) for c in ("_outcome", "_expired", "_obstacle", "_cause"))
     action = (
         F.when(expired, "park")
         .when(outcome == "success", "done")
@@ -99,13 +108,14 @@ def next_action(attempts: DataFrame) -> DataFrame:
     reason = (
         F.when(expired, "Retry window exhausted while waiting in the queue")
         .when(outcome == "success", F.lit(None))
-        .when(outcome == "park", trim_blanks(F.concat(cause, F.lit(" "), clip(F.coalesce("body", F.lit(""))))))
+        .when(outcome == "park", trim_blanks(F.concat(cause, F.lit(" "), clip(body))))
         .otherwise(F.concat_ws("; ", cause, obstacle))
     )
-    return attempts.select(
-        "*",
+    retried = ~expired & outcome.isin("rate_limited", "retry") & obstacle.isNull()
+    return known.select(
+        *attempts.columns,
         action.alias("action"),
-        F.when(~expired & retried & obstacle.isNull(), delay).alias("delay"),
+        F.when(retried, F.col("_delay")).alias("delay"),
         reason.alias("reason"),
     )
 
@@ -136,7 +146,9 @@ def drain_backoff(attempts: DataFrame, run: Sequence[str], order: Sequence[str],
     )
     counted = since.withColumn("failures", F.col("_failed") - F.coalesce("_base", F.lit(0)))
     stops = (F.col("_kind") == "stop") | (failed == 1) & (F.col("failures") >= DRAIN_MAX_FAILURES)
-    done = scan(counted.withColumn("stops", stops), run, {"_stopped": Scan("max", stops.cast("bigint"), before=True)})
+    # A scan reads its input twice; storing keeps chained scans from doubling each time.
+    stored = materialise(counted.withColumn("stops", stops), "failures")
+    done = scan(stored, run, {"_stopped": Scan("max", stops.cast("bigint"), before=True)})
     wait = F.when(
         (failed == 1) & ~F.col("stops"), F.least(F.lit(DRAIN_BACKOFF_CAP), F.pow(F.lit(2), F.col("failures"))).cast("bigint")
     )

@@ -7,7 +7,6 @@ are served, ``police`` drops those that come too early.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -91,16 +90,14 @@ def requests_in_window(
 
 # ------------------------------------------------------------------- policing
 
-_FLOOR = -(1 << 62)
-
-
 @dataclass
 class _Police:
     """Dropping limiter as a block rule; the state is the limiter's clock.
 
-    One request maps clock t to t + 0, t + interval or a constant, depending on
-    where t lies. A block's state function is therefore piecewise: a sorted
-    list of lower bounds with (is constant, value or shift) each.
+    A clock at or before a block's first request acts like one right there, and
+    no clock runs further ahead than tolerance + interval. So a block's state
+    function is a table over that many milliseconds: all clocks are replayed
+    together, each jumping from grant to grant.
     """
 
     interval: int
@@ -108,86 +105,50 @@ class _Police:
     at: str
     start: int = 0
 
-    def _step(self, a: int, t: int) -> int:
-        return t if t > a + self.tolerance else max(t, a) + self.interval
-
     def summarise(self, rows: pa.Table, end: int):
         times = _open_times(rows, self.at)
-        lows, const, vals = [_FLOOR], [False], [0]
-        soonest = _FLOOR
-        i = 0
-        while i < len(times):
-            if len(lows) == 1 and const[0]:
-                # Every entry state has led to the same clock: a plain replay is left.
-                t = vals[0]
-                for a in times[i:]:
-                    t = self._step(a, t)
-                return [_FLOOR], [True], [t]
-            a = times[i]
-            i += 1
-            if soonest > a + self.tolerance:
-                continue
-            lows, const, vals = self._through(lows, const, vals, a)
-            soonest = min(v if c else v + low for low, c, v in zip(lows, const, vals))
-        return lows, const, vals
-
-    def _through(self, lows, const, vals, a):
-        out_l, out_c, out_v = [], [], []
-
-        def put(low, c, v):
-            if out_c and out_c[-1] == c and out_v[-1] == v:
-                return
-            out_l.append(low)
-            out_c.append(c)
-            out_v.append(v)
-
-        for k, low in enumerate(lows):
-            if const[k]:
-                put(low, True, self._step(a, vals[k]))
-                continue
-            high = lows[k + 1] if k + 1 < len(lows) else None
-            shift = vals[k]
-            # Bounds on the entry state at which the request's answer changes.
-            idle, early = a - shift + 1, a + self.tolerance - shift + 1
-            if low < idle:
-                put(low, True, a + self.interval)
-            mid = max(low, idle)
-            if mid < early and (high is None or mid < high):
-                put(mid, False, shift + self.interval)
-            late = max(low, early)
-            if high is None or late < high:
-                put(late, False, shift)
-        return out_l, out_c, out_v
+        if not len(times):
+            return None
+        origin, count = int(times[0]), len(times)
+        clock = origin + np.arange(self.tolerance + self.interval + 1, dtype=np.int64)
+        result = clock.copy()
+        # Distinct (clock, next request) pairs, and which of them each entry clock follows.
+        follows = np.arange(len(clock))
+        passed = np.zeros(len(clock), dtype=np.int64)
+        entries = np.arange(len(clock))
+        rounds = 0
+        while True:
+            at = np.maximum(passed, np.searchsorted(times, clock - self.tolerance, side="left"))
+            live = at < count
+            if not live.all():
+                done = ~live[follows]
+                result[entries[done]] = clock[follows[done]]
+                if not live.any():
+                    break
+                entries = entries[~done]
+                follows = (np.cumsum(live) - 1)[follows[~done]]
+                clock, at = clock[live], at[live]
+            clock = np.maximum(clock, times[at]) + self.interval
+            passed = at + 1
+            rounds += 1
+            if rounds % 8 == 1 and len(clock) > 1:
+                pair = (clock - clock.min()) * (count + 1) + passed
+                _, first, merged = np.unique(pair, return_index=True, return_inverse=True)
+                clock, passed = clock[first], passed[first]
+                follows = merged.reshape(-1)[follows]
+        return origin, result
 
     def evaluate(self, fn, state: int) -> int:
-        lows, const, vals = fn
-        k = bisect.bisect_right(lows, state) - 1
-        return vals[k] if const[k] else state + vals[k]
+        if fn is None:
+            return state
+        origin, result = fn
+        return int(result[min(max(state - origin, 0), len(result) - 1)])
 
     def compose(self, first, then):
-        out_l, out_c, out_v = [], [], []
-        lows, const, vals = first
-        t_lows, t_const, t_vals = then
-        for k, low in enumerate(lows):
-            if const[k]:
-                pieces = [(low, True, self.evaluate(then, vals[k]))]
-            else:
-                high = lows[k + 1] if k + 1 < len(lows) else None
-                shift = vals[k]
-                at = max(0, bisect.bisect_right(t_lows, low + shift) - 1)
-                pieces = []
-                for j in range(at, len(t_lows)):
-                    begin = max(low, t_lows[j] - shift)
-                    if high is not None and begin >= high:
-                        break
-                    pieces.append((begin, t_const[j], t_vals[j] if t_const[j] else shift + t_vals[j]))
-            for piece in pieces:
-                if out_c and out_c[-1] == piece[1] and out_v[-1] == piece[2]:
-                    continue
-                out_l.append(piece[0])
-                out_c.append(piece[1])
-                out_v.append(piece[2])
-        return out_l, out_c, out_v
+        if first is None or then is None:
+            return then if first is None else first
+        origin, result = then
+        return first[0], result[np.clip(first[1] - origin, 0, len(result) - 1)]
 
     def replay(self, rows: pa.Table, end: int, state: int) -> pa.Table:
         t, granted = state, []
@@ -212,8 +173,8 @@ def _closed(rows: pa.Table, at: str) -> list[bool]:
     return (_ints(rows["_paused"]) > _ints(rows[at])).tolist()
 
 
-def _open_times(rows: pa.Table, at: str) -> list[int]:
-    return [a for a, shut in zip(_ints(rows[at]).tolist(), _closed(rows, at)) if not shut]
+def _open_times(rows: pa.Table, at: str) -> np.ndarray:
+    return _ints(rows[at])[~np.array(_closed(rows, at), dtype=bool)]
 
 
 def police(
@@ -224,7 +185,7 @@ def police(
     per_minute: int,
     *,
     paused_until_ms: str | None = None,
-    block_rows: int = 16_384,
+    block_rows: int = Blocks.rows,
 ) -> DataFrame:
     """Which requests fit the budget when refused ones are dropped.
 

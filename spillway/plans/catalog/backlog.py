@@ -12,7 +12,7 @@ from spillway.plans.catalog.packing import DOMAIN, ORDER, pack_sql
 from spillway.plans.catalog.registry import query
 from spillway.plans.drain import drain_dead_letters, ranked_sources
 from spillway.plans.forget import classify, delete_rows, first_copies, forget_failed
-from spillway.plans.rebatch import acknowledged, chunk_jobs, pack_jobs, rebatch_backlog, return_foreign
+from spillway.plans.rebatch import acknowledged, chunk_jobs, job_entry_rows, pack_jobs, rebatch_backlog, return_foreign
 from spillway.sources import deadletter as S
 from spillway.sources.jobs import split_backlog
 
@@ -45,7 +45,7 @@ FROM events, (VALUES (0), (1)) AS p(pos) WHERE event_id % 8 IN (0, 5, 7)
 """)
 def deadletter_parse(spark, d):
     out = S.unnest(S.parse(_mixed_lines(spark, d)), ["line"])
-    return out.select("line", F.col("pos").cast("bigint").alias("pos"), F.to_json("entry").alias("entry"))
+    return out.select("line", F.col("pos").cast("bigint").alias("pos"), "entry")
 
 
 @query("deadletter_quarantine", """
@@ -165,8 +165,8 @@ def backlog_split(spark, d):
 SELECT queue, chunk, job_no, CAST(pos AS BIGINT) AS pos, CAST(batch_start AS BIGINT) AS batch_start FROM packed
 """)
 def pack_chunked(spark, d):
-    own = split_backlog(chunk_jobs(A.backlog(spark, d), CHUNK)).filter("own")
-    packed = pack_jobs(own, batch_size=60, max_bytes=2000)
+    entries = job_entry_rows(split_backlog(chunk_jobs(A.backlog(spark, d), CHUNK)))
+    packed = pack_jobs(entries, batch_size=60, max_bytes=2000)
     return packed.select("queue", "chunk", "job_no", F.col("pos").cast("bigint").alias("pos"), "batch_start")
 
 
@@ -299,7 +299,7 @@ def failed_match(spark, d):
     rows = classify(A.failed_jobs(spark, d))
     return rows.select(
         "store", "id", "uuid", F.col("own").cast("bigint").alias("own"),
-        (F.col("own") & F.col("entries").isNotNull()).cast("bigint").alias("exportable"),
+        (F.col("own") & F.col("readable")).cast("bigint").alias("exportable"),
     )
 
 
@@ -356,6 +356,5 @@ def failed_export(spark, d):
 
 @query("delete_matched", f"WITH {A.FAILED_SQL} SELECT store, id FROM failed WHERE NOT (own AND readable)")
 def delete_matched(spark, d):
-    rows = classify(A.failed_jobs(spark, d))
-    gone = rows.filter(F.col("own") & F.col("entries").isNotNull()).select("store", "id")
+    gone = classify(A.failed_jobs(spark, d)).filter(F.col("own") & F.col("readable")).select("store", "id")
     return delete_rows(A.failed_jobs(spark, d), gone).select("store", "id")

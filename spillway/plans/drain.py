@@ -37,7 +37,6 @@ def pack_dead_letters(
     keys = [*run, *order]
     entries = materialise(
         deadletter.unnest(deadletter.parse(lines), keys)
-        .withColumn("entry", F.to_json("entry"))
         .withColumn("entry_bytes", text_json_bytes(F.col("entry"))),
         "dead-letters",
     )

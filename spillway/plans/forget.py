@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from spillway.constants import DELIVERY_JOB
 from spillway.functions.text import iso8601
 from spillway.operators.ordering import same
+from spillway.session import materialise
 from spillway.sources.deadletter import dead_letter_line
 from spillway.sources.jobs import is_own_failed, job_entries
 
@@ -16,27 +17,25 @@ ROW = ["store", "id"]
 
 
 def classify(stores: DataFrame, job: str = DELIVERY_JOB) -> DataFrame:
-    """Add ``own``, ``uuid`` and ``entries`` to ``store, id, name, payload`` rows."""
-    parsed = stores.withColumn("_p", F.try_parse_json("payload"))
+    """``store, id`` with ``own``, ``uuid`` and ``readable`` of ``store, id, name, payload`` rows."""
     p = F.col("_p")
-    uuid = F.coalesce(
-        F.try_variant_get(p, "$.uuid", "string"), F.try_variant_get(p, "$.id", "string"), F.lit("")
-    )
+    parsed = stores.select(*ROW, "name", F.try_parse_json("payload").alias("_p"))
+    uuid = F.coalesce(F.try_variant_get(p, "$.uuid", "string"), F.try_variant_get(p, "$.id", "string"), F.lit(""))
     return parsed.select(
-        *stores.columns,
+        *ROW,
         is_own_failed(p, F.col("name"), job).alias("own"),
         uuid.alias("uuid"),
-        job_entries(p).alias("entries"),
+        F.try_variant_get(p, "$.data.entries", "array<variant>").isNotNull().alias("readable"),
     )
 
 
-def first_copies(rows: DataFrame) -> DataFrame:
+def first_copies(marks: DataFrame) -> DataFrame:
     """The first readable copy of each uuid; records without one all count.
 
     A minimum combines map-side, so a uuid shared by any number of rows never
     gathers them in one task.
     """
-    readable = rows.filter(F.col("entries").isNotNull())
+    readable = marks.filter("readable")
     keyed = readable.filter(F.col("uuid") != "")
     firsts = keyed.groupBy("uuid").agg(F.min(F.struct(*ROW)).alias("_first"))
     kept = firsts.select("uuid", *[F.col(f"_first.{c}").alias(c) for c in ROW])
@@ -59,47 +58,38 @@ def forget_failed(
 
     With ``export`` a record goes only once its entries are in the dead-letter
     table: one copy per uuid is exported, and an unreadable record stays unless
-    a readable copy came before it.
+    a readable copy came before it. Payloads are decoded once, into a narrow
+    table of marks on which all decisions are made.
     """
-    rows = classify(stores, job)
-    own = rows.filter("own")
+    marks = materialise(classify(stores, job), "failed-marks")
+    own = marks.filter("own")
     firsts = first_copies(own)
+    action = F.when(~F.col("own"), "foreign")
+    decided = marks
     if export:
-        unread = own.filter(F.col("entries").isNull())
         seen = firsts.filter(F.col("uuid") != "").select(
             F.col("uuid").alias("_uuid"), F.struct(*ROW).alias("_first")
         )
+        unread = own.filter(~F.col("readable"))
         kept = (
             unread.join(seen, unread["uuid"] == seen["_uuid"], "left")
-            .filter(F.col("_first").isNull() | (F.struct(*[F.col(c) for c in ROW]) < F.col("_first")))
+            .filter(F.col("_first").isNull() | (F.struct(*ROW) < F.col("_first")))
             .select(*ROW, F.lit(True).alias("_kept"))
         )
-        decided = rows.join(kept, ROW, "left")
-        action = (
-            F.when(~F.col("own"), "foreign").when(F.col("_kept"), "unreadable").otherwise("delete")
-        )
-    else:
-        decided = rows
-        action = F.when(~F.col("own"), "foreign").otherwise("delete")
-    actions = decided.select(*stores.columns, "uuid", "own", action.alias("action"))
-    lines = (
-        own.join(firsts.select(*ROW), ROW, "left_semi")
-        .select(
-            *ROW,
-            "uuid",
-            dead_letter_line(
-                iso8601(now if now is not None else F.current_timestamp()),
-                F.concat(F.lit("failed job "), F.col("uuid")),
-                F.transform("entries", lambda e: F.to_json(e)),
-            ).alias("line"),
-        )
-    )
-    remaining = (
-        actions.select(*stores.columns)
-        if dry_run
-        else actions.filter(F.col("action") != "delete").select(*stores.columns)
+        decided = marks.join(kept, ROW, "left")
+        action = action.when(F.col("_kept"), "unreadable")
+    actions = decided.select(*ROW, "uuid", "own", action.otherwise("delete").alias("action"))
+    at = iso8601(now if now is not None else F.current_timestamp())
+    exported = stores.join(firsts, ROW, "inner").select(
+        *ROW,
+        "uuid",
+        dead_letter_line(
+            at, F.concat(F.lit("failed job "), F.col("uuid")), job_entries(F.try_parse_json("payload"))
+        ).alias("line"),
     )
-    return Forgotten(lines, actions, remaining, store_counts(actions, dry_run))
+    gone = actions.filter(F.col("action") == "delete").select(*ROW)
+    remaining = stores if dry_run else delete_rows(stores, gone)
+    return Forgotten(exported, actions, remaining, store_counts(actions, dry_run))
 
 
 def store_counts(actions: DataFrame, dry_run: bool = False) -> DataFrame:

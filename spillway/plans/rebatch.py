@@ -12,6 +12,7 @@ from spillway.operators import packing, pacing
 from spillway.operators.delivery import retry_deadline
 from spillway.operators.ordering import number_rows, stage
 from spillway.session import materialise
+from spillway.sources.deadletter import unnest_entries
 from spillway.sources.jobs import split_backlog
 
 
@@ -23,14 +24,16 @@ def chunk_jobs(jobs: DataFrame, chunk: int = 1000) -> DataFrame:
     return jobs.join(placed, ["queue", "seq"], "inner")
 
 
-def pack_jobs(own: DataFrame, **limits) -> DataFrame:
-    """Pack the entries of readable jobs inside their chunk; the rest is flushed at its end."""
-    entries = own.select(
-        "queue", "chunk", "job_no", F.posexplode("entries").alias("pos", "_entry")
-    ).withColumn("entry", F.to_json("_entry")).drop("_entry")
-    sized = entries.withColumn("_bytes", text_json_bytes(F.col("entry")))
+def job_entry_rows(jobs: DataFrame) -> DataFrame:
+    """Entries of the readable jobs with their sizes, stored once for the passes of packing."""
+    rows = unnest_entries(jobs, ["queue", "chunk", "job_no"])
+    return materialise(rows.withColumn("entry_bytes", text_json_bytes(F.col("entry"))), "job-entries")
+
+
+def pack_jobs(entries: DataFrame, **limits) -> DataFrame:
+    """Pack ``job_entry_rows`` inside their chunk; the rest is flushed at its end."""
     return packing.pack(
-        sized, ["queue", "chunk"], ["job_no", "pos"], size=F.col("_bytes"), **limits
+        entries, ["queue", "chunk"], ["job_no", "pos"], size=F.col("entry_bytes"), **limits
     )
 
 
@@ -61,6 +64,7 @@ class Repacked:
     """Result tables of one run."""
 
     batches: DataFrame
+    entries: DataFrame
     assigned: DataFrame
     backlog: DataFrame
     totals: DataFrame
@@ -87,9 +91,8 @@ def rebatch_backlog(
     last_due``. ``now`` is an epoch second.
     """
     chunked = materialise(split_backlog(chunk_jobs(jobs, chunk), job), "jobs")
-    packed = materialise(
-        pack_jobs(chunked.filter("own"), batch_size=batch_size, max_bytes=max_bytes), "packed"
-    )
+    entries = job_entry_rows(chunked)
+    packed = materialise(pack_jobs(entries, batch_size=batch_size, max_bytes=max_bytes), "packed")
     keys = ["queue", "chunk"]
     batches = packed.groupBy(*keys, "batch_start").agg(
         F.count(F.lit(1)).alias("n_entries"), F.sum("size").alias("n_bytes")
@@ -131,7 +134,7 @@ def rebatch_backlog(
     kept = marked.filter(F.col("_taken").isNull()).select("queue", "seq", "payload", F.col("seq").alias("new_seq"))
     foreign = marked.filter(F.col("_taken") & ~F.col("own")).select("queue", "seq", "payload")
     backlog = kept.unionByName(return_foreign(jobs, foreign))
-    return Repacked(due, packed, backlog, repack_totals(claimed))
+    return Repacked(due, entries, packed, backlog, repack_totals(claimed))
 
 
 def repack_totals(chunks: DataFrame) -> DataFrame:

@@ -40,26 +40,35 @@ def _entries(value: Column) -> Column:
     )
 
 
-def _is_container(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-    return F.startswith(kind, F.lit("ARRAY")) | F.startswith(kind, F.lit("OBJECT"))
+def containers(values: Column) -> Column:
+    """JSON text of the arrays and objects among VARIANT values; scalars are dropped."""
+    texts = F.transform(values, lambda v: F.to_json(v))
+    return F.filter(texts, lambda t: F.startswith(t, F.lit("{")) | F.startswith(t, F.lit("[")))
 
 
 def parse(lines: DataFrame) -> DataFrame:
-    """Add ``entries`` (arrays and objects only) and ``malformed`` to non-blank lines."""
+    """Add ``entries`` (JSON text, arrays and objects only) and ``malformed`` to non-blank lines."""
     kept = lines.filter(trim_blanks(F.col("value")) != "")
     found = kept.withColumn("_found", _entries(trim_blanks(F.col("value"))))
     return found.select(
         *lines.columns,
-        F.filter("_found", _is_container).alias("entries"),
+        containers(F.col("_found")).alias("entries"),
         F.col("_found").isNull().alias("malformed"),
     )
 
 
+def unnest_entries(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per entry, in order; rows without entries leave none.
+
+    The outer explode keeps Spark from testing ``entries`` in a filter of its
+    own below, which would decode every line a second time.
+    """
+    return rows.select(*keys, F.posexplode_outer("entries").alias("pos", "entry")).filter(F.col("pos").isNotNull())
+
+
 def unnest(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per entry of the readable lines, in line order."""
-    good = parsed.filter(~F.col("malformed"))
-    return good.select(*keys, F.posexplode("entries").alias("pos", "entry"))
+    return unnest_entries(parsed, keys)
 
 
 def malformed(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:

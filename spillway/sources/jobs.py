@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spillway.constants import DELIVERY_JOB
-from spillway.sources.deadletter import _is_container
+from spillway.sources.deadletter import containers
 
 
 def _text(payload: Column, path: str) -> Column:
@@ -26,9 +26,8 @@ def is_own_failed(payload: Column, name: Column | None = None, job: str = DELIVE
 
 
 def job_entries(payload: Column) -> Column:
-    """``data.entries`` of a payload (arrays and objects only); NULL when unreadable."""
-    found = F.try_variant_get(payload, "$.data.entries", "array<variant>")
-    return F.filter(found, _is_container)
+    """``data.entries`` of a payload as JSON text (arrays and objects only); NULL when unreadable."""
+    return containers(F.try_variant_get(payload, "$.data.entries", "array<variant>"))
 
 
 def split_backlog(jobs: DataFrame, job: str = DELIVERY_JOB) -> DataFrame:
