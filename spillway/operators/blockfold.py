@@ -63,11 +63,14 @@ def block_fold(
     blocks: Blocks,
     needs: Sequence[str],
     added: Sequence[T.StructField],
+    longest: int,
 ) -> DataFrame:
     """Replay ``rule`` over every domain of ``numbered`` (which has ``_rn``).
 
     ``needs`` are the columns the rule reads; all columns of ``numbered`` pass
-    through untouched as Arrow buffers, and ``added`` are appended.
+    through untouched as Arrow buffers, and ``added`` are appended. ``longest``
+    is the size of the largest domain: while it fits one block, every block
+    starts in the initial state and steps 1 and 2 are left out.
     """
     domain = list(domain)
     if blocks.ahead > blocks.rows:
@@ -82,19 +85,18 @@ def block_fold(
     else:
         placed = numbered.withColumn("_blk", own)
 
-    followed = materialise(
-        numbered.filter((F.col("_rn") % blocks.rows == 0) & (F.col("_rn") > 0)).select(
-            *domain, (own - 1).alias("_blk")
-        ),
-        "followed",
-    )
     out_schema = T.StructType([*numbered.schema.fields, *added])
     keys = [*domain, "_blk"]
     rows = blocks.rows
 
-    if followed.isEmpty():
+    if longest <= rows:
         work = placed.withColumn("_entry", F.lit(rule.start).cast("bigint"))
     else:
+        # Blocks with a successor, one small row each.
+        followed = materialise(
+            numbered.filter((F.col("_rn") % rows == 0) & (F.col("_rn") > 0)).select(*domain, (own - 1).alias("_blk")),
+            "followed",
+        )
         entries = _entry_states(placed, followed, domain, rule, rows, needs)
         work = (
             placed.join(entries.alias("e"), same(placed, entries, keys), "left")

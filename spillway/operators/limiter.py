@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from spillway.operators.blockfold import Blocks, block_fold
-from spillway.operators.ordering import Scan, number_rows, scan, stage
+from spillway.operators.ordering import Scan, longest_domain, number_rows, scan, stage
 
 
 def interval_ms(per_minute: Column) -> Column:
@@ -197,7 +197,8 @@ def police(
         return df.withColumn("granted", F.lit(True))
     interval, tolerance = limits(per_minute)
     rows = df if paused_until_ms is None else df.withColumn("_paused", F.coalesce(F.col(paused_until_ms), F.lit(0)))
-    numbered = number_rows(stage(rows, token, order), token).drop("_pos", "_part")
+    staged = stage(rows, token, order)
+    numbered = number_rows(staged, token).drop("_pos", "_part")
     rule = _Police(interval, tolerance, at_ms)
     out = block_fold(
         numbered,
@@ -206,5 +207,6 @@ def police(
         Blocks(block_rows),
         needs=[at_ms, *(["_paused"] if paused_until_ms else [])],
         added=[T.StructField("granted", T.BooleanType())],
+        longest=longest_domain(staged, token),
     )
     return out.select(*df.columns, "granted")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spillway.constants import MAX_BYTES, MAX_ENTRIES, MIN_BYTES, UNBUFFERED_COMMANDS
 from spillway.operators.blockfold import Blocks, block_fold
-from spillway.operators.ordering import number_rows, same, stage
+from spillway.operators.ordering import longest_domain, number_rows, same, stage
 
 
 def entry_limit(batch_size: int) -> int:
@@ -147,7 +147,8 @@ def pack(
         *([size.cast("bigint").alias("_size")] if size is not None else []),
         *([F.unix_seconds(at).alias("_sec")] if by_age else []),
     )
-    numbered = number_rows(stage(narrow, domain, order), domain).drop("_pos", "_part")
+    staged = stage(narrow, domain, order)
+    numbered = number_rows(staged, domain).drop("_pos", "_part")
     rule = _Greedy(
         n=entry_limit(batch_size),
         max_bytes=byte_limit(max_bytes) if size is not None else None,
@@ -161,6 +162,7 @@ def pack(
         Blocks(block_rows, rule.n),
         needs=[c for c in ("_size", "_sec") if c in numbered.columns],
         added=[T.StructField("batch_start", T.LongType())],
+        longest=longest_domain(staged, domain),
     )
     return packed.withColumnRenamed("_rn", "rn").drop("_sec").withColumnRenamed("_size", "size")
 
