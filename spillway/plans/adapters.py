@@ -24,8 +24,18 @@ LARGE = {"customer", "orders", "lineitem", "events", "documents", "conversations
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``ts`` as an instant and ``ms`` as epoch milliseconds."""
-    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return e.withColumn("ms", F.unix_millis("ts"))
+    return with_instants(table(spark, sf_dir, "events"))
+
+
+def with_instants(e: DataFrame) -> DataFrame:
+    return e.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("ms", F.unix_millis("ts"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream of files."""
+    root = sf_dir.rstrip("/")
+    schema = configure(spark).read.parquet(f"{root}/events.parquet").schema
+    return with_instants(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(root))
 
 
 def level_of(event_type: Column) -> Column:
@@ -40,7 +50,10 @@ def level_of(event_type: Column) -> Column:
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw log records with a typed context."""
-    e = events(spark, sf_dir)
+    return records_of(events(spark, sf_dir))
+
+
+def records_of(e: DataFrame) -> DataFrame:
     return e.select(
         (F.col("user_id") % 8).alias("app"),
         (F.col("user_id") % 4).alias("proc"),

@@ -37,6 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/spillway/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -45,7 +50,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     later passes free to read only the columns they need.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/spillway/{app}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -105,7 +105,11 @@ def micro_batches(
     flush_interval: int = 10,
     tick: bool = False,
 ) -> DataFrame:
-    """Batches of a stream of ``app, proc, seq, ts, entry_bytes``."""
+    """Batches of a stream of ``app, proc, seq, ts, entry_bytes``.
+
+    With ``tick`` run the query on a processing-time trigger: timers only fire
+    while it keeps running.
+    """
     keyed = entries.select(
         F.col("app").cast("string").alias("app"),
         F.col("proc").cast("string").alias("proc"),
@@ -117,7 +121,7 @@ def micro_batches(
         MicroBatcher(entry_limit(batch_size), byte_limit(max_bytes), max(0, flush_interval), tick),
         outputStructType=BATCH_SCHEMA,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="ProcessingTime" if tick else "None",
     )
 
 

@@ -1,5 +1,7 @@
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from spillway.operators import limiter, packing
@@ -11,6 +13,14 @@ from spillway.streaming import drain as D, stateful, stateless
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def small_state(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def slices(df, path, key, n):
     """Parquet files that arrive one after the other, in order of ``key``."""
     high = df.agg(F.max(key)).first()[0] + 1
@@ -58,6 +68,31 @@ def test_micro_batches_equal_packing(spark, tmp_path):
     assert len(want - got) <= 8  # what is still open, one batch per process
 
 
+def test_a_timer_closes_an_old_batch(spark, tmp_path):
+    rows = spark.range(5).select(
+        F.lit("a").alias("app"), F.lit("p").alias("proc"), F.col("id").alias("seq"),
+        F.timestamp_seconds(F.lit(0)).alias("ts"), F.lit(100).alias("entry_bytes"),
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    query = (
+        stateful.micro_batches(stream, flush_interval=2, tick=True).writeStream.format("parquet")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(processingTime="1 second").start()
+    )
+    found = []
+    for _ in range(60):
+        time.sleep(1)
+        if query.exception() is not None:
+            break
+        if (tmp_path / "out" / "_spark_metadata").exists():
+            found = spark.read.schema(stateful.BATCH_SCHEMA).parquet(str(tmp_path / "out")).collect()
+        if found:
+            break
+    query.stop()
+    assert [list(r.seqs) for r in found] == [[0, 1, 2, 3, 4]]
+
+
 def test_policing_equals_batch(spark, tmp_path):
     rows = A.events(spark, SF).select(
         (F.col("user_id") % 4).cast("string").alias("token"), F.col("event_id").alias("seq"),
