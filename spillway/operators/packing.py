@@ -167,17 +167,6 @@ def pack(
     return packed.withColumnRenamed("_rn", "rn").drop("_sec").withColumnRenamed("_size", "size")
 
 
-def pack_chunked(
-    df: DataFrame,
-    domain: Sequence[str],
-    order: Sequence[str],
-    chunk: str,
-    **limits,
-) -> DataFrame:
-    """``pack`` inside each chunk of a domain; what is left at a chunk's end is flushed."""
-    return pack(df, [*domain, chunk], order, **limits)
-
-
 def unbuffered_key(command: Column, seq: Column, commands: Sequence[str] = UNBUFFERED_COMMANDS) -> Column:
     """Unit of work for records of commands that never buffer: each its own batch."""
     return F.when(command.isin(list(commands)), seq)
