@@ -111,3 +111,34 @@ def op10(spark, sf_dir):
     text = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
     return digests(format_chat(rows.unionByName(extra), f"{TOKENIZERS}/byte_bpe_50k.json"))
+
+
+@query("op1_substring_dedup")
+def op1(spark, sf_dir):
+    from spillway.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op3_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(list_slice(w, k, k + 2)) AS h
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS k) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id AS node, doc_id AS via FROM documents
+  UNION SELECT r.node, CASE WHEN l.a = r.via THEN l.b ELSE l.a END FROM reach r JOIN links l ON r.via IN (l.a, l.b)
+), c AS (SELECT node AS doc_id, min(via) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+""")
+def op3(spark, sf_dir):
+    from spillway.llm.near_dedup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents")).drop("class_id")
