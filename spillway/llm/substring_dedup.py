@@ -136,6 +136,8 @@ def settle(rows: DataFrame, carried: list[str]) -> DataFrame:
     the next pass, as it isn't whole, or as the one witness there for whole rows that its group also holds.
     """
     groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("depth").alias("least"), F.max("depth").alias("most")).where("n > 1")
+    # Stored, so that the join deals its rows out anew and can split a hot key.
+    groups = materialise(groups, "groups")
     left = materialise(rows.join(groups, "key").select("key", "depth", *carried, (F.col("least") == F.col("most")).alias("same")), "radix")
     mixed = left.where("NOT same")
     row = F.struct(*carried)
@@ -172,7 +174,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces = materialise(pieces, "pieces")
     open_ = texts.select("id", "t", "text", "starts", "ends", "gone").join(pieces, ["id", "t"], "left")
     last = third_rows(open_.where("size(more) > 0"), kind, length)
-    again = last.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = materialise(last.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "groups")
     windows = last.join(again, "key").groupBy("id", "t").agg(F.collect_list("at").alias("windows"))
     done = cut(open_.where("NOT gone").select("id", "t", "text", "starts", "ends", F.col("whole").alias("pieces")).join(windows, ["id", "t"], "left"), kind, length)
 
