@@ -155,3 +155,24 @@ def op9(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("same"),
     )
+
+
+@query("op4_language")
+def op4(spark, sf_dir):
+    from spillway.llm.language import identify, remainder, train_on
+
+    docs = table(spark, sf_dir, "documents")
+    said = identify(docs.select("doc_id", "text"), train_on(docs))
+    return said.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_toxicity")
+def op8(spark, sf_dir):
+    from spillway.llm.language import remainder
+    from spillway.llm.toxicity import THRESHOLD, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1).select("doc_id", "toxic")
+    network = train(docs.join(labels, "doc_id").withColumnRenamed("doc_id", "id"))
+    scored = score(docs, network)
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
