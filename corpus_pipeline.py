@@ -1,2 +1,63 @@
-def query(spark, sf_dir):
-    return spark.range(0)
+"""A training corpus from raw documents: language, exact copies, near copies, benchmark leaks, pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from spillway.llm.catalog import TOKENIZERS
+from spillway.llm.common import table
+from spillway.llm.decontaminate import decontaminate
+from spillway.llm.exact_dedup import drop_copies
+from spillway.llm.language import UNDETERMINED, identify, train_on
+from spillway.llm.near_dedup import near_dedup
+from spillway.llm.pieces import decode, encode
+from spillway.session import materialise
+
+#: Documents whose language is less sure than this are rejected.
+SURE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents of a learnt language; the model learns from the labelled ones among them."""
+    told = identify(docs, train_on(docs), name="_lang", score="_score")
+    return told.where((F.col("_lang") != UNDETERMINED) & (F.col("_score") >= SURE)).select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id stays."""
+    return drop_copies(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents (five-word shingles, similarity 0.8 or more) the one with the smallest doc_id stays."""
+    gone = near_dedup(docs, size=5, threshold=80).where("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of the benchmark go."""
+    gone = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    back = decode(encode(docs.select("doc_id", "text"), model), model)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+
+
+STAGES = [("language", language), ("exact", exact), ("near", near), ("leaks", leaks), ("pieces", pieces)]
+
+#: A trained model can't be expressed in SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+query = run

@@ -176,3 +176,13 @@ def op8(spark, sf_dir):
     network = train(docs.join(labels, "doc_id").withColumnRenamed("doc_id", "id"))
     scored = score(docs, network)
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op5_pii")
+def op5(spark, sf_dir):
+    from spillway.llm.pii import KINDS, find, labelled_table, train
+
+    found = find(table(spark, sf_dir, "documents"), train(labelled_table()))
+    said = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))

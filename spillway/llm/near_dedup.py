@@ -1,9 +1,9 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
 1. Documents with the same shingle set form a class; one of it goes on.
-2. ``BANDS`` bands of ``ROWS`` MinHash values put classes into buckets. A pair at the
-   threshold shares no bucket with probability (1 - 0.85 ** 7) ** 32, 4 in a million.
-   Buckets that hold the same classes as another are dropped.
+2. Bands of MinHash values put classes into buckets. They are as long as leaves a pair
+   at the threshold without a common bucket ``UNSEEN`` times at most; at 0.85 that is 32
+   bands of 7 and (1 - 0.85 ** 7) ** 32, 4 in a million. Buckets that hold the same classes as another are dropped.
 3. Large buckets are cut into blocks; a task gets two blocks, so no task holds a
    bucket. Within it a pair belongs to the first band that it shares.
 4. Pairs are compared a few signature values at a time. With a uniform prior the
@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame, functions as F
 from spillway.llm.common import arrow_map, utf8
 from spillway.session import materialise
 
-BANDS, ROWS = 32, 7
+HASHES = 224
+UNSEEN = 2e-5
 BATCH = 32
 MISS = 1e-5
 BLOCK = 1024
 
 _RANDOM = np.random.default_rng(85)
-_TIMES = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2)
+_TIMES = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2)
 _WORD: dict[bytes, int] = {}
 
 
@@ -72,9 +73,16 @@ def minhashes(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(own: DataFrame, kind: str, size: int) -> DataFrame:
+def band_length(threshold: int) -> int:
+    """The longest bands that find pairs at the threshold."""
+    return max([1, *(r for r in range(1, 33) if (1 - (threshold / 100) ** r) ** (HASHES // r) <= UNSEEN)])
+
+
+def features(own: DataFrame, kind: str, size: int, length: int) -> DataFrame:
     """Per row: id, n_shingles, a key of the whole set, band keys, one byte of each MinHash."""
 
+    bands = HASHES // length
+
     def run(batches):
         for b in batches:
             cols = [[], [], [], []]
@@ -82,9 +90,9 @@ def features(own: DataFrame, kind: str, size: int) -> DataFrame:
                 s = shingles(text, size)
                 m = minhashes(s)
                 with np.errstate(over="ignore"):
-                    key = m.reshape(BANDS, ROWS)
-                    band = np.arange(BANDS, dtype=np.uint64)
-                    for k in range(ROWS):
+                    key = m[: bands * length].reshape(bands, length)
+                    band = np.arange(bands, dtype=np.uint64)
+                    for k in range(length):
                         band = (band ^ key[:, k]) * np.uint64(0xBF58476D1CE4E5B9)
                         band ^= band >> np.uint64(31)
                 for c, v in zip(cols, (len(s), xxhash.xxh3_128_digest(s.tobytes()), band.view(np.int64), (m >> np.uint64(24)).astype(np.uint8).tobytes())):
@@ -108,7 +116,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = own.schema["id"].dataType.simpleString()
-    seen = materialise(features(own, kind, size), "minhash")
+    seen = materialise(features(own, kind, size, band_length(threshold)), "minhash")
     classes = seen.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("class_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes = materialise(classes, "classes")
 

@@ -181,9 +181,10 @@ class Scorer:
 
     def rows(self, text_words: list[list[bytes]]) -> list[np.ndarray]:
         """Rows of the table of projected inputs, per text; row 0 is no word."""
-        new = {w for ws in text_words for w in ws} - self.kept.keys()
+        every = {w for ws in text_words for w in ws}
+        new = [w for w in every if w not in self.kept]
         if self.table is None or len(self.kept) + len(new) > KEPT:
-            self.kept, new = {}, {w for ws in text_words for w in ws}
+            self.kept, new = {}, every
             self.table = np.zeros((1, 6 * HIDDEN), np.float32)
         if new:
             listed = sorted(new)
