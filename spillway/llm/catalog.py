@@ -184,5 +184,5 @@ def op5(spark, sf_dir):
 
     found = find(table(spark, sf_dir, "documents"), train(labelled_table()))
     said = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))
