@@ -172,8 +172,8 @@ def op8(spark, sf_dir):
     from spillway.llm.toxicity import THRESHOLD, score, train
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1).select("doc_id", "toxic")
-    network = train(docs.join(labels, "doc_id").withColumnRenamed("doc_id", "id"))
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    network = train(docs.withColumnRenamed("doc_id", "id"), labels.select(F.col("doc_id").alias("id"), "toxic"))
     scored = score(docs, network)
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 

@@ -267,12 +267,20 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 10, steps: int = 6
     return network
 
 
-def train(labelled: DataFrame, per_label: int = 1500, longest: int = 4000) -> Network:
-    """A network from rows (id, text, toxic). At most ``per_label`` texts of each label of at most ``longest`` bytes, those of the smallest id hashes."""
-    rows = labelled.where("text IS NOT NULL AND toxic IN (0, 1)").where(F.octet_length("text") <= longest)
-    sample = []
-    for label in (0, 1):
-        sample += rows.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(per_label).select("id", "text", "toxic").collect()
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, longest: int = 4000) -> Network:
+    """A network from texts (id, text) and their labels (id, toxic).
+
+    At most ``per_label`` texts of each label of at most ``longest`` bytes, those of the smallest id hashes,
+    are learnt from. They are chosen by ids and sizes, so texts don't shuffle.
+    """
+    sizes = docs.select("id", F.octet_length("text").alias("size")).where(F.col("size") <= longest)
+    rows = sizes.join(labels.where("toxic IN (0, 1)").select("id", "toxic"), "id")
+    chosen = [r for label in (0, 1) for r in rows.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(per_label).select("id", "toxic").collect()]
+    if not chosen:
+        return fit([], np.empty(0, np.int64))
+    ids = docs.sparkSession.createDataFrame([(r.id, r.toxic) for r in chosen], rows.select("id", "toxic").schema)
+    sample = docs.select("id", "text").join(F.broadcast(ids), "id").collect()  # twice per_label rows at most
+    sample.sort(key=lambda r: (r.toxic, r.id))
     return fit([r.text.encode() for r in sample], np.array([r.toxic for r in sample], np.int64))
 
 
