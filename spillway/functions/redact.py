@@ -72,6 +72,22 @@ def is_sensitive_key(key: Column, keys: Sequence[str] = SENSITIVE_KEYS) -> Colum
     return F.lower(key).rlike("|".join(re.escape(k.lower()) for k in keys))
 
 
+def free_form(dtype: T.DataType) -> bool:
+    """The type holds a VARIANT, or a map by text whose values cannot hold the mark."""
+    if isinstance(dtype, T.StructType):
+        return any(free_form(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return free_form(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return free_form(dtype.valueType) or isinstance(dtype.keyType, T.StringType) and not isinstance(dtype.valueType, T.StringType)
+    return isinstance(dtype, T.VariantType)
+
+
+def _as_variant(col: Column, keys: Sequence[str], extra: Masks, depth: int) -> Column:
+    """A masked VARIANT; Python cannot run inside a transform, so whole arrays and maps come here."""
+    return F.try_parse_json(redact_json_udf(keys, extra, depth)(F.to_json(col)))
+
+
 def redact_value(
     col: Column,
     dtype: T.DataType,
@@ -84,6 +100,8 @@ def redact_value(
         return F.lit(TOO_DEEP)
     if isinstance(dtype, T.StringType):
         return redact_text(col, extra)
+    if isinstance(dtype, T.VariantType) or isinstance(dtype, (T.ArrayType, T.MapType)) and free_form(dtype):
+        return _as_variant(col, keys, extra, depth)
     if isinstance(dtype, T.StructType):
         if not dtype.fields:
             return col
@@ -101,8 +119,8 @@ def redact_value(
         if not isinstance(dtype.keyType, T.StringType):
             return F.transform_values(col, lambda _, v: redact_value(v, dtype.valueType, keys, extra, depth + 1))
         if not isinstance(dtype.valueType, T.StringType):
-            # Values of another type cannot hold the mark: such maps go through JSON.
-            raise TypeError("a MAP with string keys needs string values; use redact_json for others")
+            # Values of another type cannot hold the mark.
+            return _as_variant(col, keys, extra, depth)
         return F.transform_values(
             col,
             lambda k, v: F.when(is_sensitive_key(k, keys), F.lit(REDACTED)).otherwise(
@@ -136,8 +154,38 @@ def _masker(keys: Sequence[str], masks: Masks):
     return walk
 
 
-def redact_json_udf(keys: Sequence[str] = SENSITIVE_KEYS, extra: Masks = ()):
-    """UDF from JSON text to masked JSON text; undecodable text gives NULL."""
+def _flattened(text: str) -> str:
+    """JSON text in which whatever lies deeper than the bound is the mark, so that it can be decoded."""
+    out, depth, quoted, at = [], 0, False, 0
+    for k, c in enumerate(text):
+        if quoted:
+            quoted = c != '"' or _escapes(text, k)
+        elif c == '"':
+            quoted = True
+        elif c in "[{":
+            depth += 1
+            if depth == MAX_DEPTH + 2:
+                out.append(text[at:k] + json.dumps(TOO_DEEP))
+        elif c in "]}":
+            if depth == MAX_DEPTH + 2:
+                at = k + 1
+            depth -= 1
+    return "".join(out) + (text[at:] if depth == 0 else "")
+
+
+def _escapes(text: str, at: int) -> bool:
+    """An odd number of backslashes stands before this place."""
+    n = at
+    while text[n - 1] == "\\":
+        n -= 1
+    return (at - n) % 2 == 1
+
+
+def redact_json_udf(keys: Sequence[str] = SENSITIVE_KEYS, extra: Masks = (), depth: int = 0):
+    """UDF from JSON text to masked JSON text; undecodable text gives NULL.
+
+    What lies too deep becomes the mark, half a surrogate pair U+FFFD, and a number that JSON doesn't have 0.
+    """
     keys, masks = list(keys), [*MASKS, *extra]
 
     @F.pandas_udf("string")
@@ -148,10 +196,14 @@ def redact_json_udf(keys: Sequence[str] = SENSITIVE_KEYS, extra: Masks = ()):
             if text is None:
                 return None
             try:
-                value = json.loads(text)
+                try:
+                    value = json.loads(text, parse_constant=lambda _: 0)
+                except RecursionError:
+                    value = json.loads(_flattened(text), parse_constant=lambda _: 0)
             except ValueError:
                 return None
-            return json.dumps(walk(value, 0), ensure_ascii=False, separators=(",", ":"))
+            masked = json.dumps(walk(value, depth), ensure_ascii=False, separators=(",", ":"))
+            return masked.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
         for batch in batches:
             yield batch.map(one, na_action="ignore").astype(object)

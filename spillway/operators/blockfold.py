@@ -63,45 +63,39 @@ def block_fold(
     blocks: Blocks,
     needs: Sequence[str],
     added: Sequence[T.StructField],
-    longest: int,
 ) -> DataFrame:
     """Replay ``rule`` over every domain of ``numbered`` (which has ``_rn``).
 
     ``needs`` are the columns the rule reads; all columns of ``numbered`` pass
-    through untouched as Arrow buffers, and ``added`` are appended. ``longest``
-    is the size of the largest domain: while it fits one block, every block
-    starts in the initial state and steps 1 and 2 are left out.
+    through untouched as Arrow buffers, and ``added`` are appended.
     """
     domain = list(domain)
     if blocks.ahead > blocks.rows:
         raise ValueError("a block may look ahead at most one block")
     own = F.floor(F.col("_rn") / blocks.rows).cast("bigint")
-    if blocks.ahead:
+    def placed_in(rows_: DataFrame) -> DataFrame:
+        if not blocks.ahead:
+            return rows_.withColumn("_blk", own)
         # The first rows of a block are shown to the block before it as well.
-        shown = F.when((F.col("_rn") % blocks.rows < blocks.ahead) & (own > 0), F.array(own, own - 1)).otherwise(
-            F.array(own)
-        )
-        placed = numbered.withColumn("_blk", F.explode(shown))
-    else:
-        placed = numbered.withColumn("_blk", own)
+        early = (F.col("_rn") % blocks.rows < blocks.ahead) & (own > 0)
+        return rows_.withColumn("_blk", F.explode(F.when(early, F.array(own, own - 1)).otherwise(F.array(own))))
 
     out_schema = T.StructType([*numbered.schema.fields, *added])
     keys = [*domain, "_blk"]
     rows = blocks.rows
 
-    if longest <= rows:
-        work = placed.withColumn("_entry", F.lit(rule.start).cast("bigint"))
-    else:
-        # Blocks with a successor, one small row each.
-        followed = materialise(
-            numbered.filter((F.col("_rn") % rows == 0) & (F.col("_rn") > 0)).select(*domain, (own - 1).alias("_blk")),
-            "followed",
-        )
-        entries = _entry_states(placed, followed, domain, rule, rows, needs)
-        work = (
-            placed.join(entries.alias("e"), same(placed, entries, keys), "left")
-            .select(*[placed[c] for c in placed.columns], F.coalesce(entries["_entry"], F.lit(rule.start)).alias("_entry"))
-        )
+    # Blocks with a successor, one small row each; there are none where every domain fits one block.
+    numbered = materialise(numbered, "numbered")
+    followed = materialise(
+        numbered.filter((F.col("_rn") % rows == 0) & (F.col("_rn") > 0)).select(*domain, (own - 1).alias("_blk")),
+        "followed",
+    )
+    placed = placed_in(numbered)
+    entries = _entry_states(placed, followed, domain, rule, rows, needs)
+    work = (
+        placed.join(entries.alias("e"), same(placed, entries, keys), "left")
+        .select(*[placed[c] for c in placed.columns], F.coalesce(entries["_entry"], F.lit(rule.start)).alias("_entry"))
+    )
 
     def replay(table: pa.Table) -> pa.Table:
         table = table.sort_by("_rn")

@@ -30,14 +30,15 @@ def _number(value: Column) -> Column:
 
 
 def clamp_seconds(value: Column, low: int, high: int) -> Column:
-    whole = _number(value).cast("bigint")
-    return F.when(whole.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), whole)).cast("bigint"))
+    """Whole seconds within bounds; the clamp comes first, as a number may be too large to cast."""
+    n = _number(value)
+    return F.when(n.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), n)).cast("bigint"))
 
 
 def remote_batch_size(value: Column) -> Column:
     """A positive size, raised to the remote minimum; otherwise NULL (keep the local one)."""
     n = _number(value)
-    return F.when(n > 0, F.greatest(F.lit(MIN_REMOTE_BATCH), n.cast("bigint")).cast("bigint"))
+    return F.when(n > 0, F.greatest(F.lit(MIN_REMOTE_BATCH), F.least(n, F.lit(float(1 << 53))).cast("bigint")).cast("bigint"))
 
 
 def effective_config(apps: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ is masked or rendered for a row that is dropped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spillway.constants import DELIVERY_FAILED, DELIVERY_JOB, GAVE_UP, LEVEL_RANK
@@ -42,12 +44,25 @@ def passes_min_level(level_name: Column, min_level: Column) -> Column:
     return F.coalesce(level_rank(level_name) >= floor, F.lit(True))
 
 
-def is_own_failure(exc_class: Column, exc_job: Column, exc_message: Column, job: str = DELIVERY_JOB) -> Column:
-    """The record reports that log delivery itself failed."""
+def class_is(name: Column, classes: Sequence[str]) -> Column:
+    """A class of these names; names without a qualifier also match qualified ones."""
+    bare = F.element_at(F.split(name, r"[\\\\.]"), -1)
+    return name.isin(list(classes)) | bare.isin([c for c in classes if not set(c) & {"\\", "."}])
+
+
+def is_own_failure(
+    exc_class: Column, exc_job: Column, exc_message: Column, job: str = DELIVERY_JOB,
+    failed: Sequence[str] = (DELIVERY_FAILED,), gave_up: Sequence[str] = tuple(GAVE_UP),
+) -> Column:
+    """The record reports that log delivery itself failed.
+
+    ``job`` is the delivery job's name; ``failed`` are classes that only it raises (list subclasses as well),
+    ``gave_up`` those that the queue raises for any job.
+    """
     named = F.when(exc_job.isNotNull(), exc_job == job).otherwise(
         F.coalesce(F.startswith(exc_message, F.lit(f"{job} has ")), F.lit(False))
     )
-    return F.coalesce((exc_class == DELIVERY_FAILED) | (exc_class.isin(GAVE_UP) & named), F.lit(False))
+    return F.coalesce(class_is(exc_class, failed) | (class_is(exc_class, gave_up) & named), F.lit(False))
 
 
 def is_foreign_job(job_name: Column, job: str = DELIVERY_JOB) -> Column:

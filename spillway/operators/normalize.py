@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spillway.constants import CONTEXT_TYPES, LEVEL_RANK, SENSITIVE_KEYS, TRACE_LINES
-from spillway.functions.redact import Masks, is_sensitive_name, redact_json, redact_text, redact_value
+from spillway.functions.redact import free_form, Masks, is_sensitive_name, redact_json, redact_text, redact_value
 from spillway.functions.text import level_rank, rfc3339_ms, text_json_bytes
 
 EXC_KEYS = ["class", "message", "file", "line", "trace"]
@@ -81,6 +81,8 @@ class _Context:
 
     masked: Column
     dtype: T.DataType
+    #: JSON text of a context that isn't an object, else NULL.
+    other: Column | None = None
 
     def text(self, key: str) -> Column:
         """Value of ``key`` when it is a string, else NULL."""
@@ -101,7 +103,13 @@ class _Context:
         else:
             kept = F.map_filter(self.masked, lambda k, _: ~k.isin(list(drop))) if drop else self.masked
             body = F.to_json(kept, KEEP_NULLS)
-        return F.when(self.masked.isNull(), F.lit("{}")).otherwise(body)
+        body = F.when(self.masked.isNull(), F.lit("{}")).otherwise(body)
+        return body if self.other is None else F.coalesce(self.other, body)
+
+    def object(self, drop: Sequence[str] = ()) -> Column:
+        """As ``json``, with a list under a key of its own."""
+        body = self.json(drop)
+        return body if self.other is None else F.when(F.startswith(body, F.lit("[")), F.concat(F.lit('{"context":'), body, F.lit("}"))).otherwise(body)
 
 
 def _masked_context(df: DataFrame, keys: Sequence[str], extra: Masks) -> _Context:
@@ -113,8 +121,10 @@ def _masked_context(df: DataFrame, keys: Sequence[str], extra: Masks) -> _Contex
         return _Context(redact_value(col, dtype, keys, extra), _masked_type(dtype, keys))
     # Free form: JSON text, VARIANT or a map of VARIANT.
     text = col if isinstance(dtype, T.StringType) else F.to_json(col)
-    masked = F.from_json(redact_json(text, keys, extra), FREE_FORM)
-    return _Context(masked, T.MapType(T.StringType(), T.VariantType()))
+    json_text = redact_json(text, keys, extra)
+    raw = F.to_json(F.struct(redact_text(text, extra).alias("raw")))
+    other = F.when(json_text.isNull() & (F.trim(text) != ""), raw).when(F.startswith(json_text, F.lit("[")) & (json_text != "[]"), json_text)
+    return _Context(F.from_json(json_text, FREE_FORM), T.MapType(T.StringType(), T.VariantType()), other)
 
 
 def _masked_type(dtype: T.DataType, keys: Sequence[str]) -> T.DataType:
@@ -124,7 +134,7 @@ def _masked_type(dtype: T.DataType, keys: Sequence[str]) -> T.DataType:
     return T.StructType(
         [
             # A masked sensitive field is the constant mark, never a usable text value.
-            T.StructField(f.name, T.StringType() if is_sensitive_name(f.name, keys) else f.dataType)
+            T.StructField(f.name, T.StringType() if is_sensitive_name(f.name, keys) else T.VariantType() if free_form(f.dataType) else f.dataType)
             for f in dtype.fields
         ]
     )
@@ -159,7 +169,7 @@ def to_entries(
         exc_json = F.to_json(redact_value(exc, EXC_TYPE, keys, extra_patterns), KEEP_NULLS)
         with_exc = _join_objects(
             exc_json,
-            F.when(rid.isNotNull(), ctx.json([*REPLACED_KEYS, "request_id"])).otherwise(ctx.json(REPLACED_KEYS)),
+            F.when(rid.isNotNull(), ctx.object([*REPLACED_KEYS, "request_id"])).otherwise(ctx.object(REPLACED_KEYS)),
         )
         plain = F.when(rid.isNotNull(), ctx.json(["request_id"])).otherwise(ctx.json())
         context = F.when(F.col("exc").isNotNull(), with_exc).otherwise(plain)

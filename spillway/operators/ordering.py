@@ -111,12 +111,6 @@ def number_rows(staged: DataFrame, domain: Sequence[str], name: str = "_rn") ->
     return scan(staged, domain, {name: Scan("sum", F.lit(1).cast("bigint"), before=True)})
 
 
-def longest_domain(staged: DataFrame, domain: Sequence[str]) -> int:
-    """Rows of the largest domain; a single number comes back to the driver."""
-    sizes = staged.groupBy(*domain).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-
-
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality on all keys."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])

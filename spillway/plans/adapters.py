@@ -9,17 +9,8 @@ from spillway.session import configure
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that comes as a few unsplittable files is spread over the cores.
-
-    A table of at least as many files as cores is read as it lies.
-    """
-    df = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in LARGE and len(df.inputFiles()) < cores else df
-
-
-# Tables that grow with the scale factor and feed per-row work.
-LARGE = {"customer", "orders", "lineitem", "events", "documents", "conversations"}
+    """A given table, read as it lies."""
+    return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,10 +23,10 @@ def with_instants(e: DataFrame) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as a stream of files."""
+    """The same events as a stream, be the table one file or a folder of them."""
     root = sf_dir.rstrip("/")
     schema = configure(spark).read.parquet(f"{root}/events.parquet").schema
-    return with_instants(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(root))
+    return with_instants(spark.readStream.schema(schema).parquet(f"{root}/events.parque[t]"))
 
 
 def level_of(event_type: Column) -> Column:
@@ -196,15 +187,19 @@ failed AS (
 )"""
 
 STATUSES = [200, 201, 302, 400, 401, 404, 408, 413, 422, 429, 500, 503]
-RETRY_HEADERS = [
-    "17", " 17 ", "0", "-5", "86400", "Mon, 05 Oct 2026 12:02:00 GMT", "Mon, 05 Oct 2026 11:59:30 GMT", "soon", "",
-    "+5", "1.5", "5s", "Tue, 05 Oct 2026 12:02:00 GMT", "Thu, 32 Oct 2026 12:02:00 GMT",
-    "Mon, 5 Oct 2026 12:02:00 GMT", "Mon, 05 Oct 2026 12:02:00 +0000", "Monday, 05-Oct-26 12:02:00 GMT",
-    "Mon Oct  5 12:02:00 2026", "2026-10-05T12:02:00Z", "+2 minutes", "tomorrow", None,
-]
 NOON = 1_791_201_600  # 2026-10-05 12:00:00 UTC
 
 
+def retry_header(kind: Column, quantity: Column) -> Column:
+    """Seconds, a date or something spoilt, as the row's quantity has it."""
+    date = F.date_format(F.timestamp_seconds(F.lit(NOON - 100) + quantity * 20), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    text = quantity.cast("string")
+    return (
+        F.when(kind == 0, text).when(kind == 1, F.concat(F.lit(" "), text, F.lit(" "))).when(kind == 2, F.concat(F.lit("-"), text))
+        .when(kind == 3, date).when(kind == 4, F.replace(date, F.lit("GMT"), F.lit("UTC"))).when(kind == 5, F.concat(text, F.lit("s")))
+    )
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as delivery attempts; the order is the job."""
     li = table(spark, sf_dir, "lineitem")
@@ -219,7 +214,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("part"),
         F.col("l_suppkey").alias("supp"),
         status.cast("bigint").alias("status"),
-        F.get(F.array(*[F.lit(h) for h in RETRY_HEADERS]), (mix % len(RETRY_HEADERS)).cast("int")).alias("retry_after"),
+        retry_header(mix % 7, F.col("l_quantity").cast("bigint")).alias("retry_after"),
         F.concat(F.lit(" body of "), order, F.lit(" ")).alias("body"),
         F.lit(NOON).cast("bigint").alias("now"),
         F.when(order % 17 == 0, F.lit(None)).otherwise(F.lit(NOON) + (order % 5) * 60 - 30).cast("bigint").alias("retry_deadline"),
@@ -232,13 +227,11 @@ attempts AS (
   SELECT l_orderkey AS job, CAST(l_linenumber AS BIGINT) AS attempt, l_partkey AS part, l_suppkey AS supp,
          CASE WHEN (l_orderkey * 7 + l_linenumber) % 13 = 12 THEN NULL
               ELSE {STATUSES}[(l_orderkey * 7 + l_linenumber) % 13 + 1] END AS status,
-         {_sql_list(RETRY_HEADERS)}[(l_orderkey * 7 + l_linenumber) % {len(RETRY_HEADERS)} + 1] AS retry_after,
+         CASE (l_orderkey * 7 + l_linenumber) % 7 WHEN 0 THEN CAST(l_quantity AS BIGINT) WHEN 1 THEN CAST(l_quantity AS BIGINT) WHEN 2 THEN 1
+              WHEN 3 THEN greatest(1, least(600, CAST(l_quantity AS BIGINT) * 20 - 100)) ELSE 30 END AS asked,
          'body of ' || l_orderkey AS body,
          {NOON} AS now,
          CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE {NOON} + (l_orderkey % 5) * 60 - 30 END AS retry_deadline,
          l_orderkey % 19 = 0 AS sync
   FROM lineitem
 )"""
-
-# Seconds each header of RETRY_HEADERS asks for at NOON.
-RETRY_SECONDS = [17, 17, 1, 1, 600, 120, 1] + [30] * 15

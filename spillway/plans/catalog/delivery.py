@@ -16,7 +16,7 @@ OUTCOME_QUEUE_SQL = """CASE WHEN status BETWEEN 200 AND 299 THEN 'success' WHEN
 OUTCOME_DRAIN_SQL = """CASE WHEN status BETWEEN 200 AND 299 THEN 'success' WHEN status = 429 THEN 'rate_limited'
   WHEN status IN (401, 403, 404, 405) THEN 'stop' WHEN status BETWEEN 400 AND 499 AND status <> 408 THEN 'reject' ELSE 'retry' END"""
 BACKOFF_SQL = "CASE attempt WHEN 1 THEN 10 WHEN 2 THEN 30 WHEN 3 THEN 120 ELSE 300 END"
-RETRY_SQL = f"{A.RETRY_SECONDS}[(job * 7 + attempt) % {len(A.RETRY_HEADERS)} + 1]"
+RETRY_SQL = "asked"
 
 
 @query("outcome_queue", f"WITH {A.ATTEMPTS_SQL} SELECT {_ROW}, {OUTCOME_QUEUE_SQL} AS outcome FROM attempts")

@@ -13,15 +13,15 @@ from spillway.operators.normalize import to_entries, with_wire_text
 from spillway.session import materialise
 
 
-def wanted(records: DataFrame, config: DataFrame) -> DataFrame:
-    """Records that are shipped at all.
+def wanted(records: DataFrame, config: DataFrame, **own_failure) -> DataFrame:
+    """Records that are shipped at all. ``own_failure``: ``job``, ``failed``, ``gave_up`` of ``is_own_failure``.
 
     Reads settings ``url, token, enabled, channel_level, min_level`` per app.
     """
     own = F.lit(False)
     if "exc" in records.columns:
         job = F.col("exc.job") if "job" in records.schema["exc"].dataType.names else F.lit(None).cast("string")
-        own = filters.is_own_failure(F.col("exc.class"), job, F.col("exc.message"))
+        own = filters.is_own_failure(F.col("exc.class"), job, F.col("exc.message"), **own_failure)
     settings = config.select("app", "url", "token", "enabled", "channel_level", "min_level")
     kept = filters.with_config(records.filter(~own), settings).filter(
         filters.configured(F.col("url"), F.col("token"))
@@ -43,6 +43,7 @@ def normalise_logs(
     redact_message: bool = True,
     keys: Sequence[str] = SENSITIVE_KEYS,
     extra_patterns: Masks = (),
+    own_failure: dict | None = None,
 ) -> DataFrame:
     """Filter, normalise, mask and pack; one row per entry with its batch.
 
@@ -52,7 +53,7 @@ def normalise_logs(
     domain = ["app", "proc", *unit]
     entries = with_wire_text(
         to_entries(
-            wanted(records, config),
+            wanted(records, config, **(own_failure or {})),
             redact_message=redact_message,
             keys=keys,
             extra_patterns=extra_patterns,

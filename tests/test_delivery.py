@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,14 +9,14 @@ from spillway.plans.adapters import NOON
 
 
 def test_retry_after(spark):
-    cases = {
-        "17": 17, " 17 ": 17, "0": 1, "-5": 1, "86400": 600, "99999999999999999999": 600, "-99999999999999999999": 1,
-        "Mon, 05 Oct 2026 12:02:00 GMT": 120, "Mon, 05 Oct 2026 11:59:30 GMT": 1,
-        "soon": 30, "": 30, "+5": 30, "1.5": 30, "5s": 30, "Tue, 05 Oct 2026 12:02:00 GMT": 30,
-        "Thu, 32 Oct 2026 12:02:00 GMT": 30, "Mon, 5 Oct 2026 12:02:00 GMT": 30, "Mon, 05 Oct 2026 12:02:00 +0000": 30,
-        "Monday, 05-Oct-26 12:02:00 GMT": 30, "Mon Oct  5 12:02:00 2026": 30, "2026-10-05T12:02:00Z": 30,
-        "+2 minutes": 30, "tomorrow": 30, None: 30,
-    }
+    printed = lambda seconds, form: datetime.datetime.fromtimestamp(NOON + seconds, datetime.timezone.utc).strftime(form)
+    fixdate = "%a, %d %b %Y %H:%M:%S GMT"
+    cases = {str(n): min(max(n, 1), 600) for n in (-10**25, -3, 0, 1, 9, 599, 601, 10**25)}
+    cases |= {f"\t{n} ": n for n in (2, 45)} | {printed(n, fixdate): min(max(n, 1), 600) for n in (-90, 1, 75, 9000)}
+    good = printed(75, fixdate)
+    other_day = good.replace(good[:3], "Sun" if good[:3] != "Sun" else "Sat")
+    spoilt = [other_day, good.lower(), good[:-4], good[5:], good.replace("GMT", "CET"), good.replace(printed(75, "%d"), "00"), printed(75, "%Y/%m/%d %H:%M:%S"), "45.0", "4e1", "45 s", "0x2d", "later", " ", None]
+    cases |= dict.fromkeys(spoilt, 30)
     df = spark.createDataFrame(list(cases.items()), "h string, want long")
     rows = df.withColumn("got", retry_after_seconds(F.col("h"), F.lit(NOON))).collect()
     assert [(r.h, r.got) for r in rows] == [(r.h, r.want) for r in rows]

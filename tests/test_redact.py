@@ -80,3 +80,19 @@ def test_sql_functions(spark):
     R.register(spark)
     row = spark.sql("""SELECT redact_text('to a@b.cc é4111 1111 1111 1111') AS t, redact_json('{"secret":1}') AS j""").first()
     assert row.t == "to [EMAIL] é[CARD]" and row.j == '{"secret":"[REDACTED]"}'
+
+
+def test_free_form_values_inside_typed_ones(spark):
+    df = spark.sql(
+        """SELECT named_struct('v', parse_json('{"password":"p1","m":"mail a@b.com"}'), 'n', map('token', 1, 'x', 2),
+                  'l', array(parse_json('{"api_key":"p2"}')), 'k', 5) AS c"""
+    )
+    out = df.select(F.to_json(R.redact_value(F.col("c"), df.schema["c"].dataType)).alias("j")).first().j
+    assert not any(x in out for x in ("p1", "p2", "a@b.com")) and '"x":2' in out and '"k":5' in out
+
+
+def test_texts_that_are_hard_to_decode(spark):
+    rows = [("\"\\ud800 and [\\\" text\"",), ("[" * 100_000 + "]" * 100_000,), ('{"a":NaN,"b":[Infinity]}',), ("{broken",), ('{"q":"[[\\"]]","d":' + "[" * 5000 + "]" * 5000 + "}",)]
+    got = [r.j for r in spark.createDataFrame(rows, "t string").select(R.redact_json(F.col("t")).alias("j")).collect()]
+    assert got[0] == '"� and [\\" text"' and R.TOO_DEEP in got[1] and got[2] == '{"a":0,"b":[0]}' and got[3] is None
+    assert got[4].startswith('{"q":"[[\\"]]","d":[') and R.TOO_DEEP in got[4]
