@@ -33,10 +33,10 @@ UNKNOWN = 1 << 24
 #: Slots for pairs of pieces; a power of two.
 MEMO = 1 << 21
 #: Encoded words that a worker keeps.
-KEPT = 1 << 19
+KEPT = 3 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 18
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _SOME = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20)
 
 
 def model_type(path: str) -> int:
@@ -78,7 +78,10 @@ class Model:
         keys = np.array([self.hash_of(p) for p in self.id_of], np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(list(self.id_of.values()), np.int64)[order]
-        self.kept: dict[str, np.ndarray] = {}
+        self.some = np.zeros(1 << (64 - int(_SOME)), bool)  # which keys there may be, asked before the search
+        with np.errstate(over="ignore"):
+            self.some[(self.keys * _BASE >> _SOME).astype(np.int64)] = True
+        self.forget()
         if kind == BPE:
             self.grow_trees(order)
 
@@ -169,8 +172,8 @@ class Model:
             live, x, y, limit = live[~ended], x[~ended], y[~ended], limit[~ended]
         return good
 
-    def viterbi(self, words: list[str]) -> list[np.ndarray]:
-        """Pieces of words of one length, advancing together."""
+    def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of words of one length, advancing together: all in a row, and how many each has."""
         n, size = len(words), len(words[0])
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64)
         best = np.full((size + 1, n), -np.inf)
@@ -178,19 +181,22 @@ class Model:
         step = np.zeros((size + 1, n), np.int16)
         last = np.zeros((size + 1, n), np.int64)
         floor = (self.score.min() if len(self.score) else 0) - 10
-        everyone = np.arange(n)
         with np.errstate(over="ignore"):
             for end in range(1, size + 1):
                 h, power = np.zeros(n, np.uint64), np.uint64(1)
                 for length in range(1, min(self.longest, end) + 1):
                     h = (chars[:, end - length] + np.uint64(1)) * power + h
                     power = power * _BASE
-                    slot = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                    who = everyone[self.keys[slot] == h]
-                    state = self.ids[slot[who]]
+                    maybe = np.nonzero(self.some[(h * _BASE >> _SOME).astype(np.int64)])[0]
+                    slot = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
+                    hit = self.keys[slot] == h[maybe]
+                    who = maybe[hit]
+                    state = self.ids[slot[hit]]
                     gain = self.score[state]
                     if length == 1:  # a character without a piece stands for itself
-                        none = everyone[self.keys[slot] != h]
+                        unseen = np.ones(n, bool)
+                        unseen[who] = False
+                        none = np.nonzero(unseen)[0]
                         who = np.r_[who, none]
                         state = np.r_[state, chars[none, end - 1].astype(np.int64) + UNKNOWN]
                         gain = np.r_[gain, np.full(len(none), floor)]
@@ -202,25 +208,33 @@ class Model:
                         ok[ok] = self.follow(last[start, who[ok]], state[ok])
                     who = who[ok]
                     best[end, who], step[end, who], last[end, who] = total[ok], length, state[ok]
-        out, at = [[] for _ in words], np.full(n, size)
-        while (live := at > 0).any():
-            who = everyone[live]
-            for k, s in zip(who.tolist(), last[at[who], who].tolist()):
-                out[k].append(s)
+        at, steps = np.full(n, size), []
+        while len(who := np.nonzero(at > 0)[0]):
+            steps.append((who, last[at[who], who]))
             at[who] -= step[at[who], who]
-        return [self.spelt(states[::-1]) for states in out]
-
-    def spelt(self, states: list[int]) -> np.ndarray:
-        """Ids of states; characters without a piece as bytes, or as unknown if the model has none."""
-        ids = []
-        for s in states:
-            if s < UNKNOWN:
-                ids.append(s)
-            elif self.byte_ids:
-                ids += [self.byte_ids[x] for x in chr(s - UNKNOWN).encode()]
-            elif not ids or ids[-1] != self.unknown:
-                ids.append(self.unknown)
-        return np.array(ids, np.int32)
+        # Steps were taken from the right; grouped by word they read from the left.
+        who, states = (np.concatenate(x) for x in zip(*reversed(steps)))
+        order = np.argsort(who, kind="stable")
+        who, states = who[order], states[order]
+        return self.spelt(who, states, n)
+
+    def spelt(self, who: np.ndarray, states: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of states by word; characters without a piece as bytes, or as unknown (a run of them once) if the model has none."""
+        odd = np.nonzero(states >= UNKNOWN)[0]
+        if not self.byte_ids:
+            again = odd[np.isin(odd - 1, odd) & (who[odd] == who[odd - 1])]
+            ids = states.copy()
+            ids[odd] = self.unknown
+            kept = np.ones(len(ids), bool)
+            kept[again] = False
+            return ids[kept].astype(np.int32), np.bincount(who[kept], minlength=n)
+        spelling = [[self.byte_ids[x] for x in chr(c).encode()] for c in (states[odd] - UNKNOWN).tolist()]
+        times = np.ones(len(states), np.int64)
+        times[odd] = [len(x) for x in spelling]
+        ids = np.repeat(states, times).astype(np.int32)
+        for at, x in zip((np.cumsum(times) - times)[odd].tolist(), spelling):
+            ids[at : at + len(x)] = x
+        return ids, np.bincount(np.repeat(who, times), minlength=n)
 
     def words(self, text: str) -> list[str]:
         """The text with space marks, a leading one added, cut before each run of marks."""
@@ -240,26 +254,38 @@ class Model:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.words(t) for t in texts]
-        new = {w for words in split for w in words}
+        every = set().union(*split)
         if len(self.kept) > KEPT:
-            self.kept.clear()
+            self.forget()
         by_size: dict[int, list[str]] = {}
-        for w in new:
+        for w in every:
             if w not in self.kept:
                 by_size.setdefault(len(w), []).append(w)
+        found, sizes = [self.flat], [self.sizes]
         for size, words in by_size.items():
             some = max(1, TOGETHER // size)
             for at in range(0, len(words), some):
                 part = words[at : at + some]
-                self.kept.update(zip(part, self.viterbi(part)))
-        get, none = self.kept.__getitem__, np.empty(0, np.int32)
-        return [np.concatenate([*map(get, words)]) if words else none for words in split]
+                for held, x in zip((found, sizes), self.viterbi(part)):
+                    held.append(x)
+                self.kept.update(zip(part, range(len(self.kept), len(self.kept) + len(part))))
+        self.flat, self.sizes = np.concatenate(found), np.concatenate(sizes)
+        starts = np.cumsum(self.sizes) - self.sizes
+        get, out = self.kept.__getitem__, []
+        for words in split:
+            own = np.fromiter(map(get, words), np.int64, len(words))
+            n = self.sizes[own]
+            out.append(self.flat[np.repeat(starts[own] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        return out
+
+    def forget(self) -> None:
+        """No word is kept: their places, and the pieces of all of them in a row."""
+        self.kept: dict[str, int] = {}
+        self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
     def decode(self, ids: np.ndarray) -> str:
         """Joined pieces without the leading mark; runs of byte pieces are read as UTF-8, bad bytes as U+FFFD."""
-        out = bytearray()
-        for i in ids.tolist():
-            out += self.raw[i]
+        out = b"".join(map(self.raw.__getitem__, ids.tolist()))
         text = out.decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text[:1] == " " else text
 
