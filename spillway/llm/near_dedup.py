@@ -40,7 +40,7 @@ _WORD: dict[bytes, int] = {}
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_WORD) > 1 << 20:
+    if len(_WORD) > 1 << 17:
         _WORD.clear()
     get = _WORD.get
     out = [get(w) for w in words]

@@ -31,9 +31,9 @@ UNIGRAM, BPE = 1, 2  # fixed values of the model format
 #: A character without a piece is state ``UNKNOWN`` + its code point.
 UNKNOWN = 1 << 24
 #: Slots for pairs of pieces; a power of two.
-MEMO = 1 << 21
+MEMO = 1 << 19
 #: Encoded words that a worker keeps.
-KEPT = 3 << 17
+KEPT = 1 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 18
 _BASE, _SOME = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20)
@@ -82,11 +82,10 @@ class Model:
         with np.errstate(over="ignore"):
             self.some[(self.keys * _BASE >> _SOME).astype(np.int64)] = True
         self.forget()
-        if kind == BPE:
-            self.grow_trees(order)
+        self.memo: np.ndarray | None = None
 
-    def grow_trees(self, order: np.ndarray) -> None:
-        """What deciding about neighbours takes: how each piece was merged, and which pairs merge into what."""
+    def grow_trees(self) -> None:
+        """What encoding takes besides the pieces, which a decoder doesn't need: what deciding about neighbours takes: how each piece was merged, and which pairs merge into what."""
         n = len(self.pieces)
         self.rank = np.full(n, -1.0)  # when a piece is formed; single characters are there from the start
         self.left, self.right, self.odd = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
@@ -103,8 +102,9 @@ class Model:
                     pairs[a << 32 | b] = -self.score[i]
         self.pairs = np.array(sorted(pairs), np.int64)
         self.merged_at = np.array([pairs[k] for k in self.pairs.tolist()])
-        good = np.array(good, bool)[order]
-        self.keys, self.ids = self.keys[good], self.ids[good]  # pieces that merging never gives can't be used
+        usable = np.zeros(n, bool)
+        usable[list(self.id_of.values())] = good
+        self.keys, self.ids = self.keys[usable[self.ids]], self.ids[usable[self.ids]]  # pieces that merging never gives can't be used
         self.memo, self.memo_good = np.full(MEMO, -1, np.int64), np.zeros(MEMO, bool)
 
     @staticmethod
@@ -253,6 +253,8 @@ class Model:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.kind == BPE and self.memo is None:
+            self.grow_trees()
         split = [self.words(t) for t in texts]
         every = set().union(*split)
         if len(self.kept) > KEPT:
