@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spillway.session import configure
 
 #: Rows handed to a Python worker at once; texts may be long.
-ROWS_PER_BATCH = "1000"
+ROWS_PER_BATCH = "500"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

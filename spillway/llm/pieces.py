@@ -35,7 +35,7 @@ MEMO = 1 << 19
 #: Encoded words that a worker keeps.
 KEPT = 1 << 17
 #: Characters of words that advance together.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 17
 _BASE, _SOME = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20)
 
 
