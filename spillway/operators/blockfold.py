@@ -5,29 +5,31 @@ where the previous one did. But what a block of rows does to the state coming
 in is a *function of that state*, and functions compose. So:
 
 1. each block that has a successor is summarised into its state function;
-2. the functions are composed in groups of ``FAN`` blocks, then folded per
-   domain over the groups, then evaluated back down to each block;
+2. the functions are composed in groups of ``FAN``, level by level, until a
+   domain's functions fit one group, then evaluated back down to each block;
 3. each block is replayed once with its now known entry state.
 
 Steps 1 and 3 carry all rows and are parallel over blocks of fixed size; step
-2 handles one small record per block.
+2 handles one small record per block, and no task more than ``FAN`` of a domain.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from spillway.operators.ordering import same
 from spillway.session import materialise
 
-FAN = 256
+FAN = 64
 
 
 class Rule(Protocol):
@@ -92,19 +94,47 @@ def block_fold(
     )
     placed = placed_in(numbered)
     entries = _entry_states(placed, followed, domain, rule, rows, needs)
+    # A block's entry state comes as a row before its own, so one shuffle brings both.
+    known = entries.select(*keys, F.lit(-1).cast("bigint").alias("_rn"), "_entry")
     work = (
-        placed.join(entries.alias("e"), same(placed, entries, keys), "left")
-        .select(*[placed[c] for c in placed.columns], F.coalesce(entries["_entry"], F.lit(rule.start)).alias("_entry"))
+        placed.withColumn("_entry", F.lit(None).cast("bigint"))
+        .unionByName(known, allowMissingColumns=True)
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "_rn")
     )
 
-    def replay(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_rn")
-        end = (table["_blk"][0].as_py() + 1) * rows
-        state = table["_entry"][0].as_py()
-        out = rule.replay(table, end, state)
-        return out.select(out_schema.names)
-
-    return work.groupBy(*keys).applyInArrow(replay, out_schema)
+    def replay(block: pa.Table) -> pa.Table:
+        end = (block["_blk"][0].as_py() + 1) * rows
+        state = rule.start
+        if block["_rn"][0].as_py() < 0:
+            state, block = block["_entry"][0].as_py(), block.slice(1)
+        return rule.replay(block, end, state).select(out_schema.names)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blocks_ in _runs(batches, keys):
+            yield from pa.concat_tables([replay(b) for b in blocks_]).combine_chunks().to_batches()
+
+    return work.mapInArrow(over, out_schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[list[pa.Table]]:
+    """The blocks of rows sorted by ``keys``, as many at a time as a batch completes."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        new = np.zeros(held.num_rows, bool)
+        for key in keys:
+            codes = pc.dictionary_encode(held[key].combine_chunks(), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            new[1:] |= codes[1:] != codes[:-1]
+        cuts = [0, *np.nonzero(new)[0].tolist()]
+        if len(cuts) > 1:
+            yield [held.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
+        held = held.slice(cuts[-1])
+    if held is not None:
+        yield [held]
 
 
 def _entry_states(placed, followed, domain, rule, rows, needs) -> DataFrame:
@@ -120,12 +150,9 @@ def _entry_states(placed, followed, domain, rule, rows, needs) -> DataFrame:
         fn = pickle.dumps(rule.summarise(table, end))
         return table.slice(0, 1).select(keys).append_column("_fn", pa.array([fn], pa.binary()))
 
-    fns = materialise(
-        summarised.groupBy(*keys)
-        .applyInArrow(summarise, T.StructType([*key_fields, T.StructField("_blk", T.LongType()), T.StructField("_fn", T.BinaryType())]))
-        .withColumn("_grp", F.floor(F.col("_blk") / FAN).cast("bigint")),
-        "fns",
-    )
+    fn_schema = T.StructType([*key_fields, T.StructField("_blk", T.LongType()), T.StructField("_fn", T.BinaryType())])
+    levels = [materialise(summarised.groupBy(*keys).applyInArrow(summarise, fn_schema), "fns")]
+    group = F.floor(F.col("_blk") / FAN).cast("bigint")
 
     def composed(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_blk")
@@ -133,43 +160,46 @@ def _entry_states(placed, followed, domain, rule, rows, needs) -> DataFrame:
         for blob in pdf["_fn"]:
             step = pickle.loads(blob)
             fn = step if fn is None else rule.compose(fn, step)
-        out = pdf.head(1)[[*domain, "_grp"]].copy()
+        out = pdf.head(1)[keys].copy()
+        out["_blk"] = out["_blk"] // FAN
         out["_fn"] = [pickle.dumps(fn)]
         return out
 
-    grp_fields = [*key_fields, T.StructField("_grp", T.LongType())]
-    groups = fns.groupBy(*domain, "_grp").applyInPandas(
-        composed, T.StructType([*grp_fields, T.StructField("_fn", T.BinaryType())])
-    )
+    most = followed.agg(F.max("_blk")).first()[0] or 0
+    while most >= FAN:
+        most //= FAN
+        up = levels[-1].groupBy(*domain, group.alias("_grp")).applyInPandas(composed, fn_schema)
+        levels.append(materialise(up, "fns"))
 
-    def walk(by: str, known: str | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        """States before each function, in order of ``by``."""
+    def walk(leaf: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        """States before each function, or after each block: what the next one starts from."""
 
         def states(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(by)
-            state = rule.start if known is None else int(pdf[known].iloc[0])
+            pdf = pdf.sort_values("_blk")
+            state = int(pdf["_state"].iloc[0])
             seen = []
             for blob in pdf["_fn"]:
                 before, state = state, int(rule.evaluate(pickle.loads(blob), state))
-                seen.append(before if known is None else state)
-            out = pdf[[*domain, by]].copy()
-            if known is None:
-                out["_state"] = seen
-            else:
-                # What a block leaves behind is what the next one starts from.
-                out[by] = out[by] + 1
-                out["_entry"] = seen
+                seen.append(state if leaf else before)
+            out = pdf[keys].copy()
+            out["_blk"] += int(leaf)
+            out["_entry" if leaf else "_state"] = seen
             return out
 
         return states
 
-    group_states = groups.groupBy(*domain).applyInPandas(
-        walk("_grp", None), T.StructType([*grp_fields, T.StructField("_state", T.LongType())])
-    )
-    joined = fns.join(group_states.alias("g"), same(fns, group_states, [*domain, "_grp"]), "inner").select(
-        *[fns[c] for c in fns.columns], group_states["_state"]
-    )
-    return joined.groupBy(*domain, "_grp").applyInPandas(
-        walk("_blk", "_state"),
-        T.StructType([*key_fields, T.StructField("_blk", T.LongType()), T.StructField("_entry", T.LongType())]),
-    )
+    above = None
+    for depth in reversed(range(len(levels))):
+        fns = levels[depth].withColumn("_grp", group)
+        if above is None:
+            entering = fns.withColumn("_state", F.lit(rule.start).cast("bigint"))
+        else:
+            outer = above.withColumnRenamed("_blk", "_grp")
+            entering = fns.join(outer, same(fns, outer, [*domain, "_grp"]), "inner").select(
+                *[fns[c] for c in fns.columns], outer["_state"]
+            )
+        above = entering.groupBy(*domain, "_grp").applyInPandas(
+            walk(depth == 0),
+            T.StructType([*fn_schema.fields[:-1], T.StructField("_state" if depth else "_entry", T.LongType())]),
+        )
+    return above

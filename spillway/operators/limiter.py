@@ -7,6 +7,7 @@ are served, ``police`` drops those that come too early.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,15 +34,21 @@ def limits(per_minute: int) -> tuple[int, int]:
     return interval, (-(-per_minute // 10) - 1) * interval
 
 
-def shape(df: DataFrame, token: Sequence[str], order: Sequence[str], at_ms: str, per_minute: int) -> DataFrame:
+def _limit_columns(per_minute: int | str) -> tuple[Column, Column]:
+    """(interval, tolerance) of a number or of a column that is constant per token; 0 where unlimited."""
+    limit = F.col(per_minute) if isinstance(per_minute, str) else F.lit(per_minute)
+    return tuple(F.coalesce(ms(limit), F.lit(0)).cast("bigint") for ms in (interval_ms, tolerance_ms))
+
+
+def shape(df: DataFrame, token: Sequence[str], order: Sequence[str], at_ms: str, per_minute: int | str) -> DataFrame:
     """Departure time of every request when all are served, first come first served.
 
+    ``per_minute`` is a number or names a column, constant per token; 0, a negative or no limit means unlimited.
+
     Unrolling the recursion gives a running maximum, so one scan does it:
     the limiter's clock after request i is T*i + max over j <= i of (a_j - T*(j-1)).
     """
-    if per_minute <= 0:
-        return df.withColumn("departs_ms", F.col(at_ms)).withColumn("waits_ms", F.lit(0).cast("bigint"))
-    interval, tolerance = limits(per_minute)
+    interval, tolerance = _limit_columns(per_minute)
     staged = stage(df, token, order)
     numbered = number_rows(staged, token)
     # Clock before request i: T*i + max over j < i of (a_j - T*j), i counted from 0.
@@ -100,17 +107,21 @@ class _Police:
     together, each jumping from grant to grant.
     """
 
-    interval: int
-    tolerance: int
     at: str
     start: int = 0
 
+    @staticmethod
+    def _limits(rows: pa.Table) -> tuple[int, int]:
+        """One block belongs to one token, so its first row has the limits of all."""
+        return rows["_interval"][0].as_py(), rows["_tolerance"][0].as_py()
+
     def summarise(self, rows: pa.Table, end: int):
         times = _open_times(rows, self.at)
         if not len(times):
             return None
+        interval, tolerance = self._limits(rows)
         origin, count = int(times[0]), len(times)
-        clock = origin + np.arange(self.tolerance + self.interval + 1, dtype=np.int64)
+        clock = origin + np.arange(tolerance + interval + 1, dtype=np.int64)
         result = clock.copy()
         # Distinct (clock, next request) pairs, and which of them each entry clock follows.
         follows = np.arange(len(clock))
@@ -118,7 +129,7 @@ class _Police:
         entries = np.arange(len(clock))
         rounds = 0
         while True:
-            at = np.maximum(passed, np.searchsorted(times, clock - self.tolerance, side="left"))
+            at = np.maximum(passed, np.searchsorted(times, clock - tolerance, side="left"))
             live = at < count
             if not live.all():
                 done = ~live[follows]
@@ -128,7 +139,7 @@ class _Police:
                 entries = entries[~done]
                 follows = (np.cumsum(live) - 1)[follows[~done]]
                 clock, at = clock[live], at[live]
-            clock = np.maximum(clock, times[at]) + self.interval
+            clock = np.maximum(clock, times[at]) + interval
             passed = at + 1
             rounds += 1
             if rounds % 8 == 1 and len(clock) > 1:
@@ -151,14 +162,17 @@ class _Police:
         return first[0], result[np.clip(first[1] - origin, 0, len(result) - 1)]
 
     def replay(self, rows: pa.Table, end: int, state: int) -> pa.Table:
-        t, granted = state, []
-        tolerance, interval = self.tolerance, self.interval
-        closed = _closed(rows, self.at)
-        for a, shut in zip(_ints(rows[self.at]).tolist(), closed):
-            ok = not shut and t <= a + tolerance
-            granted.append(ok)
-            if ok:
-                t = max(t, a) + interval
+        interval, tolerance = self._limits(rows)
+        still = np.nonzero(~_closed(rows, self.at))[0]
+        times = _ints(rows[self.at])[still].tolist()
+        # From grant to grant; what lies between is refused.
+        t, at, hits = state, bisect_left(times, state - tolerance), []
+        while at < len(times):
+            hits.append(at)
+            t = max(t, times[at]) + interval
+            at = bisect_left(times, t - tolerance, at + 1)
+        granted = np.zeros(rows.num_rows, bool)
+        granted[still[hits]] = True
         return rows.append_column("granted", pa.array(granted, pa.bool_()))
 
 
@@ -166,15 +180,15 @@ def _ints(column: pa.ChunkedArray) -> np.ndarray:
     return pc.cast(column, pa.int64()).to_numpy()
 
 
-def _closed(rows: pa.Table, at: str) -> list[bool]:
+def _closed(rows: pa.Table, at: str) -> np.ndarray:
     """Requests made while all sending is paused."""
     if "_paused" not in rows.column_names:
-        return [False] * rows.num_rows
-    return (_ints(rows["_paused"]) > _ints(rows[at])).tolist()
+        return np.zeros(rows.num_rows, bool)
+    return _ints(rows["_paused"]) > _ints(rows[at])
 
 
 def _open_times(rows: pa.Table, at: str) -> np.ndarray:
-    return _ints(rows[at])[~np.array(_closed(rows, at), dtype=bool)]
+    return _ints(rows[at])[~_closed(rows, at)]
 
 
 def police(
@@ -182,30 +196,30 @@ def police(
     token: Sequence[str],
     order: Sequence[str],
     at_ms: str,
-    per_minute: int,
+    per_minute: int | str,
     *,
     paused_until_ms: str | None = None,
     block_rows: int = Blocks.rows,
 ) -> DataFrame:
     """Which requests fit the budget when refused ones are dropped.
 
-    ``order`` must begin with ``at_ms``. ``paused_until_ms`` optionally gives the
+    ``order`` must begin with ``at_ms``; ``per_minute`` as in ``shape``. ``paused_until_ms`` optionally gives the
     end of the pause known at each request (see ``pauses``). Exact for a token
     of any size: see ``blockfold``.
     """
-    if per_minute <= 0:
-        return df.withColumn("granted", F.lit(True))
-    interval, tolerance = limits(per_minute)
-    rows = df if paused_until_ms is None else df.withColumn("_paused", F.coalesce(F.col(paused_until_ms), F.lit(0)))
+    interval, tolerance = _limit_columns(per_minute)
+    rows = df.withColumns({"_interval": interval, "_tolerance": tolerance})
+    if paused_until_ms is not None:
+        rows = rows.withColumn("_paused", F.coalesce(F.col(paused_until_ms), F.lit(0)))
     staged = stage(rows, token, order)
     numbered = number_rows(staged, token).drop("_pos", "_part")
-    rule = _Police(interval, tolerance, at_ms)
+    rule = _Police(at_ms)
     out = block_fold(
         numbered,
         token,
         rule,
         Blocks(block_rows),
-        needs=[at_ms, *(["_paused"] if paused_until_ms else [])],
+        needs=[at_ms, "_interval", "_tolerance", *(["_paused"] if paused_until_ms else [])],
         added=[T.StructField("granted", T.BooleanType())],
     )
     return out.select(*df.columns, "granted")

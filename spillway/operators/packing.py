@@ -43,7 +43,8 @@ class _Greedy:
 
     The state is the global row number at which the next batch opens. Where a
     batch opened at row *i* ends depends on *i* alone, so the state function of
-    a block is a table over its first ``n`` rows.
+    a block is a table over its first ``n`` rows. Columns ``_n`` and ``_age``,
+    constant per domain, stand in for the limits of the same name.
     """
 
     n: int
@@ -52,20 +53,24 @@ class _Greedy:
     tick: bool
     start: int = 0
 
+    def _limit(self, rows: pa.Table, name: str) -> int | None:
+        return rows[f"_{name}"][0].as_py() if f"_{name}" in rows.column_names else getattr(self, name)
+
     def _next(self, rows: pa.Table) -> np.ndarray:
         """Local index of the batch start following a start at each row."""
         count = rows.num_rows
         here = np.arange(count)
-        nxt = here + self.n
+        nxt = here + self._limit(rows, "n")
+        age = self._limit(rows, "age")
         if self.max_bytes is not None:
             size = _ints(rows["_size"])
             ends = np.cumsum(size)
             # First row whose end lies beyond the budget of a batch opened here.
             over = np.searchsorted(ends, ends - size + self.max_bytes, side="right")
             nxt = np.minimum(nxt, np.maximum(over, here + 1))
-        if self.age is not None:
+        if age is not None:
             sec = _ints(rows["_sec"])
-            old = np.searchsorted(sec, sec + self.age, side="left")
+            old = np.searchsorted(sec, sec + age, side="left")
             if self.tick:
                 nxt = np.minimum(nxt, np.maximum(old, here + 1))
             else:
@@ -75,10 +80,10 @@ class _Greedy:
 
     def summarise(self, rows: pa.Table, end: int):
         first = rows["_rn"][0].as_py()
-        count, size = rows.num_rows, end - first
+        count, size, n = rows.num_rows, end - first, self._limit(rows, "n")
         # Rows at or past the end are where the walk stops; starts in the last
         # rows may point past everything shown, never past end + n.
-        jump = np.concatenate([self._next(rows), np.arange(count, count + self.n)])
+        jump = np.concatenate([self._next(rows), np.arange(count, count + n)])
         stop = np.arange(len(jump))
         jump = np.where(stop < size, jump, stop)
         while True:
@@ -86,7 +91,7 @@ class _Greedy:
             if np.array_equal(further, jump):
                 break
             jump = further
-        return first, (first + jump[: min(self.n, size)]).astype(np.int64)
+        return first, (first + jump[: min(n, size)]).astype(np.int64)
 
     def evaluate(self, fn, state: int) -> int:
         first, exits = fn
@@ -121,11 +126,11 @@ def pack(
     domain: Sequence[str],
     order: Sequence[str],
     *,
-    batch_size: int = MAX_ENTRIES,
+    batch_size: int | Column = MAX_ENTRIES,
     size: Column | None = None,
     max_bytes: int = MAX_BYTES,
     at: Column | None = None,
-    flush_interval: int | None = None,
+    flush_interval: int | Column | None = None,
     tick: bool = False,
     block_rows: int = Blocks.rows,
 ) -> DataFrame:
@@ -137,22 +142,32 @@ def pack(
     than ``flush_interval`` whole seconds closes with the entry that finds it
     so, or (``tick``) before that entry.
 
-    (domain, order) must identify a row. Domains may be of any size.
+    (domain, order) must identify a row. Domains may be of any size. ``batch_size``
+    and ``flush_interval`` may be columns, constant per domain; a null one is no limit
+    of its own (100 entries, any age).
     """
     domain, order = list(domain), list(order)
     by_age = flush_interval is not None
+    own = {}
+    if isinstance(batch_size, Column):
+        own["_n"] = F.greatest(F.lit(1), F.least(F.lit(MAX_ENTRIES), batch_size))
+        batch_size = MAX_ENTRIES
+    if isinstance(flush_interval, Column):
+        own["_age"] = F.greatest(F.lit(0), F.coalesce(flush_interval, F.lit(1 << 40)))
+        flush_interval = None
     narrow = df.select(
         *domain,
         *order,
         *([size.cast("bigint").alias("_size")] if size is not None else []),
         *([F.unix_seconds(at).alias("_sec")] if by_age else []),
+        *[value.cast("bigint").alias(name) for name, value in own.items()],
     )
     staged = stage(narrow, domain, order)
     numbered = number_rows(staged, domain).drop("_pos", "_part")
     rule = _Greedy(
         n=entry_limit(batch_size),
         max_bytes=byte_limit(max_bytes) if size is not None else None,
-        age=max(0, flush_interval) if by_age else None,
+        age=max(0, flush_interval) if flush_interval is not None else None,
         tick=tick,
     )
     packed = block_fold(
@@ -160,10 +175,10 @@ def pack(
         domain,
         rule,
         Blocks(block_rows, rule.n),
-        needs=[c for c in ("_size", "_sec") if c in numbered.columns],
+        needs=[c for c in ("_size", "_sec", "_n", "_age") if c in numbered.columns],
         added=[T.StructField("batch_start", T.LongType())],
     )
-    return packed.withColumnRenamed("_rn", "rn").drop("_sec").withColumnRenamed("_size", "size")
+    return packed.withColumnRenamed("_rn", "rn").drop("_sec", "_n", "_age").withColumnRenamed("_size", "size")
 
 
 def unbuffered_key(command: Column, seq: Column, commands: Sequence[str] = UNBUFFERED_COMMANDS) -> Column:

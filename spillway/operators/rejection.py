@@ -81,12 +81,13 @@ def resolve(entries: DataFrame, responses: DataFrame) -> DataFrame:
     unexplained refusal halves the batch.
     """
     invalid = invalid_rows(responses).withColumnRenamed("reason", "_named")
-    refused = entries.join(responses.select(*BATCH, "n_entries", "status", "body"), BATCH, "inner")
+    said = clip(F.coalesce("body", F.lit(""))).alias("_said")  # cut before it goes to every row
+    refused = entries.join(responses.select(*BATCH, "n_entries", "status", said), BATCH, "inner")
     marked = refused.join(invalid, [*BATCH, "pos"], "left")
     w = Window.partitionBy(*BATCH)
     k = F.count("_named").over(w)
     n = F.col("n_entries")
-    whole = F.concat(F.lit("HTTP "), F.col("status").cast("string"), F.lit(": "), clip(F.coalesce("body", F.lit(""))))
+    whole = F.concat(F.lit("HTTP "), F.col("status").cast("string"), F.lit(": "), F.col("_said"))
     counted = marked.withColumn("_k", k)
     some = (F.col("_k") > 0) & (F.col("_k") < n)
     fate = (

@@ -25,7 +25,7 @@ def _sized(spark, d):
     return rows.withColumn("sz", F.lit(200) + F.col("seq") * 37 % 900)
 
 
-def pack_sql(base: str, dom: list[str], n: int, size: int | None = None, age: int | None = None, tick: bool = False) -> str:
+def pack_sql(base: str, dom: list[str], n: int | str, size: int | None = None, age: int | str | None = None, tick: bool = False) -> str:
     """Greedy packing as a chain of batch starts, followed row by row.
 
     ``base`` defines a table ``base`` with the domain, ``seq, rn, sz, sec``.
@@ -39,7 +39,7 @@ def pack_sql(base: str, dom: list[str], n: int, size: int | None = None, age: in
             f"rn + count(*) OVER (PARTITION BY {keys} ORDER BY e RANGE BETWEEN CURRENT ROW AND greatest({size} - sz, 0) FOLLOWING)"
         )
     if age is not None:
-        old = f"count(*) OVER (PARTITION BY {keys} ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND {age - 1} FOLLOWING)"
+        old = f"count(*) OVER (PARTITION BY {keys} ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND {age} - 1 FOLLOWING)"
         ends.append(old if tick else f"{old} + 1")
     return f"""
 WITH RECURSIVE {base},
@@ -91,6 +91,19 @@ def pack_age_tick(spark, d):
     return packed.select(*DOMAIN, "seq", "batch_start")
 
 
+@query("pack_bytes_blocks", pack_sql(EVENT_BASE, DOMAIN, 10, size=BYTES) + ROWS)
+def pack_bytes_blocks(spark, d):
+    """Blocks so small that every process is cut into many, whose functions are composed over levels."""
+    packed = P.pack(_sized(spark, d), DOMAIN, ORDER, batch_size=10, size=F.col("sz"), max_bytes=BYTES, block_rows=12)
+    return packed.select(*DOMAIN, "seq", "batch_start")
+
+
+@query("pack_age_blocks", pack_sql(EVENT_BASE, DOMAIN, 10, age=AGE) + ROWS)
+def pack_age_blocks(spark, d):
+    packed = P.pack(_sized(spark, d), DOMAIN, ORDER, batch_size=10, at=F.col("ts"), flush_interval=AGE, block_rows=100)
+    return packed.select(*DOMAIN, "seq", "batch_start")
+
+
 UNIT_BASE = f"""{A.RAW_SQL},
 base AS (SELECT app, proc, seq // 50 AS unit_id, seq, ts,
          row_number() OVER (PARTITION BY app, proc, seq // 50 ORDER BY ts, seq) - 1 AS rn,
@@ -258,6 +271,49 @@ def gcra_police(spark, d):
     return out.select("token", "seq", F.col("granted").cast("bigint").alias("granted"))
 
 
+# Tokens with limits of their own; the last is unlimited.
+OWN_LIMIT_SQL = f"""{REQUEST_SQL},
+lim AS (SELECT *, CASE WHEN token = 3 THEN 0 ELSE CAST(ceil(60000.0 / (6 + token * 5)) AS BIGINT) END AS step,
+        CASE WHEN token = 3 THEN 0 ELSE CAST((ceil((6 + token * 5) / 10.0) - 1) * ceil(60000.0 / (6 + token * 5)) AS BIGINT) END AS tol FROM req)"""
+
+
+def _own_limits(spark, d):
+    return _requests(spark, d).withColumn("per_minute", F.when(F.col("token") < 3, 6 + F.col("token") * 5).otherwise(0))
+
+
+@query("gcra_shape_per_token", f"""
+WITH RECURSIVE {OWN_LIMIT_SQL},
+served AS (
+  SELECT token, seq, rn, t, t AS departs_ms, t + step AS tat FROM lim WHERE rn = 0
+  UNION ALL
+  SELECT q.token, q.seq, q.rn, q.t, greatest(q.t, s.tat - q.tol), greatest(s.tat, q.t) + q.step
+  FROM served s JOIN lim q ON q.token = s.token AND q.rn = s.rn + 1
+)
+SELECT token, seq, departs_ms, departs_ms - t AS waits_ms FROM served
+""")
+def gcra_shape_per_token(spark, d):
+    return limiter.shape(_own_limits(spark, d), TOKEN, ["t", "seq"], "t", "per_minute").select(
+        "token", "seq", "departs_ms", "waits_ms"
+    )
+
+
+@query("gcra_police_per_token", f"""
+WITH RECURSIVE {OWN_LIMIT_SQL},
+seen AS (
+  SELECT token, seq, rn, t + step AS tat, CAST(1 AS BIGINT) AS granted FROM lim WHERE rn = 0
+  UNION ALL
+  SELECT q.token, q.seq, q.rn, CASE WHEN s.tat - q.tol <= q.t THEN greatest(s.tat, q.t) + q.step ELSE s.tat END,
+         CAST(s.tat - q.tol <= q.t AS BIGINT)
+  FROM seen s JOIN lim q ON q.token = s.token AND q.rn = s.rn + 1
+)
+SELECT token, seq, granted FROM seen
+""")
+def gcra_police_per_token(spark, d):
+    """Blocks of 150 requests, so that limits also reach composed blocks."""
+    out = limiter.police(_own_limits(spark, d), TOKEN, ["t", "seq"], "t", "per_minute", block_rows=150)
+    return out.select("token", "seq", F.col("granted").cast("bigint").alias("granted"))
+
+
 @query("gcra_police_paused", f"""
 WITH RECURSIVE {REQUEST_SQL},
 paused AS (SELECT *, max(CASE WHEN seq % 50 = 0 THEN t + (seq % 7) * 20000 ELSE 0 END)
@@ -364,6 +420,21 @@ def normalise(spark, d):
     return out.select(*DOMAIN, "seq", "entry", "entry_bytes", "rn", "batch_start")
 
 
+PER_APP_BASE = FLAGSHIP_BASE.replace(
+    "base AS (SELECT app,", "base AS (SELECT 10 + app % 5 * 20 AS own_n, 600 + app * 300 AS own_age, app,"
+)
+
+
+@query("normalise_logs_per_app", pack_sql(PER_APP_BASE, DOMAIN, "own_n", size=BYTES, age="own_age") + """
+SELECT app, proc, seq, entry, CAST(sz AS BIGINT) AS entry_bytes, rn, CAST(batch_start AS BIGINT) AS batch_start FROM packed
+""")
+def normalise_per_app(spark, d):
+    app = F.col("app")
+    config = A.app_config(spark, d).withColumns({"batch_size": 10 + app % 5 * 20, "flush_interval_sec": 600 + app * 300})
+    out = normalise_logs(A.raw_log(spark, d), config, max_bytes=BYTES, per_app=True)
+    return out.select(*DOMAIN, "seq", "entry", "entry_bytes", "rn", "batch_start")
+
+
 @query("batch_numbers", f"""
 WITH {A.RAW_SQL}, n AS (SELECT app, proc, row_number() OVER (PARTITION BY app, proc ORDER BY ts, seq) - 1 AS rn FROM raw),
 b AS (SELECT app, proc, rn // 50 * 50 AS batch_start, count(*) AS n_entries FROM n GROUP BY ALL)

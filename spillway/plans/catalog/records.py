@@ -17,6 +17,7 @@ from spillway.operators import filters, normalize as N
 from spillway.operators.ordering import number_rows, stage
 from spillway.plans import adapters as A
 from spillway.plans.catalog.registry import query
+from spillway.session import materialise
 
 WIDE_LOG_SQL = """
 log AS (SELECT user_id % 25 AS app, event_id AS seq,
@@ -146,12 +147,22 @@ def request_id_valid(spark, d):
     return A.events(spark, d).select("event_id", filters.is_valid_request_id(rid).cast("bigint").alias("valid"))
 
 
-@query("request_id_assign")
+@query("request_id_assign", """
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'req-' || event_id ELSE '-' END AS kept,
+       CAST(event_id % 2 AS BIGINT) AS fresh, CAST(1 AS BIGINT) AS holders FROM events
+""")
 def request_id_assign(spark, d):
-    """Fresh ids are random, so only the kept ones and the shape can be checked."""
+    """Fresh ids are random: what is checked is the ids kept, the shape of new ones and that no two rows share one."""
     i = F.col("event_id")
     rid = F.when(i % 2 == 0, F.concat(F.lit("req-"), i)).otherwise(F.concat(F.lit("no good "), i))
-    return A.events(spark, d).select("event_id", filters.request_id_or_new(rid).alias("request_id"))
+    # Stored, as a recomputed id would be another one.
+    given = materialise(A.events(spark, d).select("event_id", rid.alias("rid"), filters.request_id_or_new(rid).alias("request_id")), "ids")
+    holders = given.groupBy("request_id").agg(F.count(F.lit(1)).alias("holders"))
+    fresh = F.col("request_id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return given.join(holders, "request_id").select(
+        "event_id", F.when(F.col("request_id") == F.col("rid"), F.col("rid")).otherwise("-").alias("kept"),
+        fresh.cast("bigint").alias("fresh"), "holders",
+    )
 
 
 @query("level_fold", f"""

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from spillway.operators.normalize import to_entries, with_wire_text
 from spillway.operators import pacing
 from spillway.plans import adapters as A
-from spillway.plans.catalog.packing import DOMAIN, EVENT_BASE, LIMIT, REQUEST_SQL, T_MS, TAU_MS, pack_sql
+from spillway.plans.catalog.packing import AGE, DOMAIN, EVENT_BASE, FLAGSHIP_BASE, LIMIT, REQUEST_SQL, T_MS, TAU_MS, pack_sql
 from spillway.plans.catalog.records import ENTRY_SQL
 from spillway.plans.catalog.registry import query
 from spillway.streaming import STATE_STORE, run_available
-from spillway.streaming.stateful import micro_batches, police_stream
+from spillway.streaming.stateful import micro_batches, police_stream, shape_stream
+from spillway.streaming.stateless import normalised
 
 
 def _stateful(spark):
@@ -25,6 +26,50 @@ def stream_entries(spark, d):
     return run_available(stream, "stream-entries")
 
 
+@query("stream_wanted", f"WITH {FLAGSHIP_BASE} SELECT app, seq, entry FROM base")
+def stream_wanted(spark, d):
+    """The same behind all filters."""
+    stream = normalised(A.records_of(A.event_stream(spark, d)), A.app_config(spark, d)).select("app", "seq", "entry")
+    return run_available(stream, "stream-wanted")
+
+
+@query("stream_batches_age", pack_sql(EVENT_BASE, DOMAIN, 10, size=4096, age=AGE) + f""",
+b AS (SELECT app, proc, batch_start, min_by(seq, rn) AS first_seq, count(*) AS n_entries, CAST(sum(sz) AS BIGINT) AS n_bytes,
+        max(sec) - min(sec) AS span FROM packed GROUP BY ALL),
+m AS (SELECT *, max(batch_start) OVER (PARTITION BY app, proc) AS last FROM b)
+SELECT CAST(app AS VARCHAR) AS app, CAST(proc AS VARCHAR) AS proc, first_seq, n_entries, n_bytes FROM m
+WHERE batch_start < last OR n_entries = 10 OR span >= {AGE}
+""")
+def stream_batches_age(spark, d):
+    """Batches that also close by age, with the entry that finds them too old."""
+    _stateful(spark)
+    rows = A.records_of(A.event_stream(spark, d)).select(
+        *DOMAIN, "seq", "ts", (F.lit(200) + F.col("seq") * 37 % 900).alias("entry_bytes")
+    )
+    out = run_available(micro_batches(rows, batch_size=10, max_bytes=4096, flush_interval=AGE), "stream-batches-age")
+    return out.select(
+        "app", "proc", F.col("batch_first").alias("first_seq"), F.col("n_entries").cast("bigint").alias("n_entries"), "n_bytes"
+    )
+
+
+@query("stream_shape", f"""
+WITH RECURSIVE {REQUEST_SQL},
+served AS (
+  SELECT token, seq, rn, t AS departs_ms, t + {T_MS} AS tat FROM req WHERE rn = 0
+  UNION ALL
+  SELECT q.token, q.seq, q.rn, greatest(q.t, s.tat - {TAU_MS}), greatest(s.tat, q.t) + {T_MS}
+  FROM served s JOIN req q ON q.token = s.token AND q.rn = s.rn + 1
+)
+SELECT CAST(token AS VARCHAR) AS token, seq, departs_ms FROM served
+""")
+def stream_shape(spark, d):
+    _stateful(spark)
+    rows = A.event_stream(spark, d).select(
+        (F.col("user_id") % 4).alias("token"), F.col("event_id").alias("seq"), pacing.div(F.col("ms"), F.lit(200)).alias("at_ms")
+    )
+    return run_available(shape_stream(rows, LIMIT), "stream-shape").select("token", "seq", "departs_ms")
+
+
 @query("stream_batches", pack_sql(EVENT_BASE, DOMAIN, 10, size=4096) + """,
 b AS (SELECT app, proc, batch_start, min_by(seq, rn) AS first_seq, count(*) AS n_entries, CAST(sum(sz) AS BIGINT) AS n_bytes FROM packed GROUP BY ALL),
 m AS (SELECT *, max(batch_start) OVER (PARTITION BY app, proc) AS last FROM b)

@@ -25,21 +25,27 @@ def ranked_sources(*lines: DataFrame) -> DataFrame:
     return out
 
 
+def decode(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Entries of readable lines and, without ``pos``, one row per malformed line; decoded once and stored."""
+    bad = F.col("malformed")
+    rows = deadletter.parse(lines).select(
+        *keys, "malformed", F.when(bad, F.col("value")).alias("value"), F.posexplode_outer("entries").alias("pos", "entry")
+    )
+    return materialise(
+        rows.filter(bad | F.col("pos").isNotNull()).withColumn("entry_bytes", text_json_bytes(F.col("entry"))), "dead-letters"
+    )
+
+
 def pack_dead_letters(
-    lines: DataFrame,
+    decoded: DataFrame,
     run: list[str],
     order: list[str],
     *,
     batch_size: int = MAX_ENTRIES,
     max_bytes: int = MAX_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
-    """(entries, plan): entries of readable lines, packed across lines of a run."""
-    keys = [*run, *order]
-    entries = materialise(
-        deadletter.unnest(deadletter.parse(lines), keys)
-        .withColumn("entry_bytes", text_json_bytes(F.col("entry"))),
-        "dead-letters",
-    )
+    """(entries, plan): entries of ``decode``, packed across lines of a run."""
+    entries = decoded.filter(F.col("pos").isNotNull()).drop("malformed", "value")
     plan = packing.pack(
         entries, run, [*order, "pos"], batch_size=batch_size, size=F.col("entry_bytes"), max_bytes=max_bytes
     )
@@ -80,7 +86,8 @@ def drain_dead_letters(
     the rows of refused batches that go out once more, smaller. ``run`` names at
     least one column.
     """
-    entries, plan = pack_dead_letters(lines, run, order, batch_size=batch_size, max_bytes=max_bytes)
+    decoded = decode(lines, [*run, *order])
+    entries, plan = pack_dead_letters(decoded, run, order, batch_size=batch_size, max_bytes=max_bytes)
     plan = materialise(plan, "plan")
     batches = materialise(number_batches(plan, run), "batches")
     answered = batches.join(responses, [*run, "batch_no"], "left").withColumn(
@@ -110,8 +117,7 @@ def drain_dead_letters(
     bad_rows = fates.filter(F.col("fate") == "quarantine").select(
         *run, F.array("entry").alias("entries"), "reason", F.lit(None).cast("string").alias("raw")
     )
-    parsed = deadletter.parse(lines)
-    bad_lines = deadletter.malformed(parsed, run).select(
+    bad_lines = deadletter.malformed(decoded, run).select(
         *run, F.array().cast("array<string>").alias("entries"), "reason", "raw"
     )
     report = drain_report(named, fates, bad_lines, run)

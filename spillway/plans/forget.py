@@ -70,11 +70,14 @@ def forget_failed(
         seen = firsts.filter(F.col("uuid") != "").select(
             F.col("uuid").alias("_uuid"), F.struct(*ROW).alias("_first")
         )
-        unread = own.filter(~F.col("readable"))
+        # Without a uuid nothing can match: those rows stay out of the join.
+        unread, nameless = (own.filter(~F.col("readable") & test) for test in (F.col("uuid") != "", F.col("uuid") == ""))
         kept = (
             unread.join(seen, unread["uuid"] == seen["_uuid"], "left")
             .filter(F.col("_first").isNull() | (F.struct(*ROW) < F.col("_first")))
-            .select(*ROW, F.lit(True).alias("_kept"))
+            .select(*ROW)
+            .unionByName(nameless.select(*ROW))
+            .withColumn("_kept", F.lit(True))
         )
         decided = marks.join(kept, ROW, "left")
         action = action.when(F.col("_kept"), "unreadable")

@@ -44,11 +44,13 @@ def normalise_logs(
     keys: Sequence[str] = SENSITIVE_KEYS,
     extra_patterns: Masks = (),
     own_failure: dict | None = None,
+    per_app: bool = False,
 ) -> DataFrame:
     """Filter, normalise, mask and pack; one row per entry with its batch.
 
     Masked entries are written once to the shared folder: packing then reads
-    only keys and sizes from it, and nothing is masked twice.
+    only keys and sizes from it, and nothing is masked twice. With ``per_app`` each
+    app's own ``batch_size`` and ``flush_interval_sec`` (see ``effective_config``) apply.
     """
     domain = ["app", "proc", *unit]
     entries = with_wire_text(
@@ -61,8 +63,12 @@ def normalise_logs(
         )
     )
     stored = materialise(entries, "entries")
+    limited = stored
+    if per_app:
+        own = config.select("app", F.col("batch_size").alias("_batch"), F.col("flush_interval_sec").alias("_flush"))
+        limited, batch_size, flush_interval = stored.join(own, "app", "left"), F.col("_batch"), F.col("_flush")
     plan = packing.pack(
-        stored,
+        limited,
         domain,
         ["ts", "seq"],
         batch_size=batch_size,

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spillway.constants import MAX_BYTES, MAX_ENTRIES
 from spillway.operators import packing
-from spillway.plans.drain import pack_dead_letters
+from spillway.plans.drain import decode, pack_dead_letters
 from spillway.session import materialise
 from spillway.sources import deadletter
 
@@ -47,10 +47,11 @@ def drain(
     def trigger(batch: DataFrame, epoch: int) -> None:
         # One table per trigger: positions must not change between the passes below.
         placed = materialise(batch.withColumn("line", F.monotonically_increasing_id()), "lines")
+        keyed = placed.withColumn("run", F.lit(epoch).cast("bigint"))
         entries, plan = pack_dead_letters(
-            placed.withColumn("run", F.lit(epoch).cast("bigint")),
+            decode(keyed, ["run", *deadletter.LINE_ID]),
             ["run"],
-            ["file", "block", "line"],
+            deadletter.LINE_ID,
             batch_size=batch_size,
             max_bytes=max_bytes,
         )
