@@ -18,6 +18,7 @@ Characters without a piece become their UTF-8 bytes.
 
 from __future__ import annotations
 
+import re
 from functools import cache
 
 import numpy as np
@@ -31,12 +32,13 @@ UNIGRAM, BPE = 1, 2  # fixed values of the model format
 #: A character without a piece is state ``UNKNOWN`` + its code point.
 UNKNOWN = 1 << 24
 #: Slots for pairs of pieces; a power of two.
-MEMO = 1 << 19
+MEMO = 1 << 20
 #: Encoded words that a worker keeps.
 KEPT = 1 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 17
-_BASE, _SOME = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20)
+_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
+_BASE, _SOME, _TAIL = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20), np.uint64(64 - 21)
 
 
 def model_type(path: str) -> int:
@@ -82,8 +84,22 @@ class Model:
         with np.errstate(over="ignore"):
             self.some[(self.keys * _BASE >> _SOME).astype(np.int64)] = True
         self.forget()
+        self.tails: np.ndarray | None = None
         self.memo: np.ndarray | None = None
 
+    def grow_tails(self) -> None:
+        """A table of the hashes that ends of pieces have: text that no piece ends with is not looked at further to the left."""
+        self.tails = np.zeros(1 << (64 - int(_TAIL)), bool)
+        found = []
+        for p in self.id_of:
+            h, power = 0, 1
+            for c in reversed(p):
+                h = ((ord(c) + 1) * power + h) & (1 << 64) - 1
+                power = power * int(_BASE) & (1 << 64) - 1
+                found.append(h)
+        with np.errstate(over="ignore"):
+            self.tails[(np.array(found, np.uint64) * _BASE >> _TAIL).astype(np.int64)] = True
+
     def grow_trees(self) -> None:
         """What encoding takes besides the pieces, which a decoder doesn't need: what deciding about neighbours takes: how each piece was merged, and which pairs merge into what."""
         n = len(self.pieces)
@@ -183,14 +199,17 @@ class Model:
         floor = (self.score.min() if len(self.score) else 0) - 10
         with np.errstate(over="ignore"):
             for end in range(1, size + 1):
-                h, power = np.zeros(n, np.uint64), np.uint64(1)
+                alive, h, power = np.arange(n), np.zeros(n, np.uint64), np.uint64(1)
                 for length in range(1, min(self.longest, end) + 1):
-                    h = (chars[:, end - length] + np.uint64(1)) * power + h
+                    h = (chars[alive, end - length] + np.uint64(1)) * power + h
                     power = power * _BASE
-                    maybe = np.nonzero(self.some[(h * _BASE >> _SOME).astype(np.int64)])[0]
+                    mixed = h * _BASE
+                    maybe = np.nonzero(self.some[(mixed >> _SOME).astype(np.int64)])[0]
                     slot = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
                     hit = self.keys[slot] == h[maybe]
-                    who = maybe[hit]
+                    who = alive[maybe[hit]]
+                    longer = np.nonzero(self.tails[(mixed >> _TAIL).astype(np.int64)])[0]
+                    alive, h = alive[longer], h[longer]
                     state = self.ids[slot[hit]]
                     gain = self.score[state]
                     if length == 1:  # a character without a piece stands for itself
@@ -208,6 +227,8 @@ class Model:
                         ok[ok] = self.follow(last[start, who[ok]], state[ok])
                     who = who[ok]
                     best[end, who], step[end, who], last[end, who] = total[ok], length, state[ok]
+                    if not len(alive):
+                        break
         at, steps = np.full(n, size), []
         while len(who := np.nonzero(at > 0)[0]):
             steps.append((who, last[at[who], who]))
@@ -240,25 +261,17 @@ class Model:
         """The text with space marks, a leading one added, cut before each run of marks."""
         if not text:
             return []
-        marked = SPACE + text.replace(" ", SPACE)
-        parts = marked.split(SPACE)
-        out, run = [], 0
-        for p in parts[1:]:
-            run += 1
-            if p:
-                out.append(SPACE * run + p)
-                run = 0
-        if run:
-            out.append(SPACE * run)
-        return out
+        return _WORD.findall(SPACE + text.replace(" ", SPACE))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.kind == BPE and self.memo is None:
             self.grow_trees()
+        if self.tails is None:
+            self.grow_tails()
         split = [self.words(t) for t in texts]
         every = set().union(*split)
         if len(self.kept) > KEPT:
-            self.forget()
+            self.forget(every)
         by_size: dict[int, list[str]] = {}
         for w in every:
             if w not in self.kept:
@@ -276,14 +289,25 @@ class Model:
         get, out = self.kept.__getitem__, []
         for words in split:
             own = np.fromiter(map(get, words), np.int64, len(words))
-            n = self.sizes[own]
-            out.append(self.flat[np.repeat(starts[own] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+            out.append(self.gathered(own, starts))
         return out
 
-    def forget(self) -> None:
-        """No word is kept: their places, and the pieces of all of them in a row."""
-        self.kept: dict[str, int] = {}
-        self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
+    def forget(self, but: set[str] = frozenset()) -> None:
+        """Only words of ``but`` are kept: their places, and the pieces of all of them in a row."""
+        held = [w for w in but if w in self.kept] if but else []
+        if not held:
+            self.kept: dict[str, int] = {}
+            self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
+            return
+        own = np.fromiter(map(self.kept.__getitem__, held), np.int64, len(held))
+        self.flat, self.sizes = self.gathered(own), self.sizes[own]
+        self.kept = dict(zip(held, range(len(held))))
+
+    def gathered(self, own: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+        """The pieces of the words at these places, in a row."""
+        starts = np.cumsum(self.sizes) - self.sizes if starts is None else starts
+        n = self.sizes[own]
+        return self.flat[np.repeat(starts[own] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
     def decode(self, ids: np.ndarray) -> str:
         """Joined pieces without the leading mark; runs of byte pieces are read as UTF-8, bad bytes as U+FFFD."""
@@ -322,7 +346,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with ``text_col``: the text of ``ids_col``, null for null. A column of that name is replaced."""
-    return _mapped(docs, ids_col, text_col, "string", pa.string(), lambda rows: [load(model_path).decode(np.array(r, np.int32)) for r in rows])
+    return _mapped(docs, ids_col, text_col, "string", pa.string(), lambda rows: [load(model_path).decode(r) for r in rows])
 
 
 def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.DataType, f) -> DataFrame:
@@ -331,7 +355,8 @@ def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.D
 
     def run(batches):
         for b in batches:
-            values = b.column("value").to_pylist()
+            column = b.column("value")
+            values = _rows_of(column) if pa.types.is_list(column.type) else column.to_pylist()
             there = [i for i, v in enumerate(values) if v is not None]
             out = [None] * len(values)
             for i, x in zip(there, f([values[i] for i in there])):
@@ -340,3 +365,9 @@ def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.D
 
     done = arrow_map(renamed, run, f"row {renamed.schema['row'].dataType.simpleString()}, value {sql_type}")
     return done.select("row.*", F.col("value").alias(target))
+
+
+def _rows_of(column: pa.ListArray) -> list[np.ndarray | None]:
+    """The lists of a column as slices of its numbers."""
+    numbers, ends = column.values.fill_null(0).to_numpy(), column.offsets.to_numpy()
+    return [numbers[a:b] if there else None for a, b, there in zip(ends[:-1], ends[1:], column.is_valid().to_pylist())]
