@@ -191,7 +191,7 @@ class Model:
     def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of words of one length, advancing together: all in a row, and how many each has."""
         n, size = len(words), len(words[0])
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64)
+        columns = np.ascontiguousarray(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).T).astype(np.uint64)
         best = np.full((size + 1, n), -np.inf)
         best[0] = 0
         step = np.zeros((size + 1, n), np.int16)
@@ -199,9 +199,10 @@ class Model:
         floor = (self.score.min() if len(self.score) else 0) - 10
         with np.errstate(over="ignore"):
             for end in range(1, size + 1):
+                best_, step_, last_ = best[end], step[end], last[end]
                 alive, h, power = np.arange(n), np.zeros(n, np.uint64), np.uint64(1)
                 for length in range(1, min(self.longest, end) + 1):
-                    h = (chars[alive, end - length] + np.uint64(1)) * power + h
+                    h = (columns[end - length][alive] + np.uint64(1)) * power + h
                     power = power * _BASE
                     mixed = h * _BASE
                     maybe = np.nonzero(self.some[(mixed >> _SOME).astype(np.int64)])[0]
@@ -216,23 +217,26 @@ class Model:
                         unseen = np.ones(n, bool)
                         unseen[who] = False
                         none = np.nonzero(unseen)[0]
-                        who = np.r_[who, none]
-                        state = np.r_[state, chars[none, end - 1].astype(np.int64) + UNKNOWN]
-                        gain = np.r_[gain, np.full(len(none), floor)]
+                        if len(none):
+                            who = np.concatenate([who, none])
+                            state = np.concatenate([state, columns[end - 1][none].astype(np.int64) + UNKNOWN])
+                            gain = np.concatenate([gain, np.full(len(none), floor)])
                     start = end - length
-                    total = best[start, who] + gain
-                    ok = total > best[end, who]
+                    total = best[start][who] + gain
+                    ok = total > best_[who]
                     if self.kind == BPE and start:
                         ok &= np.isfinite(total)
-                        ok[ok] = self.follow(last[start, who[ok]], state[ok])
+                        ok[ok] = self.follow(last[start][who[ok]], state[ok])
                     who = who[ok]
-                    best[end, who], step[end, who], last[end, who] = total[ok], length, state[ok]
+                    best_[who], step_[who], last_[who] = total[ok], length, state[ok]
                     if not len(alive):
                         break
-        at, steps = np.full(n, size), []
-        while len(who := np.nonzero(at > 0)[0]):
-            steps.append((who, last[at[who], who]))
-            at[who] -= step[at[who], who]
+        who, at, steps = np.arange(n), np.full(n, size), []
+        while len(who):
+            place = at * n + who
+            steps.append((who, last.ravel()[place]))
+            at = at - step.ravel()[place]
+            who, at = who[at > 0], at[at > 0]
         # Steps were taken from the right; grouped by word they read from the left.
         who, states = (np.concatenate(x) for x in zip(*reversed(steps)))
         order = np.argsort(who, kind="stable")
