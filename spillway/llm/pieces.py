@@ -19,7 +19,10 @@ Characters without a piece become their UTF-8 bytes.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Collection, Iterator
 from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,8 @@ MEMO = 1 << 20
 KEPT = 1 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 17
+#: Bytes of texts or ids whose words are encoded together.
+GATHERED = 8 << 20
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _BASE, _SOME, _TAIL = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20), np.uint64(64 - 21)
 
@@ -272,10 +277,14 @@ class Model:
             self.grow_trees()
         if self.tails is None:
             self.grow_tails()
-        split = [self.words(t) for t in texts]
-        every = set().union(*split)
+        # Words are numbered as they come, so that an occurrence takes a number and no text.
+        every: defaultdict[str, int] = defaultdict(count().__next__)
+        split = []
+        for t in texts:
+            words = self.words(t)
+            split.append(np.fromiter(map(every.__getitem__, words), np.int32, len(words)))
         if len(self.kept) > KEPT:
-            self.forget(every)
+            self.forget(every.keys())
         by_size: dict[int, list[str]] = {}
         for w in every:
             if w not in self.kept:
@@ -290,13 +299,10 @@ class Model:
                 self.kept.update(zip(part, range(len(self.kept), len(self.kept) + len(part))))
         self.flat, self.sizes = np.concatenate(found), np.concatenate(sizes)
         starts = np.cumsum(self.sizes) - self.sizes
-        get, out = self.kept.__getitem__, []
-        for words in split:
-            own = np.fromiter(map(get, words), np.int64, len(words))
-            out.append(self.gathered(own, starts))
-        return out
+        place = np.fromiter(map(self.kept.__getitem__, every), np.int64, len(every))
+        return [self.gathered(place[words], starts) for words in split]
 
-    def forget(self, but: set[str] = frozenset()) -> None:
+    def forget(self, but: Collection[str] = ()) -> None:
         """Only words of ``but`` are kept: their places, and the pieces of all of them in a row."""
         held = [w for w in but if w in self.kept] if but else []
         if not held:
@@ -358,19 +364,36 @@ def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.D
     renamed = own.select(F.struct(*[F.col(f"`{c}`") for c in own.columns if c != target]).alias("row"), F.col(f"`{source}`").alias("value"))
 
     def run(batches):
-        for b in batches:
-            column = b.column("value")
-            values = _rows_of(column) if pa.types.is_list(column.type) else column.to_pylist()
-            there = [i for i, v in enumerate(values) if v is not None]
-            out = [None] * len(values)
-            for i, x in zip(there, f([values[i] for i in there])):
-                out[i] = x
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, kind)], ["row", "value"])
+        for some in _gathered(batches):
+            values = [v for b in some for v in _values(b.column("value"))]
+            there = iter(f([v for v in values if v is not None]))
+            out = [None if v is None else next(there) for v in values]
+            at = 0
+            for b in some:
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out[at : at + len(b)], kind)], ["row", "value"])
+                at += len(b)
 
     done = arrow_map(renamed, run, f"row {renamed.schema['row'].dataType.simpleString()}, value {sql_type}")
     return done.select("row.*", F.col("value").alias(target))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of ``GATHERED`` bytes of values: the more texts at once, the more words advance together."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.column("value").nbytes
+        if size >= GATHERED:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _values(column: pa.Array) -> list:
+    return _rows_of(column) if pa.types.is_list(column.type) else column.to_pylist()
+
+
 def _rows_of(column: pa.ListArray) -> list[np.ndarray | None]:
     """The lists of a column as slices of its numbers."""
     numbers, ends = column.values.fill_null(0).to_numpy(), column.offsets.to_numpy()
