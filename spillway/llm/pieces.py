@@ -40,8 +40,8 @@ MEMO = 1 << 20
 KEPT = 1 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 17
-#: Bytes of texts or ids whose words are encoded together.
-GATHERED = 8 << 20
+#: Bytes of texts whose words are encoded together.
+GATHERED = 4 << 20
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _BASE, _SOME, _TAIL = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20), np.uint64(64 - 21)
 
@@ -351,7 +351,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 
     Identity normalisation, a leading space mark, no pieces for the ends of a text. A column of that name is replaced.
     """
-    return _mapped(docs, text_col, ids_col, "array<int>", pa.list_(pa.int32()), lambda texts: load(model_path).encode(texts))
+    return _mapped(docs, text_col, ids_col, "array<int>", pa.list_(pa.int32()), lambda texts: load(model_path).encode(texts), GATHERED)
 
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -359,12 +359,12 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
     return _mapped(docs, ids_col, text_col, "string", pa.string(), lambda rows: [load(model_path).decode(r) for r in rows])
 
 
-def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.DataType, f) -> DataFrame:
+def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.DataType, f, together: int = 0) -> DataFrame:
     own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != target or c == source])
     renamed = own.select(F.struct(*[F.col(f"`{c}`") for c in own.columns if c != target]).alias("row"), F.col(f"`{source}`").alias("value"))
 
     def run(batches):
-        for some in _gathered(batches):
+        for some in _gathered(batches, together):
             values = [v for b in some for v in _values(b.column("value"))]
             there = iter(f([v for v in values if v is not None]))
             out = [None if v is None else next(there) for v in values]
@@ -377,13 +377,13 @@ def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.D
     return done.select("row.*", F.col("value").alias(target))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """Batches in lists of ``GATHERED`` bytes of values: the more texts at once, the more words advance together."""
+def _gathered(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of so many bytes of values: the more texts at once, the more words advance together."""
     held, size = [], 0
     for b in batches:
         held.append(b)
         size += b.column("value").nbytes
-        if size >= GATHERED:
+        if size >= together:
             yield held
             held, size = [], 0
     if held:
