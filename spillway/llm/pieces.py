@@ -41,7 +41,7 @@ KEPT = 1 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 17
 #: Bytes of texts whose words are encoded together.
-GATHERED = 4 << 20
+GATHERED = 2 << 20
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _BASE, _SOME, _TAIL = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 20), np.uint64(64 - 21)
 
