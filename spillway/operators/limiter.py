@@ -40,10 +40,13 @@ def _limit_columns(per_minute: int | str) -> tuple[Column, Column]:
     return tuple(F.coalesce(ms(limit), F.lit(0)).cast("bigint") for ms in (interval_ms, tolerance_ms))
 
 
-def shape(df: DataFrame, token: Sequence[str], order: Sequence[str], at_ms: str, per_minute: int | str) -> DataFrame:
+def shape(
+    df: DataFrame, token: Sequence[str], order: Sequence[str], at_ms: str, per_minute: int | str, *, clock: bool = False
+) -> DataFrame:
     """Departure time of every request when all are served, first come first served.
 
     ``per_minute`` is a number or names a column, constant per token; 0, a negative or no limit means unlimited.
+    ``clock`` adds ``clock_ms``, the limiter's clock after each request.
 
     Unrolling the recursion gives a running maximum, so one scan does it:
     the limiter's clock after request i is T*i + max over j <= i of (a_j - T*(j-1)).
@@ -53,9 +56,10 @@ def shape(df: DataFrame, token: Sequence[str], order: Sequence[str], at_ms: str,
     numbered = number_rows(staged, token)
     # Clock before request i: T*i + max over j < i of (a_j - T*j), i counted from 0.
     ranked = scan(numbered, token, {"_lead": Scan("max", F.col(at_ms) - interval * F.col("_rn"), before=True)})
-    clock = F.col("_lead") + interval * F.col("_rn")
-    departs = F.greatest(F.col(at_ms), clock - tolerance)
-    return ranked.select(*df.columns, departs.alias("departs_ms"), (departs - F.col(at_ms)).alias("waits_ms"))
+    clock_before = F.col("_lead") + interval * F.col("_rn")
+    departs = F.greatest(F.col(at_ms), clock_before - tolerance)
+    after = [(F.greatest(F.col(at_ms), clock_before) + interval).alias("clock_ms")] if clock else []
+    return ranked.select(*df.columns, departs.alias("departs_ms"), (departs - F.col(at_ms)).alias("waits_ms"), *after)
 
 
 def pace_inline(df: DataFrame, run: Sequence[str], order: Sequence[str], ready_ms: str, per_minute: int) -> DataFrame:
@@ -104,24 +108,30 @@ class _Police:
     A clock at or before a block's first request acts like one right there, and
     no clock runs further ahead than tolerance + interval. So a block's state
     function is a table over that many milliseconds: all clocks are replayed
-    together, each jumping from grant to grant.
+    together, each jumping from grant to grant. A column ``_clock``, constant per
+    token, is a clock carried in: no clock lies before it.
     """
 
     at: str
     start: int = 0
+    tell: bool = False
 
     @staticmethod
     def _limits(rows: pa.Table) -> tuple[int, int]:
         """One block belongs to one token, so its first row has the limits of all."""
         return rows["_interval"][0].as_py(), rows["_tolerance"][0].as_py()
 
+    @staticmethod
+    def _carried(rows: pa.Table) -> int:
+        return rows["_clock"][0].as_py() if "_clock" in rows.column_names else 0
+
     def summarise(self, rows: pa.Table, end: int):
         times = _open_times(rows, self.at)
         if not len(times):
             return None
         interval, tolerance = self._limits(rows)
         origin, count = int(times[0]), len(times)
-        clock = origin + np.arange(tolerance + interval + 1, dtype=np.int64)
+        clock = np.maximum(origin + np.arange(tolerance + interval + 1, dtype=np.int64), self._carried(rows))
         result = clock.copy()
         # Distinct (clock, next request) pairs, and which of them each entry clock follows.
         follows = np.arange(len(clock))
@@ -166,13 +176,17 @@ class _Police:
         still = np.nonzero(~_closed(rows, self.at))[0]
         times = _ints(rows[self.at])[still].tolist()
         # From grant to grant; what lies between is refused.
-        t, at, hits = state, bisect_left(times, state - tolerance), []
+        t = max(state, self._carried(rows))
+        at, hits, clocks = bisect_left(times, t - tolerance), [], [t]
         while at < len(times):
             hits.append(at)
             t = max(t, times[at]) + interval
+            clocks.append(t)
             at = bisect_left(times, t - tolerance, at + 1)
         granted = np.zeros(rows.num_rows, bool)
         granted[still[hits]] = True
+        if self.tell:
+            rows = rows.append_column("clock_ms", pa.array(np.array(clocks, np.int64)[np.cumsum(granted)], pa.int64()))
         return rows.append_column("granted", pa.array(granted, pa.bool_()))
 
 
@@ -199,27 +213,36 @@ def police(
     per_minute: int | str,
     *,
     paused_until_ms: str | None = None,
+    carried_ms: str | None = None,
     block_rows: int = Blocks.rows,
 ) -> DataFrame:
     """Which requests fit the budget when refused ones are dropped.
 
     ``order`` must begin with ``at_ms``; ``per_minute`` as in ``shape``. ``paused_until_ms`` optionally gives the
-    end of the pause known at each request (see ``pauses``). Exact for a token
-    of any size: see ``blockfold``.
+    end of the pause known at each request (see ``pauses``), ``carried_ms`` names the clock,
+    constant per token, that earlier requests have left; then ``clock_ms`` is the clock after
+    each request. Exact for a token of any size: see ``blockfold``.
     """
     interval, tolerance = _limit_columns(per_minute)
     rows = df.withColumns({"_interval": interval, "_tolerance": tolerance})
-    if paused_until_ms is not None:
-        rows = rows.withColumn("_paused", F.coalesce(F.col(paused_until_ms), F.lit(0)))
+    paused = F.coalesce(F.col(paused_until_ms), F.lit(0)) if paused_until_ms is not None else F.lit(0)
+    carried = carried_ms is not None
+    if carried:
+        rows = rows.withColumn("_clock", F.coalesce(F.col(carried_ms), F.lit(0)).cast("bigint"))
+        # Requests may come late, far behind that clock: they are refused and don't move it.
+        paused = F.greatest(paused, F.col("_clock") - F.col("_tolerance"))
+    closing = carried or paused_until_ms is not None
+    if closing:
+        rows = rows.withColumn("_paused", paused)
     staged = stage(rows, token, order)
     numbered = number_rows(staged, token).drop("_pos", "_part")
-    rule = _Police(at_ms)
+    rule = _Police(at_ms, tell=carried)
     out = block_fold(
         numbered,
         token,
         rule,
         Blocks(block_rows),
-        needs=[at_ms, "_interval", "_tolerance", *(["_paused"] if paused_until_ms else [])],
-        added=[T.StructField("granted", T.BooleanType())],
+        needs=[at_ms, "_interval", "_tolerance", *(["_paused"] if closing else []), *(["_clock"] if carried else [])],
+        added=[*([T.StructField("clock_ms", T.LongType())] if carried else []), T.StructField("granted", T.BooleanType())],
     )
-    return out.select(*df.columns, "granted")
+    return out.select(*df.columns, "granted", *(["clock_ms"] if carried else []))

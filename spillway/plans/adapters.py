@@ -22,11 +22,18 @@ def with_instants(e: DataFrame) -> DataFrame:
     return e.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("ms", F.unix_millis("ts"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as a stream, be the table one file or a folder of them."""
+def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The same events as a stream, be the table one file or a folder of them.
+
+    ``max_files`` bounds a trigger. Rules that follow the order of arrival then see the
+    files one after the other, so set it only where that is the order of time.
+    """
     root = sf_dir.rstrip("/")
     schema = configure(spark).read.parquet(f"{root}/events.parquet").schema
-    return with_instants(spark.readStream.schema(schema).parquet(f"{root}/events.parque[t]"))
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return with_instants(reader.parquet(f"{root}/events.parque[t]"))
 
 
 def level_of(event_type: Column) -> Column:

@@ -10,14 +10,9 @@ from spillway.plans import adapters as A
 from spillway.plans.catalog.packing import AGE, DOMAIN, EVENT_BASE, FLAGSHIP_BASE, LIMIT, REQUEST_SQL, T_MS, TAU_MS, pack_sql
 from spillway.plans.catalog.records import ENTRY_SQL
 from spillway.plans.catalog.registry import query
-from spillway.streaming import STATE_STORE, run_available
-from spillway.streaming.stateful import micro_batches, police_stream, shape_stream
+from spillway.streaming import run_available
 from spillway.streaming.stateless import normalised
-
-
-def _stateful(spark):
-    for key, value in STATE_STORE.items():
-        spark.conf.set(key, value)
+from spillway.streaming.triggers import batching, policing, run_triggers, shaping
 
 
 @query("stream_entries", f"WITH {A.RAW_SQL} SELECT app, seq, {ENTRY_SQL} AS entry FROM raw")
@@ -42,11 +37,10 @@ WHERE batch_start < last OR n_entries = 10 OR span >= {AGE}
 """)
 def stream_batches_age(spark, d):
     """Batches that also close by age, with the entry that finds them too old."""
-    _stateful(spark)
     rows = A.records_of(A.event_stream(spark, d)).select(
         *DOMAIN, "seq", "ts", (F.lit(200) + F.col("seq") * 37 % 900).alias("entry_bytes")
     )
-    out = run_available(micro_batches(rows, batch_size=10, max_bytes=4096, flush_interval=AGE), "stream-batches-age")
+    out = run_triggers(rows, batching(batch_size=10, max_bytes=4096, flush_interval=AGE), "stream-batches-age")
     return out.select(
         "app", "proc", F.col("batch_first").alias("first_seq"), F.col("n_entries").cast("bigint").alias("n_entries"), "n_bytes"
     )
@@ -63,11 +57,10 @@ served AS (
 SELECT CAST(token AS VARCHAR) AS token, seq, departs_ms FROM served
 """)
 def stream_shape(spark, d):
-    _stateful(spark)
     rows = A.event_stream(spark, d).select(
         (F.col("user_id") % 4).alias("token"), F.col("event_id").alias("seq"), pacing.div(F.col("ms"), F.lit(200)).alias("at_ms")
     )
-    return run_available(shape_stream(rows, LIMIT), "stream-shape").select("token", "seq", "departs_ms")
+    return run_triggers(rows, shaping(LIMIT), "stream-shape").select("token", "seq", "departs_ms")
 
 
 @query("stream_batches", pack_sql(EVENT_BASE, DOMAIN, 10, size=4096) + """,
@@ -77,12 +70,11 @@ SELECT CAST(app AS VARCHAR) AS app, CAST(proc AS VARCHAR) AS proc, first_seq, n_
 """)
 def stream_batches(spark, d):
     """Batches that have closed; what is still open waits for the next entry."""
-    _stateful(spark)
     rows = A.records_of(A.event_stream(spark, d)).select(
         *DOMAIN, "seq", "ts", (F.lit(200) + F.col("seq") * 37 % 900).alias("entry_bytes")
     )
     # A month of events: the age limit is out of the way.
-    out = run_available(micro_batches(rows, batch_size=10, max_bytes=4096, flush_interval=10**9), "stream-batches")
+    out = run_triggers(rows, batching(batch_size=10, max_bytes=4096, flush_interval=10**9), "stream-batches")
     return out.select(
         "app", "proc", F.col("batch_first").alias("first_seq"), F.col("n_entries").cast("bigint").alias("n_entries"), "n_bytes"
     )
@@ -100,10 +92,9 @@ seen AS (
 SELECT CAST(token AS VARCHAR) AS token, seq, granted FROM seen
 """)
 def stream_police(spark, d):
-    _stateful(spark)
     rows = A.event_stream(spark, d).select(
         (F.col("user_id") % 4).alias("token"), F.col("event_id").alias("seq"),
         pacing.div(F.col("ms"), F.lit(200)).alias("at_ms"), F.lit(0).alias("pause_sec"),
     )
-    out = run_available(police_stream(rows, LIMIT), "stream-police")
+    out = run_triggers(rows, policing(LIMIT), "stream-police")
     return out.select("token", "seq", F.col("granted").cast("bigint").alias("granted"))

@@ -1,10 +1,13 @@
-"""Batches and rate limits over streams, with state per key."""
+"""Batches and rate limits over streams, with state per key.
+
+All rows that a key has in a trigger go through one task here; ``triggers`` has the same
+rules for keys of any size. What only this module can do is close batches by a timer.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -158,45 +161,6 @@ class Policer(StatefulProcessor):
         pass
 
 
-class Shaper(StatefulProcessor):
-    """Rate limit per token that delays requests instead of refusing them."""
-
-    def __init__(self, interval: int, tolerance: int):
-        self.interval = interval
-        self.tolerance = tolerance
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("clock", "tat long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        tat = self.state.get()[0] if self.state.exists() else None
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values(["at_ms", "seq"])
-        at = arrived["at_ms"].to_numpy()
-        steps = self.interval * np.arange(len(at) + 1)
-        # Unrolled, the clock before request i is T*i + max(clock carried, a_j - T*j for j < i).
-        lead = np.maximum.accumulate(np.concatenate([[at[0] if tat is None else tat], at - steps[:-1]]))
-        clock = lead + steps
-        departs = np.maximum(at, clock[:-1] - self.tolerance)
-        self.state.update((int(clock[-1]),))
-        yield pd.DataFrame({"token": key[0], "seq": arrived["seq"], "at_ms": at, "departs_ms": departs})
-
-    def close(self) -> None:
-        pass
-
-
-def shape_stream(requests: DataFrame, per_minute: int) -> DataFrame:
-    """Departure time of each request of a stream of ``token, seq, at_ms``; a limit of 0 delays nothing."""
-    keyed = requests.select(F.col("token").cast("string").alias("token"), "seq", "at_ms")
-    if per_minute <= 0:
-        return keyed.withColumn("departs_ms", F.col("at_ms"))
-    return keyed.groupBy("token").transformWithStateInPandas(
-        Shaper(*limits(per_minute)),
-        outputStructType="token string, seq long, at_ms long, departs_ms long",
-        outputMode="Append",
-        timeMode="None",
-    )
-
-
 def police_stream(requests: DataFrame, per_minute: int) -> DataFrame:
     """Grant or refuse each request of a stream of ``token, seq, at_ms, pause_sec``; a limit of 0 grants all.
 
