@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from spillway.constants import MASKS, MAX_DEPTH, REDACTED, SENSITIVE_KEYS, TOO_DEEP
-from spillway.functions.text import ascii_pattern
+from spillway.functions.text import ascii_pattern, finite_or_zero, valid_utf8
 
 Masks = Sequence[tuple[str, str]]
 
@@ -83,9 +83,31 @@ def free_form(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.VariantType)
 
 
-def _as_variant(col: Column, keys: Sequence[str], extra: Masks, depth: int) -> Column:
+def sanitised(col: Column, dtype: T.DataType) -> Column:
+    """``col`` with 0 for what isn't a finite number and U+FFFD for bytes that aren't UTF-8, at any depth.
+
+    A VARIANT is covered where it is a number itself, not inside its own arrays and objects.
+    """
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return finite_or_zero(col).cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return valid_utf8(col)
+    if isinstance(dtype, T.VariantType):
+        number = F.when(F.schema_of_variant(col).isin("DOUBLE", "FLOAT"), F.try_variant_get(col, "$", "double"))
+        odd = F.isnan(number) | (F.abs(number) == F.lit(float("inf")))
+        return F.when(odd, F.parse_json(F.lit("0"))).otherwise(col)
+    if isinstance(dtype, T.StructType) and dtype.fields:
+        return F.when(col.isNotNull(), F.struct(*[sanitised(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda x: sanitised(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(col, lambda _, v: sanitised(v, dtype.valueType))
+    return col
+
+
+def _as_variant(col: Column, dtype: T.DataType, keys: Sequence[str], extra: Masks, depth: int) -> Column:
     """A masked VARIANT; Python cannot run inside a transform, so whole arrays and maps come here."""
-    return F.try_parse_json(redact_json_udf(keys, extra, depth)(F.to_json(col)))
+    return F.try_parse_json(redact_json_udf(keys, extra, depth)(F.to_json(sanitised(col, dtype))))
 
 
 def redact_value(
@@ -95,13 +117,13 @@ def redact_value(
     extra: Masks = (),
     depth: int = 0,
 ) -> Column:
-    """Masked copy of ``col``. A sensitive field becomes a STRING field."""
+    """Masked and sanitised copy of ``col``. A sensitive field becomes a STRING field."""
     if depth > MAX_DEPTH:
         return F.lit(TOO_DEEP)
     if isinstance(dtype, T.StringType):
-        return redact_text(col, extra)
+        return redact_text(valid_utf8(col), extra)
     if isinstance(dtype, T.VariantType) or isinstance(dtype, (T.ArrayType, T.MapType)) and free_form(dtype):
-        return _as_variant(col, keys, extra, depth)
+        return _as_variant(col, dtype, keys, extra, depth)
     if isinstance(dtype, T.StructType):
         if not dtype.fields:
             return col
@@ -120,14 +142,14 @@ def redact_value(
             return F.transform_values(col, lambda _, v: redact_value(v, dtype.valueType, keys, extra, depth + 1))
         if not isinstance(dtype.valueType, T.StringType):
             # Values of another type cannot hold the mark.
-            return _as_variant(col, keys, extra, depth)
+            return _as_variant(col, dtype, keys, extra, depth)
         return F.transform_values(
             col,
             lambda k, v: F.when(is_sensitive_key(k, keys), F.lit(REDACTED)).otherwise(
                 redact_value(v, dtype.valueType, keys, extra, depth + 1)
             ),
         )
-    return col
+    return sanitised(col, dtype)
 
 
 def _masker(keys: Sequence[str], masks: Masks):

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spillway.constants import CONTEXT_TYPES, LEVEL_RANK, SENSITIVE_KEYS, TRACE_LINES
-from spillway.functions.redact import free_form, Masks, is_sensitive_name, redact_json, redact_text, redact_value
-from spillway.functions.text import level_rank, rfc3339_ms, text_json_bytes
+from spillway.functions.redact import free_form, Masks, is_sensitive_name, redact_json, redact_text, redact_value, sanitised
+from spillway.functions.text import level_rank, rfc3339_ms, text_json_bytes, valid_utf8
 
 EXC_KEYS = ["class", "message", "file", "line", "trace"]
 # Keys a flattened exception replaces in its context.
@@ -120,7 +120,8 @@ def _masked_context(df: DataFrame, keys: Sequence[str], extra: Masks) -> _Contex
     ):
         return _Context(redact_value(col, dtype, keys, extra), _masked_type(dtype, keys))
     # Free form: JSON text, VARIANT or a map of VARIANT.
-    text = col if isinstance(dtype, T.StringType) else F.to_json(col)
+    text = sanitised(col, dtype)
+    text = text if isinstance(dtype, T.StringType) else F.to_json(text)
     json_text = redact_json(text, keys, extra)
     raw = F.to_json(F.struct(redact_text(text, extra).alias("raw")))
     other = F.when(json_text.isNull() & (F.trim(text) != ""), raw).when(F.startswith(json_text, F.lit("[")) & (json_text != "[]"), json_text)
@@ -178,13 +179,14 @@ def to_entries(
         context = F.when(rid.isNotNull(), ctx.json(["request_id"])).otherwise(ctx.json())
         kind = context_type(ctx.text("type"))
 
-    message = redact_text(F.col("message"), extra_patterns) if redact_message else F.col("message")
+    message = valid_utf8(F.col("message"))
+    message = redact_text(message, extra_patterns) if redact_message else message
     return records.select(
         *carry,
         rfc3339_ms(F.col("ts")).alias("timestamp"),
         fold_level(F.col("level_name")).alias("level"),
         message.alias("message"),
-        "host",
+        valid_utf8(F.col("host")).alias("host"),
         rid.alias("requestId"),
         kind.alias("contextType"),
         F.nullif(context, F.lit("{}")).alias("context"),
