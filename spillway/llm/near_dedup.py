@@ -120,25 +120,31 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = seen.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("class_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes = materialise(classes, "classes")
 
-    members = classes.select("class_id", F.posexplode("bands").alias("band", "bucket"))
-    who = F.sum(F.xxhash64("class_id").cast("decimal(38,0)")).alias("who")
+    members = classes.select("set_key", F.posexplode("bands").alias("band", "bucket"))
+    who = F.sum(F.xxhash64("set_key").cast("decimal(38,0)")).alias("who")
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), who, F.min("band").alias("band")).where("n > 1")
     buckets = buckets.groupBy("n", "who").agg(F.min_by("bucket", "band").alias("bucket"))
-    members = materialise(members.select("class_id", "bucket").join(buckets.select("bucket", "n"), "bucket"), "buckets")
+    members = materialise(members.select("set_key", "bucket").join(buckets.select("bucket", "n"), "bucket"), "buckets")
 
-    # Full sets of the classes that share a bucket with another.
-    wanted = members.select("class_id").distinct()
-    texts = own.withColumnRenamed("id", "class_id").join(wanted, "class_id").dropDuplicates(["class_id"])
-    sets = sets_of(texts, kind, size).join(classes.select("class_id", "bands", "sig"), "class_id")
+    # Full sets of the classes that share a bucket with another; texts of one id may have different sets.
+    wanted = materialise(classes.join(members.select("set_key").distinct(), "set_key"), "wanted")
+    texts = own.withColumnRenamed("id", "class_id").join(wanted.select("class_id").distinct(), "class_id").dropDuplicates(["class_id", "text"])
+    sets = sets_of(texts, size).join(wanted, "set_key").dropDuplicates(["set_key"])
     sets = materialise(sets, "sets")
 
     # A class meets every block of its bucket; the first pair of blocks is a bucket of at most two as a whole.
     placed = members.withColumn("blocks", F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(2)).cast("int"))
-    placed = placed.withColumn("mine", F.pmod(F.xxhash64("class_id"), "blocks").cast("int"))
+    placed = placed.withColumn("mine", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
     placed = placed.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), b -> b != mine)")))
-    placed = placed.select("class_id", "bucket", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
-    links = materialise(linked(placed.join(sets, "class_id"), kind, threshold), "links")
-    found = components(links)
+    placed = placed.select("set_key", "bucket", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
+    links = linked(placed.join(sets, "set_key"), kind, threshold)
+
+    # An id with several sets links their classes.
+    with_sets = seen.where("n_shingles > 0 AND id IS NOT NULL").select("id", "set_key")
+    key = F.xxhash64("set_key")
+    recurring = with_sets.groupBy("id").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least != most").select("id")
+    again = with_sets.join(recurring, "id").join(classes.select("set_key", "class_id"), "set_key").select(F.col("class_id").alias("low"), F.col("id").alias("high"))
+    found = components(materialise(links.unionByName(again.distinct()), "links"))
 
     named = classes.select("set_key", "class_id").join(found, F.col("class_id") == F.col("node"), "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     alone = F.col("n_shingles") == 0
@@ -151,12 +157,15 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def sets_of(texts: DataFrame, kind: str, size: int) -> DataFrame:
+def sets_of(texts: DataFrame, size: int) -> DataFrame:
+    """The set of each text and its key."""
+
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("class_id"), pa.array([shingles(t, size).tobytes() for t in utf8(b.column("text"))], pa.binary())], ["class_id", "shingles"])
+            sets = [shingles(t, size).tobytes() for t in utf8(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["set_key", "shingles"])
 
-    return arrow_map(texts.select("class_id", "text"), run, f"class_id {kind}, shingles binary")
+    return arrow_map(texts.select("text"), run, "set_key binary, shingles binary")
 
 
 @cache
@@ -193,7 +202,7 @@ def linked(placed: DataFrame, kind: str, threshold: int) -> DataFrame:
     """Links (low, high) that connect what is linked within each task's blocks."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("class_id")
+        group = group.drop_duplicates("set_key")
         ids = group["class_id"].to_numpy()
         sig = np.stack([np.frombuffer(x, np.uint8) for x in group["sig"]])
         bands = np.stack(group["bands"].to_numpy())
