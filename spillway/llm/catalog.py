@@ -84,10 +84,16 @@ def op7(spark, sf_dir):
 
     archives = materialise(write_archives(with_revisits(table(spark, sf_dir, "pages"))), "warc")
     read = read_archives(archives)
+    return every_page(read)
+
+
+def every_page(read):
+    """One row per record; a damaged one ends the query, as its page would be missing."""
     number = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1).try_cast("long")
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("damaged record: "), "error")).cast("long")).otherwise(F.col("payload_bytes"))
     return read.select(
-        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"), "error"
-    ).where("error IS NULL").drop("error")
+        number("record_id").alias("page_id"), sound.alias("payload_bytes"), "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
 
 
 @query("op10_chat", r"""
