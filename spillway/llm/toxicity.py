@@ -29,12 +29,37 @@ TOGETHER, KEPT = 4096, 1 << 17
 EMBEDDINGS = 10
 THRESHOLD = 0.7
 
+#: Bytes of a word at most, and what the pieces of a longer run have in common.
+LONGEST, SHARED = 64, 16
+
 # Words are runs of ASCII letters and of bytes from 0x80; anything else becomes a space.
 _WORDS = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
 def words(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(_WORDS).split()
+    """Words of a text; a run of more than ``LONGEST`` bytes, as in scripts without spaces, is several words."""
+    found = (text or b"").translate(_WORDS).split()
+    if max(map(len, found), default=0) <= LONGEST:
+        return found
+    return [piece for word in found for piece in pieces(word)]
+
+
+def pieces(word: bytes) -> list[bytes]:
+    """Pieces of at most ``LONGEST`` bytes, cut between characters; neighbours share ``SHARED`` bytes or a little more."""
+    out, at = [], 0
+    while len(word) - at > LONGEST:
+        end = _edge(word, at + LONGEST)
+        out.append(word[at:end])
+        at = _edge(word, end - SHARED)
+    return [*out, word[at:]]
+
+
+def _edge(word: bytes, at: int) -> int:
+    """The start of the character that holds this byte."""
+    for back in range(4):
+        if word[at - back] & 0xC0 != 0x80:
+            return at - back
+    return at
 
 
 def features(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,7 +67,7 @@ def features(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     grams: list[int] = []
     sizes = []
     for word in vocabulary:
-        marked = b"<" + word[:64] + b">"
+        marked = b"<" + word + b">"
         before = len(grams)
         grams += [crc32(marked[k : k + n]) % GRAM_BUCKETS for n in (3, 4) for k in range(max(1, len(marked) - n + 1))]
         sizes.append(len(grams) - before)
