@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spillway.llm.catalog import TOKENIZERS
 from spillway.llm.common import table
@@ -17,6 +17,15 @@ from spillway.session import materialise
 SURE = 0.5
 
 
+def row_key() -> Column:
+    """Names a row by doc_id and text, never null, in the order of doc_id; rows without one come last.
+
+    Rows that agree in both share a key, and every stage decides alike on them.
+    """
+    place = F.lpad(F.expr("CAST(CAST(doc_id AS DECIMAL(20, 0)) + 9223372036854775808BD AS STRING)"), 20, "0")
+    return F.concat(F.coalesce(place, F.lit("~")), F.lit("-"), F.md5(F.coalesce("text", F.lit(""))), F.col("text").isNull().cast("string"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a learnt language; the model learns from the labelled ones among them."""
     told = identify(docs, train_on(docs), name="_lang", score="_score")
@@ -30,14 +39,16 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents (five-word shingles, similarity 0.8 or more) the one with the smallest doc_id stays."""
-    gone = near_dedup(docs, size=5, threshold=80).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.withColumn("_row", row_key())
+    gone = near_dedup(rows, id_col="_row", size=5, threshold=80).where("NOT kept").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go."""
-    gone = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.withColumn("_row", row_key())
+    gone = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="_row").where("contaminated").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
