@@ -62,12 +62,35 @@ def shape(
     return ranked.select(*df.columns, departs.alias("departs_ms"), (departs - F.col(at_ms)).alias("waits_ms"), *after)
 
 
-def pace_inline(df: DataFrame, run: Sequence[str], order: Sequence[str], ready_ms: str, per_minute: int) -> DataFrame:
-    """Send slot of each request of a run: not before it is ready, nor closer than the pace allows."""
+def pace_inline(
+    df: DataFrame,
+    run: Sequence[str],
+    order: Sequence[str],
+    ready_ms: str,
+    per_minute: int,
+    *,
+    deadline_ms: str | None = None,
+    wait_sec: str | None = None,
+    max_wait: int = 0,
+) -> DataFrame:
+    """Send slot of each request of a run: not before it is ready, nor closer than the pace allows.
+
+    A run stops at the first slot at or past ``deadline_ms`` (a column, constant per run; null: none) and
+    after the first request whose answer asked to wait (``wait_sec``) more than ``max_wait`` seconds. What
+    is left unsent has a null ``slot_ms``.
+    """
     interval = -(-60_000 // per_minute) if per_minute > 0 else 0
     numbered = number_rows(stage(df, run, order), run)
-    lead = scan(numbered, run, {"_lead": Scan("max", F.col(ready_ms) - interval * F.col("_rn"))})
-    return lead.select(*df.columns, (F.col("_lead") + interval * F.col("_rn")).alias("slot_ms"))
+    scans = {"_lead": Scan("max", F.col(ready_ms) - interval * F.col("_rn"))}
+    if wait_sec is not None:
+        scans["_stop"] = Scan("max", (F.col(wait_sec) > max_wait).cast("int"), before=True)
+    slot, sent = F.col("_lead") + interval * F.col("_rn"), F.lit(True)
+    if wait_sec is not None:
+        sent = sent & (F.coalesce("_stop", F.lit(0)) == 0)
+    if deadline_ms is not None:
+        # Slots never fall, so every later one is past it too.
+        sent = sent & F.coalesce(slot < F.col(deadline_ms), F.lit(True))
+    return scan(numbered, run, scans).select(*df.columns, F.when(sent, slot).alias("slot_ms"))
 
 
 def pauses(df: DataFrame, token: Sequence[str], order: Sequence[str], at_ms: str, seconds: str) -> DataFrame:
