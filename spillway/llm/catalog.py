@@ -192,3 +192,82 @@ def op5(spark, sf_dir):
     said = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(said("base"), 256).alias("base_sha256"), said("spans").alias("spans"))
+
+
+@query("op11_quality")
+def op11(spark, sf_dir):
+    from spillway.llm.language import remainder
+    from spillway.llm.quality import THRESHOLD, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
+    network = train(docs.withColumnRenamed("doc_id", "id"), labels.select(F.col("doc_id").alias("id"), "quality"))
+    scored = score(docs, network)
+    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op12_turn_trie", r"""
+WITH RECURSIVE crc AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS r FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL
+  SELECT conv_id, s, k + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+  FROM (SELECT *, CASE WHEN k % 8 = 0 THEN xor(r, CAST(ascii(substr(s, k // 8 + 1, 1)) AS BIGINT)) ELSE r END AS x FROM crc WHERE k < 8 * length(s))
+), heads AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(r, 4294967295) % 4 AS h FROM crc WHERE k = 8 * length(s)
+), turns AS (
+  SELECT conv_id, t, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) - 1 AS pos
+  FROM (SELECT conv_id, turn, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS t, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+        FROM conversations WHERE conv_id IS NOT NULL)
+), sizes AS (SELECT conv_id AS base, count(*) AS n FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT heads.conv_id, pos, t, w FROM heads JOIN turns ON turns.conv_id = base AND pos < h
+  UNION ALL
+  SELECT conv_id, pos - h + least(h, coalesce(n, 0)), t, w FROM heads JOIN turns USING (conv_id) LEFT JOIN sizes USING (base) WHERE pos >= h
+), paths AS (
+  SELECT conv_id, pos + 1 AS depth, string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY pos) AS path, w FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', 0 FROM heads
+), nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, min(w) AS w FROM paths GROUP BY depth, path
+), lasts AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id
+), ends AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM paths JOIN lasts USING (conv_id, depth) GROUP BY path
+), kids AS (SELECT left(path, CAST(32 * (depth - 1) AS BIGINT)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), subtrees AS (
+  SELECT left(path, CAST(32 * d AS BIGINT)) AS path, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * w) AS saved
+  FROM (SELECT path, n_convs, w, n_children, unnest(range(0, depth + 1)) AS d FROM nodes LEFT JOIN kids USING (path)) GROUP BY 1
+)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes a JOIN subtrees s USING (path) LEFT JOIN kids USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON a.depth > 0 AND p.path = left(a.path, CAST(32 * (a.depth - 1) AS BIGINT))
+""")
+def op12(spark, sf_dir):
+    from spillway.llm.turn_trie import numbered_turns, prefix_trie, reopened
+    from spillway.session import materialise
+
+    turns = materialise(numbered_turns(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie(*reopened(turns))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    from spillway.llm.periodic import find_runs
+
+    found = find_runs(rewritten(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # The longest run; of equal ones that of the smallest start, then period.
+    longest = F.expr("array_min(transform(runs, r -> struct(-r.length AS n, r.start, r.period)))")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), (-F.col("top.n")).alias("length"), F.col("top.period").alias("period"),
+        F.expr("1000 * -top.n div top.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def rewritten(docs):
+    """Where h = crc32(doc_id) is a multiple of 10, the words from word a on become a repetition of p words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w != '')")
+    told = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    told = told.withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10"))
+    told = told.withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    told = told.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("array_join(transform(sequence(0, n - 1), i -> w[CAST(IF(i < a, i, a + (i - a) % p) AS INT)]), ' ')")
+    return told.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
