@@ -63,6 +63,20 @@ def redact_text(col: Column, extra: Masks = ()) -> Column:
     return out
 
 
+def marks_in(col: Column, mark: str) -> Column:
+    """How often a mask's mark stands in a text."""
+    return F.floor((F.length(col) - F.length(F.replace(col, F.lit(mark)))) / len(mark)).cast("bigint")
+
+
+def inserted_marks(before: Column, after: Column, extra: Masks = ()) -> Column:
+    """How many marks masking has put in, as a struct with a field per mask, in their order; null texts count as 0.
+
+    No mask takes another's mark away, so what is there more than before has been inserted.
+    """
+    marks = dict.fromkeys(mark for _, mark in [*MASKS, *extra])
+    return F.struct(*[F.coalesce(marks_in(after, m) - marks_in(before, m), F.lit(0).cast("bigint")).alias(m) for m in marks])
+
+
 def is_sensitive_name(name: str, keys: Sequence[str] = SENSITIVE_KEYS) -> bool:
     lowered = name.lower()
     return any(needle.lower() in lowered for needle in keys)

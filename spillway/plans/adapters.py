@@ -242,3 +242,56 @@ attempts AS (
          l_orderkey % 19 = 0 AS sync
   FROM lineitem
 )"""
+
+
+def app_of() -> Column:
+    """An app of which one has a third of all events."""
+    return F.when(F.col("event_id") % 3 == 0, "main").otherwise(F.concat(F.lit("app-"), F.col("user_id") % 8))
+
+
+def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors and purchases as thrown exceptions whose messages carry ids and numbers."""
+    k = F.get_json_object("props", "$.k")
+    kind = F.col("event_id") % 4
+    message = (
+        F.when(kind == 0, F.concat(F.lit("User "), "user_id", F.lit(" not found")))
+        .when(kind == 1, F.concat(F.lit("Timeout after "), k, F.lit(" ms\n on 0xBEEF"), "user_id"))
+        .when(kind == 2, F.concat(F.lit("Job 01234567-89ab-cdef-0123-"), F.lpad(F.col("event_id").cast("string"), 12, "0"), F.lit("  failed")))
+    )
+    return events(spark, sf_dir).where("event_type IN ('error', 'purchase')").select(
+        app_of().alias("app"), F.col("event_id").alias("seq"), "ts",
+        F.concat(F.lit("App\\Fault"), F.col("user_id") % 3).alias("class"), message.alias("message"),
+        F.when(F.col("user_id") % 5 != 0, F.concat(F.lit("app/Service.php:"), F.col("user_id") % 5)).alias("frame"),
+    )
+
+
+def deploys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some signups as deploys; every fourth failed."""
+    return events(spark, sf_dir).where("event_type = 'signup' AND event_id % 25 < 3").select(
+        app_of().alias("app"), "ts", F.col("event_id").alias("version"), (F.col("event_id") % 4 != 0).alias("success")
+    )
+
+
+OCCURRENCES_SQL = r"""
+faults AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'main' ELSE 'app-' || (user_id % 8) END AS app, event_id AS seq, ts,
+         'App\Fault' || (user_id % 3) AS class,
+         CASE event_id % 4 WHEN 0 THEN 'User ' || user_id || ' not found'
+              WHEN 1 THEN 'Timeout after ' || json_extract_string(props, '$.k') || ' ms' || chr(10) || ' on 0xBEEF' || user_id
+              WHEN 2 THEN 'Job 01234567-89ab-cdef-0123-' || lpad(CAST(event_id AS VARCHAR), 12, '0') || '  failed' END AS message,
+         CASE WHEN user_id % 5 <> 0 THEN 'app/Service.php:' || (user_id % 5) END AS frame
+  FROM events WHERE event_type IN ('error', 'purchase')
+), shaped AS (
+  SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(message, ''),
+      '[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}', '#', 'g'), '0[xX][0-9A-Fa-f]+', '#', 'g'), '[0-9]+', '#', 'g'), '[ \t\r\n]+', ' ', 'g')) AS template
+  FROM faults
+), occurrences AS (SELECT *, sha256(coalesce(class, '') || chr(10) || template || chr(10) || coalesce(frame, '')) AS fingerprint FROM shaped
+), deploys AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'main' ELSE 'app-' || (user_id % 8) END AS app, ts, event_id AS version
+  FROM events WHERE event_type = 'signup' AND event_id % 25 < 3 AND event_id % 4 <> 0
+)"""
+
+
+def beats(e: DataFrame) -> DataFrame:
+    """Events as heartbeats of their apps."""
+    return e.select(app_of().alias("app"), "ts")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spillway.operators.audit import mask_and_audit
 from spillway.functions.redact import redact_json, redact_text, redact_value
 from spillway.plans import adapters as A
 from spillway.plans.catalog.registry import query
@@ -132,3 +133,22 @@ def depth_bound(spark, d):
     hidden = F.regexp_replace(deep, r'"a":0', '"token":0')
     masked = redact_json(hidden)
     return A.events(spark, d).select("event_id", F.regexp_replace(masked, '"token"', '"a"').alias("doc"))
+
+
+@query("masking_audit", r"""
+WITH t0 AS (SELECT source, """ + SEEDED_SQL.format("text", "doc_id") + r""" AS t FROM documents),
+t1 AS (SELECT source, len(regexp_extract_all(t, '\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\b')) AS a,
+  regexp_replace(t, '\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\b', '[JWT]', 'g') AS t FROM t0),
+t2 AS (SELECT source, a, len(regexp_extract_all(t, '(?i)Bearer\s+[A-Za-z0-9._~+/=-]{10,}')) AS b,
+  regexp_replace(t, 'Bearer\s+[A-Za-z0-9._~+/=-]{10,}', 'Bearer [REDACTED]', 'gi') AS t FROM t1),
+t3 AS (SELECT source, a, b, len(regexp_extract_all(t, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b')) AS c,
+  regexp_replace(t, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b', '[EMAIL]', 'g') AS t FROM t2),
+t4 AS (SELECT source, a, b, c, len(regexp_extract_all(t, '\b\d(?:[ -]?\d){12,18}\b')) AS d FROM t3),
+m AS (SELECT source, unnest(['[JWT]', 'Bearer [REDACTED]', '[EMAIL]', '[CARD]']) AS mask, unnest([a, b, c, d]) AS n FROM t4)
+SELECT source, grouping(source) = 1 AS total, mask, CAST(sum(n) AS BIGINT) AS inserted, count(*) FILTER (n > 0) AS texts
+FROM m GROUP BY GROUPING SETS ((source, mask), (mask))
+""")
+def masking_audit(spark, d):
+    docs = A.table(spark, d, "documents")
+    rows = docs.select("doc_id", "source", _seeded(F.col("text"), F.col("doc_id")).alias("text"))
+    return mask_and_audit(rows, "text", "source")[1].select("source", "total", "mask", "inserted", "texts")
