@@ -140,7 +140,7 @@ def burst(found: DataFrame, turns: DataFrame, limit: int) -> tuple[DataFrame, li
     head above) and the burst heads of each round.
     """
     null = lambda kind: F.lit(None).cast(kind)
-    at = found.select("cls", "n", "len", "sha", F.unhex(F.md5(F.lit(""))).alias("head"), null("long").alias("up"), null("binary").alias("under"), F.lit(0).cast("long").alias("words"))
+    at = found.select("cls", "n", "len", "sha", "head", null("long").alias("up"), null("binary").alias("under"), F.lit(0).cast("long").alias("words"))
     settled, rounds, depth = [], [], 0
     while True:
         ends = F.col("len") == depth
@@ -258,7 +258,8 @@ def prefix_trie(convs: DataFrame, turns: DataFrame, limit: int = LIMIT) -> DataF
     member of the root; without conversations there is no node.
     """
     turns = materialise(turns, "turns")
-    found = materialise(classes(convs, turns), "classes")
+    # The root's head is stored: joined as a constant it would be no key.
+    found = materialise(classes(convs, turns).withColumn("head", F.unhex(F.md5(F.lit("")))), "classes")
     suffixes = materialise(turns.join(found.select(F.col("cls").alias("conv")), "conv", "left_semi"), "suffixes")
     settled, rounds = burst(found, suffixes, limit)
 
