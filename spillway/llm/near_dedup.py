@@ -4,14 +4,17 @@
 2. Bands of MinHash values put classes into buckets. They are as long as leaves a pair
    at the threshold without a common bucket ``UNSEEN`` times at most; at 0.85 that is 32
    bands of 7 and (1 - 0.85 ** 7) ** 32, 4 in a million. Buckets that hold the same classes as another are dropped.
-3. Large buckets are cut into blocks; a task gets two blocks, so no task holds a
-   bucket. Within it a pair belongs to the first band that it shares.
-4. Pairs are compared a few signature values at a time. With a uniform prior the
+3. Pairs of a bucket are compared a few signature values at a time. With a uniform prior the
    posterior of the similarity after m of n matches is Beta(m + 1, n - m + 1); a pair
-   goes once its chance to reach the threshold is below ``MISS``. Survivors are
-   verified exactly on full shingle sets, most similar first; pairs that are already
-   connected need no check.
-5. Components by alternating large and small stars.
+   goes once its chance to reach the threshold is below ``MISS``. Only signatures travel here. What the
+   survivors connect is a *family*; a bucket of more than ``BLOCK`` classes is one as it is.
+4. Full sets are made for families of several classes alone and move once, to a block of their family (``BLOCK`` classes
+   or ``BYTES`` of sets at most). Surviving pairs of a block are verified exactly, most similar
+   first; pairs that are already connected need no check.
+5. In a family of several blocks, one class of each connected part meets those of the other blocks. Only if it still
+   falls into parts, all that is outside its largest part meets every block (``across``). So near copies of
+   one text cost in proportion to their number, and no link is lost.
+6. Components by alternating large and small stars.
 """
 
 from __future__ import annotations
@@ -19,10 +22,9 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from spillway.llm.common import arrow_map, utf8
 from spillway.session import materialise
@@ -31,7 +33,8 @@ HASHES = 224
 UNSEEN = 2e-5
 BATCH = 32
 MISS = 1e-5
-BLOCK = 1024
+#: Classes of a block, and bytes of their sets.
+BLOCK, BYTES = 1024, 1 << 25
 
 _RANDOM = np.random.default_rng(85)
 _TIMES = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,38 +120,31 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = own.schema["id"].dataType.simpleString()
     seen = materialise(features(own, kind, size, band_length(threshold)), "minhash")
-    classes = seen.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("class_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    with_sets = seen.where("n_shingles > 0 AND id IS NOT NULL")
+    classes = with_sets.groupBy("set_key").agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes = materialise(classes, "classes")
 
-    members = classes.select("set_key", F.posexplode("bands").alias("band", "bucket"))
-    who = F.sum(F.xxhash64("set_key").cast("decimal(38,0)")).alias("who")
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), who, F.min("band").alias("band")).where("n > 1")
-    buckets = buckets.groupBy("n", "who").agg(F.min_by("bucket", "band").alias("bucket"))
-    members = materialise(members.select("set_key", "bucket").join(buckets.select("bucket", "n"), "bucket"), "buckets")
-
-    # Full sets of the classes that share a bucket with another; texts of one id may have different sets.
-    wanted = materialise(classes.join(members.select("set_key").distinct(), "set_key"), "wanted")
-    texts = own.withColumnRenamed("id", "class_id").join(wanted.select("class_id").distinct(), "class_id").dropDuplicates(["class_id", "text"])
-    sets = sets_of(texts, size).join(wanted, "set_key").dropDuplicates(["set_key"])
-    sets = materialise(sets, "sets")
-
-    # A class meets every block of its bucket; the first pair of blocks is a bucket of at most two as a whole.
-    placed = members.withColumn("blocks", F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(2)).cast("int"))
-    placed = placed.withColumn("mine", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
-    placed = placed.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), b -> b != mine)")))
-    placed = placed.select("set_key", "bucket", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
-    links = linked(placed.join(sets, "set_key"), kind, threshold)
+    families = families_of(classes, threshold)
+    # A text is found by its class's id and told from others of that id by the key of its set.
+    wanted = families.join(classes.select("set_key", "class_id", "size", "sig"), "set_key")
+    texts = own.withColumnRenamed("id", "class_id").join(wanted, "class_id").dropDuplicates(["class_id", "set_key", "text"])
+    sets = materialise(sets_of(texts, size), "sets")
+    links = within(sets.withColumn("g", F.xxhash64("family", "block")), threshold)
+    links = across(sets, materialise(links, "links"), threshold)
 
     # An id with several sets links their classes.
-    with_sets = seen.where("n_shingles > 0 AND id IS NOT NULL").select("id", "set_key")
     key = F.xxhash64("set_key")
-    recurring = with_sets.groupBy("id").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least != most").select("id")
-    again = with_sets.join(recurring, "id").join(classes.select("set_key", "class_id"), "set_key").select(F.col("class_id").alias("low"), F.col("id").alias("high"))
+    recurring = with_sets.groupBy("id").agg(F.min(key).alias("least"), F.max(key).alias("most"), F.min("set_key").alias("low")).where("least != most").select("id", "low")
+    again = with_sets.join(materialise(recurring, "recurring"), "id").select("low", F.col("set_key").alias("high")).where("low != high")
     found = components(materialise(links.unionByName(again.distinct()), "links"))
+    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
 
-    named = classes.select("set_key", "class_id").join(found, F.col("class_id") == F.col("node"), "left").select("set_key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    parts = found.join(classes.select(F.col("set_key").alias("node"), "class_id"), "node")
+    first = materialise(parts.groupBy("component").agg(F.min("class_id").alias("component_id")), "components")
+    named = parts.join(first, "component").select(F.col("node").alias("set_key"), "component_id")
+    named = classes.select("set_key", "class_id").join(named, "set_key", "left").select("set_key", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
     alone = F.col("n_shingles") == 0
-    joined = seen.select("id", "n_shingles", "set_key").join(named, "set_key", "left")
+    joined = seen.select("id", "n_shingles", "set_key").join(materialise(named, "named"), "set_key", "left")
     return joined.select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(alone | F.col("id").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -157,15 +153,37 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def families_of(classes: DataFrame, threshold: int) -> DataFrame:
+    """(``set_key``, ``family``, ``block``, ``blocks``) of the classes that signatures connect with another."""
+    members = classes.select("set_key", F.posexplode("bands").alias("band", "bucket"))
+    who = F.sum(F.xxhash64("set_key").cast("decimal(38,0)")).alias("who")
+    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), who, F.min("band").alias("band"), F.min("set_key").alias("first")).where("n > 1")
+    buckets = materialise(buckets.groupBy("n", "who").agg(F.min_by("bucket", "band").alias("bucket"), F.min_by("first", "band").alias("first")), "buckets")
+    members = materialise(members.select("set_key", "bucket").join(buckets.select("bucket", "n", "first"), "bucket"), "members")
+
+    large = members.where(F.col("n") > BLOCK).where("first != set_key").select(F.col("first").alias("low"), F.col("set_key").alias("high"))
+    small = members.where(F.col("n") <= BLOCK).select("set_key", F.col("bucket").alias("g")).join(classes.select("set_key", "size", "sig"), "set_key")
+    edges = within(small, threshold).unionByName(large).distinct()
+    found = components(materialise(edges, "candidates"))
+    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    found = materialise(found.select(F.col("node").alias("set_key"), F.col("component").alias("family")), "families")
+    sizes = found.join(classes.select("set_key", "size"), "set_key").groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") * 8 / BYTES)).cast("int")
+    sizes = materialise(sizes.select("family", blocks.alias("blocks")), "sizes")
+    return found.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
+
+
 def sets_of(texts: DataFrame, size: int) -> DataFrame:
-    """The set of each text and its key."""
+    """Rows whose text has the set of their key, with that set in place of the text."""
+    kept = ["set_key", "family", "block", "blocks", "size", "sig"]
 
     def run(batches):
         for b in batches:
             sets = [shingles(t, size).tobytes() for t in utf8(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["set_key", "shingles"])
+            own = pa.array([xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, b.column("set_key").to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(sets, pa.binary())], [*kept, "shingles"]).filter(own)
 
-    return arrow_map(texts.select("text"), run, "set_key binary, shingles binary")
+    return arrow_map(texts.select(*kept, "text"), run, "set_key binary, family binary, block int, blocks int, size long, sig binary, shingles binary")
 
 
 @cache
@@ -198,48 +216,121 @@ class Forest:
         return x
 
 
-def linked(placed: DataFrame, kind: str, threshold: int) -> DataFrame:
-    """Links (low, high) that connect what is linked within each task's blocks."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("set_key")
-        ids = group["class_id"].to_numpy()
-        sig = np.stack([np.frombuffer(x, np.uint8) for x in group["sig"]])
-        bands = np.stack(group["bands"].to_numpy())
-        own = int(np.nonzero((bands == group["bucket"].iloc[0]).all(axis=0))[0][0])
-        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
-        size = np.array([len(x) for x in sets], np.int64)
-        rules = least_matches(threshold, sig.shape[1])
-        forest, out, held = Forest(len(ids)), [], []
-        for i in range(len(ids) - 1):
-            j = np.arange(i + 1, len(ids))
-            # The sizes alone bound the similarity.
-            j = j[100 * np.minimum(size[j], size[i]) >= threshold * np.maximum(size[j], size[i])]
-            if own:
-                j = j[~(bands[j, :own] == bands[i, :own]).any(axis=1)]
-            n0, m = 0, np.zeros(len(j), np.int64)
-            for n, least in rules:
-                m = m + (sig[j, n0:n] == sig[i, n0:n]).sum(axis=1)
-                n0, keep = n, m >= least
-                j, m = j[keep], m[keep]
-            if len(j):
-                held.append((np.full(len(j), i), j, m))
+def connected(rows: pa.Table, threshold: int) -> list[tuple[bytes, bytes]]:
+    """Links that connect what is linked among rows (set_key, size, sig); exact where there are ``shingles``.
+
+    With ``guest`` and ``part`` only guests are compared, with rows that are no guests and belong to another part.
+    """
+    keys = rows["set_key"].to_pylist()
+    first = {k: i for i, k in reversed(list(enumerate(keys)))}
+    guest = rows["guest"].to_numpy() if "guest" in rows.column_names else None
+    if guest is None and len(first) < len(keys):
+        rows = rows.take(sorted(first.values()))
+        keys = rows["set_key"].to_pylist()
+    size = rows["size"].to_numpy()
+    sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint8).reshape(len(keys), -1)
+    sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()] if "shingles" in rows.column_names else None
+    part = rows["part"].to_pylist() if guest is not None else None
+    rules, held = least_matches(threshold, sig.shape[1]), []
+    names = np.unique(np.array([p.hex() for p in part]), return_inverse=True)[1] if part else None
+    for i in np.nonzero(guest)[0].tolist() if guest is not None else range(len(keys) - 1):
+        j = np.nonzero(~guest & (names != names[i]))[0] if guest is not None else np.arange(i + 1, len(keys))
+        # The sizes alone bound the similarity.
+        j = j[100 * np.minimum(size[j], size[i]) >= threshold * np.maximum(size[j], size[i])]
+        n0, m = 0, np.zeros(len(j), np.int64)
+        for n, least in rules:
+            if not len(j):
+                break
+            m = m + (sig[j, n0:n] == sig[i, n0:n]).sum(axis=1)
+            n0, keep = n, m >= least
+            j, m = j[keep], m[keep]
+        if len(j):
+            held.append((np.full(len(j), i), j, m))
+    if not held:
+        return []
+    forest = Forest(len(keys))
+    a, b, m = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(-m, kind="stable")
+    at = np.array([first[k] for k in keys]) if guest is not None else np.arange(len(keys))  # rows of one class are one
+    for x, y in zip(a[order].tolist(), b[order].tolist()):
+        rx, ry = forest.root(int(at[x])), forest.root(int(at[y]))
+        if rx == ry:
+            continue
+        if sets is not None:
+            both = np.concatenate([sets[x], sets[y]])
+            both.sort()
+            same = int((both[1:] == both[:-1]).sum())
+            if 100 * same < threshold * (len(both) - same):
+                continue
+        forest.up[ry] = rx
+    # What is connected, as links of all with the smallest: few rounds of stars will do.
+    roots = [forest.root(i) for i in at.tolist()]
+    least: dict[int, bytes] = {}
+    for k, root in zip(keys, roots):
+        least[root] = min(k, least.get(root, k))
+    return list({(least[root], k) for k, root in zip(keys, roots) if least[root] != k})
+
+
+def within(rows: DataFrame, threshold: int) -> DataFrame:
+    """Links (low, high) of each group ``g`` of rows; see ``connected``."""
+    kept = [c for c in ("g", "set_key", "size", "sig", "shingles", "guest", "part") if c in rows.columns]
+
+    def run(batches):
+        held, out = [], []
+        for b in batches:
+            g = b.column("g").to_numpy()
+            cuts = np.r_[0, np.nonzero(np.diff(g))[0] + 1, len(g)]
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if held and hi > lo and held[-1].column("g")[0].as_py() != g[lo]:
+                    out += connected(pa.Table.from_batches(held), threshold)
+                    held = []
+                if hi > lo:
+                    held.append(b.slice(lo, hi - lo))
+            if len(out) > 1000:
+                yield links(out)
+                out = []
         if held:
-            a, b, m = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(-m, kind="stable")
-            for x, y in zip(a[order].tolist(), b[order].tolist()):
-                rx, ry = forest.root(x), forest.root(y)
-                if rx == ry:
-                    continue
-                both = np.concatenate([sets[x], sets[y]])
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                if 100 * same >= threshold * (len(both) - same):
-                    forest.up[ry] = rx
-                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
-        return pd.DataFrame(out, columns=["low", "high"])
-
-    return placed.groupBy("bucket", "a", "b").applyInPandas(run, f"low {kind}, high {kind}").distinct()
+            out += connected(pa.Table.from_batches(held), threshold)
+        yield links(out)
+
+    def links(out):
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["low", "high"])
+
+    return arrow_map(rows.select(*kept).repartition("g").sortWithinPartitions("g"), run, "low binary, high binary")
+
+
+def across(sets: DataFrame, links: DataFrame, threshold: int) -> DataFrame:
+    """``links`` within blocks, and those between the blocks of families that have several."""
+    large = sets.where("blocks > 1")
+    if large.isEmpty():
+        return links
+
+    def parts(of: DataFrame) -> DataFrame:
+        """``family`` rows with the part that they are connected to so far."""
+        found = materialise(components(materialise(of, "links")), "parts")
+        return of_parts.join(found, F.col("set_key") == F.col("node"), "left").select("set_key", "family", "block", "blocks", F.coalesce("component", "set_key").alias("part"))
+
+    of_parts = materialise(large.select("set_key", "family", "block", "blocks"), "large")
+    now = materialise(parts(links), "parted")
+    # One class of each part of a block stands for it.
+    heads = now.groupBy("family", "block", "part").agg(F.min("set_key").alias("set_key")).select("family", "set_key")
+    many = materialise(heads.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n")), "heads")
+    heads = heads.join(many, "family").select("set_key", F.xxhash64("family", F.pmod(F.xxhash64("set_key"), "n")).alias("g"))
+    data = large.select("set_key", "size", "sig", "shingles")
+    links = materialise(links.unionByName(within(data.join(heads, "set_key"), threshold)), "links")
+
+    now = materialise(parts(links), "parted")
+    counts = now.groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
+    split = counts.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max("n").alias("most")).where("parts > 1")
+    split = materialise(split.select("family", "top", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("guests")), "split")
+    if split.isEmpty():
+        return links
+    rows = now.join(split, "family")
+    own = F.pmod(F.xxhash64("set_key"), "guests").cast("int")
+    guests = rows.where("part != top").withColumn("at", own).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("guest", F.lit(True))
+    hosts = rows.withColumn("at", F.explode(F.expr("sequence(0, guests - 1)"))).withColumn("guest", F.lit(False))
+    meet = guests.unionByName(hosts, allowMissingColumns=True).select("set_key", "part", "guest", F.xxhash64("family", "at", "block").alias("g"))
+    return links.unionByName(within(data.join(meet, "set_key"), threshold)).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -247,13 +338,15 @@ def components(links: DataFrame) -> DataFrame:
     edges, before = materialise(links.select(F.col("high").alias("u"), F.col("low").alias("v")).where("u != v").distinct(), "edges"), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # The aggregates are stored, so that the joins deal the edges out anew and can split a node of many.
+        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u")
         small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = materialise(small, "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        seen = Observation()
+        edges = materialise(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
+        now = tuple(seen.get[k] for k in ("n", "sum"))
+        if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = now

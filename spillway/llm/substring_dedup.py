@@ -142,6 +142,7 @@ def settle(rows: DataFrame, carried: list[str]) -> DataFrame:
     mixed = left.where("NOT same")
     row = F.struct(*carried)
     twice = mixed.groupBy("key", "depth").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("witness")).where("n > 1").drop("n")
+    twice = materialise(twice, "twice")  # for the same reason
     told = mixed.join(twice, ["key", "depth"], "left").select(*carried, F.col("witness").isNotNull().alias("whole"), (F.col("witness").isNull() | (F.col("witness") == row)).alias("more"))
     return left.where("same").select(*carried, F.lit(True).alias("whole"), F.lit(False).alias("more")).unionByName(told)
 
