@@ -46,6 +46,7 @@ MAX_BYTES = 1_800_000
 MIN_BYTES = 1024
 TRACE_LINES = 30
 REASON_CHARS = 500
+MESSAGE_BYTES = 16_384
 
 # Long-running commands whose records are never buffered.
 UNBUFFERED_COMMANDS = [

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spillway.constants import CONTEXT_TYPES, LEVEL_RANK, SENSITIVE_KEYS, TRACE_LINES
 from spillway.functions.redact import free_form, Masks, is_sensitive_name, redact_json, redact_text, redact_value, sanitised
-from spillway.functions.text import level_rank, rfc3339_ms, text_json_bytes, valid_utf8
+from spillway.functions.text import clip_bytes, level_rank, rfc3339_ms, text_json_bytes, valid_utf8
 
 EXC_KEYS = ["class", "message", "file", "line", "trace"]
 # Keys a flattened exception replaces in its context.
@@ -157,9 +157,12 @@ def to_entries(
     keys: Sequence[str] = SENSITIVE_KEYS,
     extra_patterns: Masks = (),
     carry: Sequence[str] = ("app", "proc", "seq", "ts"),
+    max_message_bytes: int | None = None,
 ) -> DataFrame:
     """Project raw records to wire entries; one narrow, shuffle-free stage.
 
+    ``max_message_bytes`` cuts longer messages, after masking, to whole characters (the receiving service keeps ``MESSAGE_BYTES``).
+
     ``context`` may be a STRUCT, a MAP of strings, a MAP of VARIANT, a VARIANT
     or JSON text; the result's ``context`` is JSON text. ``exc`` is optional.
     """
@@ -181,6 +184,8 @@ def to_entries(
 
     message = valid_utf8(F.col("message"))
     message = redact_text(message, extra_patterns) if redact_message else message
+    if max_message_bytes is not None:
+        message = clip_bytes(message, max_message_bytes)
     return records.select(
         *carry,
         rfc3339_ms(F.col("ts")).alias("timestamp"),

@@ -61,6 +61,15 @@ def invalid_rows(responses: DataFrame) -> DataFrame:
     )
 
 
+def refused_in_order(invalid: DataFrame) -> DataFrame:
+    """``(batch_id, n_refused, refused)``: the refused rows (pos, reason) of each batch by ascending position.
+
+    A batch has 100 entries at most, and a response's rows were grouped by position before, so the list is bounded.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("pos", "reason")))
+    return invalid.groupBy(*BATCH).agg(F.count(F.lit(1)).alias("n_refused"), listed.alias("refused"))
+
+
 def rejected_entries(entries: DataFrame, invalid: DataFrame) -> DataFrame:
     """Entries a response names, with its reason."""
     return entries.join(invalid, [*BATCH, "pos"], "inner")

@@ -194,12 +194,12 @@ failed AS (
 )"""
 
 STATUSES = [200, 201, 302, 400, 401, 404, 408, 413, 422, 429, 500, 503]
-NOON = 1_791_201_600  # 2026-10-05 12:00:00 UTC
+NOW_SEC = 1_788_172_200  # 2026-08-31 10:30:00 UTC
 
 
 def retry_header(kind: Column, quantity: Column) -> Column:
     """Seconds, a date or something spoilt, as the row's quantity has it."""
-    date = F.date_format(F.timestamp_seconds(F.lit(NOON - 100) + quantity * 20), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    date = F.date_format(F.timestamp_seconds(F.lit(NOW_SEC - 100) + quantity * 20), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
     text = quantity.cast("string")
     return (
         F.when(kind == 0, text).when(kind == 1, F.concat(F.lit(" "), text, F.lit(" "))).when(kind == 2, F.concat(F.lit("-"), text))
@@ -223,8 +223,8 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.cast("bigint").alias("status"),
         retry_header(mix % 7, F.col("l_quantity").cast("bigint")).alias("retry_after"),
         F.concat(F.lit(" body of "), order, F.lit(" ")).alias("body"),
-        F.lit(NOON).cast("bigint").alias("now"),
-        F.when(order % 17 == 0, F.lit(None)).otherwise(F.lit(NOON) + (order % 5) * 60 - 30).cast("bigint").alias("retry_deadline"),
+        F.lit(NOW_SEC).cast("bigint").alias("now"),
+        F.when(order % 17 == 0, F.lit(None)).otherwise(F.lit(NOW_SEC) + (order % 5) * 60 - 30).cast("bigint").alias("retry_deadline"),
         (order % 19 == 0).alias("sync"),
     )
 
@@ -237,8 +237,8 @@ attempts AS (
          CASE (l_orderkey * 7 + l_linenumber) % 7 WHEN 0 THEN CAST(l_quantity AS BIGINT) WHEN 1 THEN CAST(l_quantity AS BIGINT) WHEN 2 THEN 1
               WHEN 3 THEN greatest(1, least(600, CAST(l_quantity AS BIGINT) * 20 - 100)) ELSE 30 END AS asked,
          'body of ' || l_orderkey AS body,
-         {NOON} AS now,
-         CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE {NOON} + (l_orderkey % 5) * 60 - 30 END AS retry_deadline,
+         {NOW_SEC} AS now,
+         CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE {NOW_SEC} + (l_orderkey % 5) * 60 - 30 END AS retry_deadline,
          l_orderkey % 19 = 0 AS sync
   FROM lineitem
 )"""

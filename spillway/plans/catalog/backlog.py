@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from spillway.functions.text import iso8601
@@ -13,8 +14,10 @@ from spillway.plans.catalog.registry import query
 from spillway.plans.drain import drain_dead_letters, ranked_sources
 from spillway.plans.forget import classify, delete_rows, first_copies, forget_failed
 from spillway.plans.rebatch import acknowledged, chunk_jobs, job_entry_rows, pack_jobs, rebatch_backlog, return_foreign
+from spillway.session import scratch
 from spillway.sources import deadletter as S
 from spillway.sources.jobs import split_backlog
+from spillway.streaming.drain import drain, epoch_sink, read_epochs
 
 # ----------------------------------------------------------------- dead letters
 
@@ -199,10 +202,10 @@ def _repacked(spark, d):
     o = A.table(spark, d, "orders").filter(F.col("o_orderstatus") == "F")
     target = o.select(
         F.concat(F.lit("backlog-"), F.col("o_custkey") % 2).alias("queue"),
-        (F.lit(A.NOON) + F.col("o_orderkey") % 600).cast("bigint").alias("due_at"),
+        (F.lit(A.NOW_SEC) + F.col("o_orderkey") % 600).cast("bigint").alias("due_at"),
     )
     return rebatch_backlog(
-        A.backlog(spark, d), pacing.queue_state(target), F.lit(A.NOON).cast("bigint"),
+        A.backlog(spark, d), pacing.queue_state(target), F.lit(A.NOW_SEC).cast("bigint"),
         chunk=CHUNK, rate=100, max_ahead_min=25, batch_size=60, max_bytes=2000,
     )
 
@@ -210,9 +213,9 @@ def _repacked(spark, d):
 REPACK_SQL = pack_sql(CHUNK_BASE, ["queue", "chunk"], 60, size=2000) + f""",
 batches AS (SELECT queue, chunk, batch_start, count(*) AS n_entries, CAST(sum(sz) AS BIGINT) AS n_bytes FROM packed GROUP BY ALL),
 per AS (SELECT queue, chunk, count(*) AS jobs, CAST(sum(n_entries) AS BIGINT) AS entries, count(*) FILTER (WHERE NOT own) AS returned FROM chunked GROUP BY ALL),
-target AS (SELECT 'backlog-' || (o_custkey % 2) AS queue, count(*) AS waiting, max({A.NOON} + o_orderkey % 600) AS last_due
+target AS (SELECT 'backlog-' || (o_custkey % 2) AS queue, count(*) AS waiting, max({A.NOW_SEC} + o_orderkey % 600) AS last_due
   FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL),
-start AS (SELECT queue, greatest(0, waiting * 60 // 100, last_due - {A.NOON} + 60 // 100) AS start_in FROM target),
+start AS (SELECT queue, greatest(0, waiting * 60 // 100, last_due - {A.NOW_SEC} + 60 // 100) AS start_in FROM target),
 placed AS (SELECT per.*, start_in, (SELECT count(*) FROM batches b WHERE b.queue = per.queue AND b.chunk = per.chunk) AS n_batches,
    (SELECT count(*) FROM batches b WHERE b.queue = per.queue AND b.chunk < per.chunk) AS first_batch FROM per JOIN start USING (queue)),
 claimed AS (SELECT * FROM placed WHERE start_in + 60 * first_batch // 100 <= 1500)"""
@@ -222,7 +225,7 @@ claimed AS (SELECT * FROM placed WHERE start_in + 60 * first_batch // 100 <= 150
 numbered AS (SELECT b.*, start_in, first_batch + row_number() OVER (PARTITION BY b.queue, b.chunk ORDER BY batch_start) - 1 AS batch_no
   FROM batches b JOIN claimed USING (queue, chunk))
 SELECT queue, chunk, CAST(batch_start AS BIGINT) AS batch_start, batch_no, n_entries, n_bytes, start_in + 60 * batch_no // 100 AS due_in,
-       {A.NOON} + start_in + 60 * batch_no // 100 + 3600 AS retry_deadline FROM numbered
+       {A.NOW_SEC} + start_in + 60 * batch_no // 100 + 3600 AS retry_deadline FROM numbered
 """)
 def repack_schedule(spark, d):
     return _repacked(spark, d).batches
@@ -279,15 +282,15 @@ def chunk_limit(spark, d):
 
 
 @query("schedule_start", f"""
-WITH t AS (SELECT o_orderpriority AS queue, count(*) AS waiting, max(CASE WHEN o_orderpriority <> '5-LOW' THEN {A.NOON} + o_orderkey % 900 + 0.5 END) AS last_due
+WITH t AS (SELECT o_orderpriority AS queue, count(*) AS waiting, max(CASE WHEN o_orderpriority <> '5-LOW' THEN {A.NOW_SEC} + o_orderkey % 900 + 0.5 END) AS last_due
   FROM orders GROUP BY ALL)
-SELECT queue, waiting, CAST(greatest(0, waiting * 60 // 45, coalesce(CAST(ceil(last_due) AS BIGINT) - {A.NOON} + 60 // 45, 0)) AS BIGINT) AS start_in FROM t
+SELECT queue, waiting, CAST(greatest(0, waiting * 60 // 45, coalesce(CAST(ceil(last_due) AS BIGINT) - {A.NOW_SEC} + 60 // 45, 0)) AS BIGINT) AS start_in FROM t
 """)
 def schedule_start(spark, d):
-    due = F.when(F.col("o_orderpriority") != "5-LOW", F.lit(A.NOON) + F.col("o_orderkey") % 900 + F.lit(0.5))
+    due = F.when(F.col("o_orderpriority") != "5-LOW", F.lit(A.NOW_SEC) + F.col("o_orderkey") % 900 + F.lit(0.5))
     jobs = A.table(spark, d, "orders").select(F.col("o_orderpriority").alias("queue"), due.alias("due_at"))
     state = pacing.queue_state(jobs)
-    start = pacing.schedule_start(F.col("waiting"), F.col("last_due"), F.lit(A.NOON), pacing.default_rate(50))
+    start = pacing.schedule_start(F.col("waiting"), F.col("last_due"), F.lit(A.NOW_SEC), pacing.default_rate(50))
     return state.select("queue", "waiting", start.cast("bigint").alias("start_in"))
 
 
@@ -350,7 +353,7 @@ SELECT store, id, '{{"failed_at":"2026-10-05T12:00:00+00:00","reason":"failed jo
 FROM r WHERE k = 1
 """)
 def failed_export(spark, d):
-    now = F.timestamp_seconds(F.lit(A.NOON))
+    now = F.timestamp_seconds(F.lit(A.NOW_SEC))
     return forget_failed(A.failed_jobs(spark, d), export=True, now=now).exported.select("store", "id", "line")
 
 
@@ -358,3 +361,56 @@ def failed_export(spark, d):
 def delete_matched(spark, d):
     gone = classify(A.failed_jobs(spark, d)).filter(F.col("own") & F.col("readable")).select("store", "id")
     return delete_rows(A.failed_jobs(spark, d), gone).select("store", "id")
+
+
+@query("torn_lines", """
+SELECT event_id AS id, packed, kind, 'incomplete line (torn write)' AS reason FROM events, (VALUES (false), (true)) AS p(packed), (VALUES ('torn')) AS k(kind) WHERE event_id % 997 = 0
+UNION ALL
+SELECT event_id, packed, 'whole', 'malformed line' FROM events, (VALUES (false), (true)) AS p(packed) WHERE event_id % 997 = 1
+""")
+def torn_lines(spark, d):
+    """Files that end in the middle of a line and files that don't, plain and compressed."""
+    i = F.col("event_id")
+    text = F.concat(F.lit('{"entries":[{"m":'), i, F.lit('}]}\n{"entries":[{"kind":"'), F.when(i % 997 == 0, "torn").otherwise("whole"), F.lit('","id":'), i)
+    told = []
+    for packed in (False, True):
+        path = scratch(spark, "torn")
+        for rest, end in ((0, " "), (1, "\n")):  # what the writer puts behind a text
+            rows = A.events(spark, d).where(i % 997 == rest).select((i % 50).alias("k"), i.alias("name"), text.alias("value"))
+            rows = rows.select("name", "value").repartition(8, "name")
+            write = rows.write.mode("append").partitionBy("name").option("lineSep", end)
+            (write.option("compression", "gzip") if packed else write).text(path)
+        ends = S.compressed_ends(spark, f"{path}/*") if packed else None
+        told.append(S.quarantine(S.read_lines(spark, f"{path}/*"), ends).withColumn("packed", F.lit(packed)))
+    found = F.regexp_extract("raw", '"kind":"(.*?)","id":([0-9]+)', 1).alias("kind")
+    number = F.regexp_extract("raw", '"id":([0-9]+)', 1).cast("bigint").alias("id")
+    return told[0].unionByName(told[1]).select(number, "packed", found, "reason")
+
+
+@query("drain_resumed", """
+SELECT event_id AS m, CAST(10 * h AS BIGINT) AS first, CAST(10 AS BIGINT) AS n FROM events, (VALUES (0), (1)) AS p(h) WHERE event_type = 'error'
+""")
+def drain_resumed(spark, d):
+    """A drain over several triggers that breaks off after one was sent, and goes on from its checkpoint."""
+    i = F.col("event_id")
+    entries = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: F.concat(F.lit('{"m":'), i.cast("string"), F.lit(',"i":'), k.cast("string"), F.lit("}")))
+    lines = A.events(spark, d).where("event_type = 'error'").select(S.dead_letter_line(F.lit("2026-01-01"), F.lit("HTTP 503"), entries).alias("line"))
+    folder, checkpoint, out = (scratch(spark, f"drain-{x}") for x in ("in", "checkpoint", "out"))
+    S.append(lines.repartition(6), folder)
+    keep, crash = epoch_sink(out), [1]
+
+    def send(batches, epoch):
+        keep(batches, epoch)
+        if epoch in crash:
+            crash.remove(epoch)
+            raise RuntimeError("the sender broke off")
+
+    for _ in range(2):
+        try:
+            drain(spark, folder, checkpoint, send, lambda rows, epoch: None, max_files=2, batch_size=10).awaitTermination()
+        except StreamingQueryException:
+            if crash:  # not the one that was meant
+                raise
+    done = read_epochs(spark, out, "batch_id string, entries array<string>")
+    number = lambda c: F.get_json_object(F.element_at("entries", 1), c).cast("bigint")
+    return done.select(number("$.m").alias("m"), number("$.i").alias("first"), F.size("entries").cast("bigint").alias("n"))

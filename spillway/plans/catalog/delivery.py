@@ -176,6 +176,18 @@ def invalid_rows(spark, d):
     return R.invalid_rows(_responses(spark, d))
 
 
+@query("refused_order", f"""
+WITH {BATCHES_SQL},
+i AS (SELECT batch_id, pos, reason FROM batches, {REASONS_SQL} WHERE b % 4 = 0 AND pos < n
+      UNION ALL SELECT batch_id, pos, 'HTTP 422: logs.' || pos || '.x: e' FROM entries WHERE b % 4 = 1)
+SELECT batch_id, count(*) AS n_refused, string_agg(pos || ' ' || reason, chr(10) ORDER BY pos) AS refused FROM i GROUP BY batch_id
+""")
+def refused_order(spark, d):
+    out = R.refused_in_order(R.invalid_rows(_responses(spark, d)))
+    lines = F.transform("refused", lambda r: F.concat_ws(" ", r["pos"].cast("string"), r["reason"]))
+    return out.select("batch_id", "n_refused", F.array_join(lines, "\n").alias("refused"))
+
+
 @query("rejected_rows", f"""
 WITH {BATCHES_SQL}
 SELECT e.batch_id, e.pos, key, reason FROM entries e JOIN {REASONS_SQL} ON e.pos = named.pos WHERE b % 4 = 0

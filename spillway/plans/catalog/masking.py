@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spillway.operators.audit import mask_and_audit
-from spillway.functions.redact import redact_json, redact_text, redact_value
+from spillway.functions.redact import redact_json, register, redact_text, redact_value
 from spillway.plans import adapters as A
 from spillway.plans.catalog.registry import query
 
@@ -152,3 +152,15 @@ def masking_audit(spark, d):
     docs = A.table(spark, d, "documents")
     rows = docs.select("doc_id", "source", _seeded(F.col("text"), F.col("doc_id")).alias("text"))
     return mask_and_audit(rows, "text", "source")[1].select("source", "total", "mask", "inserted", "texts")
+
+
+@query("sql_functions", f"""
+SELECT doc_id, {MASK_SQL.format(SEEDED_SQL.format('text', 'doc_id'))} AS text, '{{{{"id":' || doc_id || ',"my_token":"[REDACTED]","to":"[EMAIL]"}}}}' AS props FROM documents
+""".replace("{{", "{").replace("}}", "}"))
+def sql_functions(spark, d):
+    """The masks as functions of ``spark.sql``."""
+    docs = A.table(spark, d, "documents")
+    register(spark)
+    props = F.concat(F.lit('{"id":'), "doc_id", F.lit(',"my_token":"t","to":"a@example.com"}'))
+    docs.select("doc_id", _seeded(F.col("text"), F.col("doc_id")).alias("text"), props.alias("props")).createOrReplaceTempView("spillway_texts")
+    return spark.sql("SELECT doc_id, redact_text(text) AS text, redact_json(props) AS props FROM spillway_texts")

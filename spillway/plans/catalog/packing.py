@@ -370,6 +370,33 @@ def inline_pacing(spark, d):
     return limiter.pace_inline(_requests(spark, d), TOKEN, ["t", "seq"], "t", LIMIT).select("token", "seq", "slot_ms")
 
 
+# Runs with deadlines, and answers of which one asks for a long wait.
+STOP_SQL = f"""{REQUEST_SQL},
+ask AS (SELECT *, CASE WHEN token = 1 THEN 8520336000 + 6000000 WHEN token = 3 THEN 8520336000 + 12960000 END AS deadline,
+               CASE WHEN token IN (2, 3) AND seq > 600 AND seq % 50 < 10 THEN 601 ELSE seq % 601 END AS wait FROM req)"""
+
+
+@query("inline_stops", f"""
+WITH RECURSIVE {STOP_SQL},
+sent AS (
+  SELECT token, seq, rn, t AS slot, coalesce(t >= deadline, false) AS unsent, coalesce(t >= deadline, false) OR wait > 600 AS stopped FROM ask WHERE rn = 0
+  UNION ALL
+  SELECT q.token, q.seq, q.rn, greatest(q.t, s.slot + {T_MS}), s.stopped OR coalesce(greatest(q.t, s.slot + {T_MS}) >= q.deadline, false),
+         s.stopped OR coalesce(greatest(q.t, s.slot + {T_MS}) >= q.deadline, false) OR q.wait > 600
+  FROM sent s JOIN ask q ON q.token = s.token AND q.rn = s.rn + 1
+)
+SELECT token, seq, CASE WHEN NOT unsent THEN slot END AS slot_ms FROM sent
+""")
+def inline_stops(spark, d):
+    """Inline pacing that stops at a run's deadline and after an answer that asks to wait too long."""
+    token, seq, base = F.col("token"), F.col("seq"), 8_520_336_000
+    deadline = F.when(token == 1, F.lit(base + 6_000_000)).when(token == 3, F.lit(base + 12_960_000))
+    wait = F.when(token.isin(2, 3) & (seq > 600) & (seq % 50 < 10), 601).otherwise(seq % 601)
+    rows = _requests(spark, d).withColumns({"deadline": deadline, "wait": wait})
+    out = limiter.pace_inline(rows, TOKEN, ["t", "seq"], "t", LIMIT, deadline_ms="deadline", wait_sec="wait", max_wait=600)
+    return out.select("token", "seq", "slot_ms")
+
+
 @query("pace_schedule", f"""
 WITH {A.RAW_SQL}, n AS (SELECT app, proc, row_number() OVER (PARTITION BY app, proc ORDER BY ts, seq) - 1 AS rn FROM raw),
 b AS (SELECT app, proc, rn // 10 * 10 AS batch_start FROM n GROUP BY ALL),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spillway.constants import DELIVERY_JOB
+from spillway.constants import DELIVERY_JOB, MESSAGE_BYTES
 from spillway.functions.text import (
     ascii_json,
     clip,
@@ -461,3 +461,21 @@ def uncaught_record(spark, d):
     mine = F.map_concat(order, F.create_map(F.lit("exception"), F.lit("mine")))
     rows = _base(spark, d, exc.alias("exc"), F.when(i % 5 == 0, mine).otherwise(order).alias("context"))
     return _shown(N.uncaught_records(rows))
+
+
+@query("message_clip", r"""
+WITH m AS (
+  SELECT doc_id, 'é€🙂' || text || text AS t, hex(encode('é€🙂' || text || text)) AS h FROM documents
+), c AS (
+  SELECT doc_id, CASE WHEN length(h) <= 32768 THEN h
+    WHEN substr(h, 32769, 1) IN ('8', '9', 'A', 'B') THEN regexp_replace(left(h, 32768), '[C-F][0-9A-F]([89AB][0-9A-F]){0,3}$', '') ELSE left(h, 32768) END AS h FROM m
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, sha256(decode(unhex(h))) AS message_sha256 FROM c
+""")
+def message_clip(spark, d):
+    """Long messages cut to whole characters of the bytes that the service keeps."""
+    docs = A.table(spark, d, "documents")
+    text = F.concat(F.lit("é€🙂"), "text", "text")
+    rows = docs.select("doc_id", F.lit("error").alias("level_name"), F.lit(0).cast("timestamp").alias("ts"), text.alias("message"), F.lit("h").alias("host"), F.lit("{}").alias("context"))
+    out = N.to_entries(rows, redact_message=False, carry=["doc_id"], max_message_bytes=MESSAGE_BYTES)
+    return out.select("doc_id", F.octet_length("message").cast("bigint").alias("n_bytes"), F.sha2("message", 256).alias("message_sha256"))

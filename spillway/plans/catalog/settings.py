@@ -9,26 +9,27 @@ from spillway.plans import adapters as A
 from spillway.plans.catalog.registry import query
 from spillway.sources.ingest import deploy_markers
 
+# One input per rule: in range, above, below, not a number, absent.
 REMOTES = [
-    '{"httpTimeoutSeconds":7,"flushIntervalSeconds":5,"batchSize":50,"minLevel":"WARN","enabled":false}',
-    '{"httpTimeoutSeconds":300,"flushIntervalSeconds":3600,"batchSize":"40","minLevel":5,"enabled":"false"}',
-    '{"httpTimeoutSeconds":0,"flushIntervalSeconds":-5,"batchSize":1,"captureQueries":true,"enabled":null}',
-    '{"httpTimeoutSeconds":"x","flushIntervalSeconds":null,"batchSize":0,"slowQueryThresholdMs":250}',
-    '{"batchSize":-5,"captureJobs":null,"sampleRate":0.5,"contextTypeWhitelist":["job"]}',
-    '{"batchSize":null,"heartbeatIntervalSeconds":30,"redactionPatterns":"nope"}',
-    '{"batchSize":"many","captureMails":"off","redactionPatterns":["/x/"]}',
+    '{"httpTimeoutSeconds":12,"flushIntervalSeconds":25,"batchSize":64,"minLevel":"notice","enabled":true}',
+    '{"httpTimeoutSeconds":"21","flushIntervalSeconds":61,"batchSize":"33","minLevel":["x"],"enabled":"no"}',
+    '{"httpTimeoutSeconds":-4,"flushIntervalSeconds":0,"batchSize":9,"captureQueries":"on","enabled":null}',
+    '{"httpTimeoutSeconds":"soon","flushIntervalSeconds":null,"batchSize":-1,"slowQueryThresholdMs":75}',
+    '{"batchSize":250,"captureScheduled":null,"sampleRate":0.25,"contextTypeWhitelist":["mail","http"]}',
+    '{"batchSize":null,"heartbeatIntervalSeconds":45,"redactionPatterns":7}',
+    '{"batchSize":"lots","captureJobs":"no","redactionPatterns":["/[a-f]{4}/"]}',
     None,
 ]
 # What each of REMOTES comes to, as rows in the same order.
 EFFECTIVE = [
     # enabled, beat, queries, jobs, mails, scheduled, slow, timeout, flush, size, min_level, rate, types, patterns
-    ("false", None, "false", "true", "true", "true", "1000", 7000, 5, 50, "WARN", None, None, None),
-    ("false", None, "false", "true", "true", "true", "1000", 20000, 60, 40, None, None, None, None),
-    (None, None, "true", "true", "true", "true", "1000", 1000, 1, 10, None, None, None, None),
-    ("true", None, "false", "true", "true", "true", "250", 5000, 10, 100, None, None, None, None),
-    ("true", None, "false", None, "true", "true", "1000", 5000, 10, 100, None, "0.5", '["job"]', None),
-    ("true", "30", "false", "true", "true", "true", "1000", 5000, 10, 100, None, None, None, None),
-    ("true", None, "false", "true", "off", "true", "1000", 5000, 10, 100, None, None, None, '["/x/"]'),
+    ("true", None, "false", "true", "true", "true", "1000", 12000, 25, 64, "notice", None, None, None),
+    ("no", None, "false", "true", "true", "true", "1000", 20000, 60, 33, None, None, None, None),
+    (None, None, "on", "true", "true", "true", "1000", 1000, 1, 10, None, None, None, None),
+    ("true", None, "false", "true", "true", "true", "75", 5000, 10, 100, None, None, None, None),
+    ("true", None, "false", "true", "true", None, "1000", 5000, 10, 250, None, "0.25", '["mail","http"]', None),
+    ("true", "45", "false", "true", "true", "true", "1000", 5000, 10, 100, None, None, None, None),
+    ("true", None, "false", "no", "true", "true", "1000", 5000, 10, 100, None, None, None, '["/[a-f]{4}/"]'),
     ("true", None, "false", "true", "true", "true", "1000", 5000, 10, 100, None, None, None, None),
 ]
 COLUMNS = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spillway.functions.text import trim_blanks
@@ -83,17 +84,73 @@ def file_ends(lines: DataFrame) -> DataFrame:
     """Per file: its last line, and whether that line lacks a terminator.
 
     A complete file has one terminator byte per line, so the lines add up to
-    one byte more than the file exactly when the last one is unterminated.
+    one byte more than the file exactly when the last one is unterminated. The size of a
+    compressed file says nothing of that kind: see ``compressed_ends``.
     """
     last = F.max(F.struct("block", "line"))
     spare = F.sum(F.octet_length("value").cast("bigint") + 1) - F.max("file_size")
-    return lines.groupBy("file").agg(last.alias("_last"), (spare == 1).alias("torn"))
+    plain = ~F.lower("file").rlike(_COMPRESSED)
+    return lines.groupBy("file").agg(last.alias("_last"), (plain & (spare == 1)).alias("torn"))
+
+
+_COMPRESSED = r"\.(gz|gzip|bz2|deflate|zst|zstd)$"
+
+
+def _last_byte(name: str, content: bytes) -> int | None:
+    """The last byte of what ``content`` unpacks to, a part at a time; null if that is nothing, -1 if it can't be read to the end."""
+    import bz2
+    import zlib
+
+    kind = name.lower().rsplit(".", 1)[-1]
+    last, rest = None, content
+    try:
+        while rest:
+            if kind in ("zst", "zstd"):
+                import zstandard
+
+                tool = zstandard.ZstdDecompressor().decompressobj()
+            else:
+                tool = bz2.BZ2Decompressor() if kind == "bz2" else zlib.decompressobj(zlib.MAX_WBITS | 32)
+            at = 0
+            while at < len(rest) and not tool.eof:
+                part = tool.decompress(rest[at : at + (1 << 16)])
+                at += 1 << 16
+                last = part[-1] if part else last
+            if not tool.eof:
+                return -1
+            rest = tool.unused_data + rest[at:]  # a file may be several streams
+    except Exception:  # noqa: BLE001 - whatever a codec says of damaged data
+        return -1
+    return last
+
+
+def compressed_ends(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(``file``, ``torn``) of the compressed files (gzip, bzip2, deflate, zstandard) of a path, by the last byte they unpack to.
+
+    Such a file is unpacked by one task when its lines are read, and so here, in parts of bounded size. A file that can't be unpacked to
+    its end, as its writer was cut off, is torn; an empty one isn't.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "content").where(F.lower("path").rlike(_COMPRESSED))
+
+    def run(batches):
+        for b in batches:
+            ends = [(n, _last_byte(n, c) not in (None, 10)) for n, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in ends], pa.string()), pa.array([t for _, t in ends], pa.bool_())], ["file", "torn"])
+
+    return files.mapInArrow(run, "file string, torn boolean")
 
 
-def quarantine(lines: DataFrame) -> DataFrame:
-    """Malformed lines of files, an unreadable unterminated last line named as torn."""
+def quarantine(lines: DataFrame, packed: DataFrame | None = None) -> DataFrame:
+    """Malformed lines of files, an unreadable unterminated last line named as torn.
+
+    ``packed`` tells of compressed files whether their last line is unterminated (see ``compressed_ends``).
+    """
     bad = malformed(parse(lines), LINE_ID)
-    ends = file_ends(lines).filter("torn").select("file", F.col("_last.block").alias("block"), F.col("_last.line").alias("line"), "torn")
+    ends = file_ends(lines)
+    if packed is not None:
+        cut = packed.where("torn").select(F.col("file").alias("_file"))
+        ends = ends.join(cut, F.col("file") == F.col("_file"), "left").withColumn("torn", F.col("torn") | F.col("_file").isNotNull())
+    ends = ends.filter("torn").select("file", F.col("_last.block").alias("block"), F.col("_last.line").alias("line"), "torn")
     marked = bad.join(ends, same(bad, ends, LINE_ID), "left")
     torn = F.coalesce(ends["torn"], F.lit(False))
     return marked.select(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from spillway.constants import MAX_BYTES, MAX_ENTRIES
 from spillway.operators import packing
@@ -16,6 +17,27 @@ from spillway.sources import deadletter
 Sink = Callable[[DataFrame, int], None]
 
 
+def epoch_sink(path: str) -> Sink:
+    """Keeps what a trigger sends under its number; one that is repeated after a crash replaces what it had left.
+
+    Spark's commit puts a marker into the folder last, so a folder without it is a write that broke off.
+    """
+
+    def send(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/{epoch}")
+
+    return send
+
+
+def read_epochs(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """What ``epoch_sink`` has committed: every batch once, as it is named by trigger and ``batch_id``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [str(f.getPath().toString()) for f in files.listStatus(where)] if files.exists(where) else []
+    done = [f for f in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{f}/_SUCCESS"))]
+    return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
+
+
 def drain(
     spark: SparkSession,
     folder: str,
