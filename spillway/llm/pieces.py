@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by Viterbi over batches of equally long words.
 
 A text is cut where a space mark follows another character; no piece reaches
-across such a cut. Distinct words of one length form a matrix and advance
+across such a cut. Words of more than ``LONG`` characters, as in scripts without spaces, are also cut
+between neighbours that no piece holds side by side: nothing is merged across these. Distinct words of one length form a matrix and advance
 together, position by position: the hashes of all their substrings that end there
 probe the sorted keys of the pieces, the scores of what is found are added to the
 best scores of the prefixes before, and a vectorised maximum stores a backpointer
@@ -40,6 +41,8 @@ MEMO = 1 << 20
 KEPT = 1 << 17
 #: Characters of words that advance together.
 TOGETHER = 1 << 17
+#: Characters of a word that is not cut further.
+LONG = 24
 #: Bytes of texts whose words are encoded together.
 GATHERED = 2 << 20
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -90,6 +93,7 @@ class Model:
             self.some[(self.keys * _BASE >> _SOME).astype(np.int64)] = True
         self.forget()
         self.tails: np.ndarray | None = None
+        self.beside: np.ndarray | None = None  # characters side by side in a piece
         self.memo: np.ndarray | None = None
 
     def grow_tails(self) -> None:
@@ -270,7 +274,20 @@ class Model:
         """The text with space marks, a leading one added, cut before each run of marks."""
         if not text:
             return []
-        return _WORD.findall(SPACE + text.replace(" ", SPACE))
+        found = _WORD.findall(SPACE + text.replace(" ", SPACE))
+        if max(map(len, found)) <= LONG or not self.byte_ids:  # without byte pieces unknown neighbours are one piece
+            return found
+        return [part for w in found for part in ([w] if len(w) <= LONG else self.parts(w))]
+
+    def parts(self, word: str) -> list[str]:
+        """A word cut between neighbours that no piece holds."""
+        if self.beside is None:
+            self.beside = np.array(sorted({ord(a) << 21 | ord(b) for p in self.id_of for a, b in zip(p, p[1:])}), np.int64)
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        pair = codes[:-1] << 21 | codes[1:]
+        apart = self.beside[np.minimum(np.searchsorted(self.beside, pair), len(self.beside) - 1)] != pair if len(self.beside) else np.ones(len(pair), bool)
+        cuts = [0, *(np.nonzero(apart)[0] + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.kind == BPE and self.memo is None:
