@@ -20,11 +20,13 @@ from __future__ import annotations
 import hashlib
 import math
 import string
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from spillway.llm.common import arrow_map, utf8
@@ -46,14 +48,19 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table gives an empty result.
     """
     rows = materialise(hashed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), "hashes")
-    marked = materialise(mark(rows, repeated_filters(rows, filter_mb)), "marked")
+    parts = []
+    for lo, hi, shards, first, bits in repeated_filters(rows, filter_mb):  # one slice's filters at a time
+        parts.append(materialise(mark(rows, lo, hi, shards, first, bits), "marked"))
+        bits.destroy()
+    marked = reduce(DataFrame.unionByName, parts)
     alone = marked.where(~F.col("maybe")).select(
         F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )
     maybe = marked.where("maybe")
     stays = maybe.groupBy("sha").agg(F.max(F.struct("id", "row")).alias("stays"), F.count(F.lit(1)).alias("group_size"))
-    grouped = maybe.join(stays, "sha").select(
+    # Stored, so that the join can split a text of many rows.
+    grouped = maybe.join(materialise(stays, "stays"), "sha").select(
         F.col("id").alias(id_col), F.col("stays.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("stays.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )
@@ -66,7 +73,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null texts count as empty. Rows that cannot have a copy never leave their task.
     """
     rows = materialise(hashed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), "hashes")
-    filters = repeated_filters(rows, filter_mb)
+    filters = list(repeated_filters(rows, filter_mb))
     told = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kept = told.schema["kept"].dataType.simpleString()
     marked = reduce(lambda df, f: _passes(df, f, kept), filters, _with_hash(told, kept))
@@ -126,7 +133,7 @@ class Shards:
             return ((a[:, None] + b[:, None] * np.arange(PROBES, dtype=np.uint64)) & np.uint64(self.bits - 1)).astype(np.int64)
 
 
-def repeated_filters(rows: DataFrame, filter_mb: int) -> list[tuple[int, int, Shards, int, object]]:
+def repeated_filters(rows: DataFrame, filter_mb: int) -> Iterator[tuple[int, int, Shards, int, Broadcast]]:
     """Pass one: for each slice of the hash space (first hash, end, shards, first shard, broadcast filters)."""
     shards = Shards(rows.count())
 
@@ -162,12 +169,10 @@ def repeated_filters(rows: DataFrame, filter_mb: int) -> list[tuple[int, int, Sh
     packed = arrow_map(rows.select("h"), local, "shard long, once binary, twice binary")
     filters = materialise(packed.groupBy("shard").applyInPandas(insert, "shard long, bits binary"), "filters")
     at_once = max(1, (filter_mb << 20) * 8 // shards.bits)
-    out = []
     for lo in range(0, shards.count, at_once):
         hi = min(lo + at_once, shards.count)
         bits = {r.shard: bytes(r.bits) for r in filters.where(F.col("shard").between(lo, hi - 1)).collect()}
-        out.append((shards.first_hash(lo), shards.first_hash(hi), shards, lo, rows.sparkSession.sparkContext.broadcast(bits)))
-    return out
+        yield shards.first_hash(lo), shards.first_hash(hi), shards, lo, rows.sparkSession.sparkContext.broadcast(bits)
 
 
 def _test(h: np.ndarray, shards: Shards, bits: dict[int, bytes]) -> np.ndarray:
@@ -180,19 +185,16 @@ def _test(h: np.ndarray, shards: Shards, bits: dict[int, bytes]) -> np.ndarray:
     return out
 
 
-def mark(rows: DataFrame, filters: list) -> DataFrame:
-    """Pass two over stored hashes: ``maybe`` is false only where no other row has the hash."""
+def mark(rows: DataFrame, lo: int, hi: int, shards: Shards, first: int, bits: Broadcast) -> DataFrame:
+    """Pass two over the stored hashes of a slice: ``maybe`` is false only where no other row has the hash."""
     kind = rows.schema["id"].dataType.simpleString()
 
-    def slice_of(lo, hi, shards, first, bits):
-        def run(batches):
-            for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), b.column("sha"), pa.array(_test(b.column("h").to_numpy(), shards, bits.value))], ["id", "row", "sha", "maybe"])
-
-        part = rows.where((F.col("h") >= lo) & (F.col("h") < hi))
-        return arrow_map(part.select("id", "row", "sha", "h"), run, f"id {kind}, row long, sha binary, maybe boolean")
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), b.column("sha"), pa.array(_test(b.column("h").to_numpy(), shards, bits.value))], ["id", "row", "sha", "maybe"])
 
-    return reduce(DataFrame.unionByName, [slice_of(*f) for f in filters])
+    part = rows.where((F.col("h") >= lo) & (F.col("h") < hi))
+    return arrow_map(part.select("id", "row", "sha", "h"), run, f"id {kind}, row long, sha binary, maybe boolean")
 
 
 def _passes(df: DataFrame, one: tuple, kept: str) -> DataFrame:
