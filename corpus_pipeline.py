@@ -17,42 +17,79 @@ from spillway.session import materialise
 SURE = 0.5
 
 
-def row_key() -> Column:
+def row_key(doc_id: Column, text: Column, kind: str) -> Column:
     """Names a row by doc_id and text, never null, in the order of doc_id; rows without one come last.
 
-    Rows that agree in both share a key, and every stage decides alike on them.
+    Rows that agree in both share a key, and every stage decides alike on them. Whole numbers go by value, other ids as text.
     """
-    place = F.lpad(F.expr("CAST(CAST(doc_id AS DECIMAL(20, 0)) + 9223372036854775808BD AS STRING)"), 20, "0")
-    return F.concat(F.coalesce(place, F.lit("~")), F.lit("-"), F.md5(F.coalesce("text", F.lit(""))), F.col("text").isNull().cast("string"))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        place = F.lpad((doc_id.cast("decimal(20,0)") + F.expr("9223372036854775808BD")).cast("decimal(20,0)").cast("string"), 20, "0")
+    else:
+        place = doc_id.cast("string")
+    named = F.when(doc_id.isNull(), "1").otherwise(F.concat(F.lit("0"), place))
+    return F.concat(named, F.lit("\0"), F.md5(F.coalesce(text, F.lit(""))), text.isNull().cast("string"))
+
+
+def plain(docs: DataFrame) -> tuple[DataFrame, list[Column], str]:
+    """``docs`` under names of our own, so that no column of theirs clashes; the way back; the text's name."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    back = [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+    return docs.toDF(*names), back, names[docs.columns.index("text")]
+
+
+def with_key(docs: DataFrame) -> tuple[DataFrame, list[Column], str]:
+    rows, back, text = plain(docs)
+    k = docs.columns.index("doc_id")
+    return rows.withColumn("key", row_key(F.col(f"c{k}"), F.col(text), docs.dtypes[k][1])), back, text
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents of a learnt language; the model learns from the labelled ones among them."""
-    told = identify(docs, train_on(docs), name="_lang", score="_score")
-    return told.where((F.col("_lang") != UNDETERMINED) & (F.col("_score") >= SURE)).select(*docs.columns)
+    """Keeps documents of a learnt language; the model learns from the labelled ones among them.
+
+    Null and empty texts, and those without a letter, have no language and go. Rows are judged one by one,
+    so repeated ones alike; an empty table stays empty. All columns are kept, whatever their names.
+    """
+    rows, back, text = plain(docs)
+    told = identify(rows, train_on(docs), text_col=text, name="lang", score="score")
+    return told.where((F.col("lang") != UNDETERMINED) & (F.col("score") >= SURE)).select(*back)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id stays."""
+    """Of equal texts the one with the largest doc_id stays.
+
+    Null texts count as empty; of rows that agree in doc_id too, any one stays, whatever else they hold.
+    An empty table stays empty. All columns are kept, whatever their names.
+    """
     return drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents (five-word shingles, similarity 0.8 or more) the one with the smallest doc_id stays."""
-    rows = docs.withColumn("_row", row_key())
-    gone = near_dedup(rows, id_col="_row", size=5, threshold=80).where("NOT kept").select("_row")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    """Of linked documents (five-word shingles, similarity 0.8 or more) the one with the smallest doc_id stays.
+
+    Texts without words are linked with nothing and stay. Rows that agree in doc_id and text stay or go together.
+    An empty table stays empty. All columns are kept, whatever their names.
+    """
+    rows, back, text = with_key(docs)
+    gone = near_dedup(rows, id_col="key", text_col=text, size=5, threshold=80).where("NOT kept").select("key")
+    return rows.join(gone, "key", "left_anti").select(*back)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of the benchmark go."""
-    rows = docs.withColumn("_row", row_key())
-    gone = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="_row").where("contaminated").select("_row")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    """Documents that hold a window of the benchmark go.
+
+    Texts without words, null ones too, stay, as does all without a benchmark. Rows that agree in doc_id and
+    text stay or go together. An empty table stays empty. All columns are kept, whatever their names.
+    """
+    rows, back, text = with_key(docs)
+    gone = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="key", text_col=text).where("contaminated").select("key")
+    return rows.join(gone, "key", "left_anti").select(*back)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and whether decoding them gives the text back."""
+    """Ids of every text, and whether decoding them gives the text back.
+
+    A null text has null ids (``n_pieces`` -1 or null) and is the same; an empty one has none. A row per row.
+    """
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     back = decode(encode(docs.select("doc_id", "text"), model), model)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
