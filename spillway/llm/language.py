@@ -24,8 +24,8 @@ DIM = 1 << BITS
 #: Characters hashed at once.
 CHUNK = 1 << 19
 UNDETERMINED = "und"
-#: Parts in which the rows of a language are ranked.
-PARTS = 64
+#: Parts in which the rows of a language are ranked, one after the other.
+PARTS = (64, 8, 1)
 _LETTER = re.compile(r"[^\W\d_]")
 _TIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
@@ -140,8 +140,8 @@ def train(labelled: DataFrame, per_language: int = 500, epochs: int = 4, alpha:
     from pyspark.sql import Window
 
     # First within parts of a language, so that no task ranks one as a whole; what is left is bounded.
-    for keys in (["lang", "part"], ["lang"]):
-        ranked = ranked.withColumn("part", F.pmod("by", F.lit(PARTS))).withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("by", "id")))
+    for parts in PARTS:
+        ranked = ranked.withColumn("part", F.pmod("by", F.lit(parts))).withColumn("k", F.row_number().over(Window.partitionBy("lang", "part").orderBy("by", "id")))
         ranked = ranked.where(F.col("k") <= per_language).select("id", "lang", "by")
     chosen = ranked.select("id", "lang")
 
