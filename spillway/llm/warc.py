@@ -25,6 +25,7 @@ DICTIONARY_FRAME = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 VERSION = b"WARC/1.1"
 REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+ALGORITHMS = ("md5", "sha1", "sha256", "sha384", "sha512")
 
 #: Texts below this size are never written as revisits.
 SMALL = 1000
@@ -112,9 +113,10 @@ def urn(key) -> str:
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """Records of archives given as (``path``, ``content``), one row each.
+    """Records of archives given as (``path``, ``content``), one row each, of any type and any writer.
 
-    ``error`` says what is wrong with a record (its other columns hold what could
+    ``payload_digest`` is the stated digest in hex, without its label (null for a revisit that states none), else the
+    SHA-1 of the payload; a revisit has no payload, its size is null unless its HTTP headers tell it. ``error`` says what is wrong with a record (its other columns hold what could
     be read) or with the rest of an archive; it is null for a sound record. A null
     or empty content gives no row.
     """
@@ -175,34 +177,110 @@ def records(content: bytes):
 
 
 def headers(lines: list[bytes]) -> dict[str, str]:
-    pairs = (x.partition(b":") for x in lines)
+    """Named fields in lower case; a line that begins with a blank goes on with the one before it."""
+    whole: list[bytes] = []
+    for x in lines:
+        if whole and x[:1] in (b" ", b"\t"):
+            whole[-1] += b" " + x.strip()
+        else:
+            whole.append(x)
+    pairs = (x.partition(b":") for x in whole)
     return {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, _, v in pairs}
 
 
+def stated(digest: str) -> tuple[str, str] | None:
+    """Algorithm and lower-case hex of a labelled digest, given in base 32 or hex; None if it can't be read."""
+    name, _, value = digest.partition(":")
+    name = name.lower().replace("-", "")
+    if name not in ALGORITHMS:
+        return None
+    size = hashlib.new(name).digest_size
+    try:
+        if len(value) == 2 * size:
+            return name, bytes.fromhex(value).hex()
+        raw = base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except ValueError:
+        return None
+    return (name, raw.hex()) if len(raw) == size else None
+
+
+def unchunked(body: bytes) -> bytes | None:
+    """The entity behind a chunked transfer encoding; None if it isn't one."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]+", size):
+            return None
+        n, at = int(size, 16), end + 2
+        if n == 0:
+            return b"".join(out)
+        if body[at + n : at + n + 2] != b"\r\n":
+            return None
+        out.append(body[at : at + n])
+        at += n + 2
+
+
 def parsed(raw: bytes) -> tuple:
+    """One record. Its payload is the entity of an HTTP message, without a transfer encoding, or else the whole block.
+
+    Digests and an HTTP length are held against the record only where it states them. A digest of an
+    algorithm that isn't known is handed on unread.
+    """
     head, gap, rest = raw.partition(b"\r\n\r\n")
     first, *lines = head.split(b"\r\n")
     if not gap or not first.startswith(b"WARC/1."):
         return broken("no record header")
     have = headers(lines)
-    key, kind = have.get("warc-record-id"), have.get("warc-type")
-    digest, refers = have.get("warc-payload-digest", ""), have.get("warc-refers-to")
+    key, kind, refers = have.get("warc-record-id"), have.get("warc-type"), have.get("warc-refers-to")
     said = (key, kind, have.get("warc-target-uri"), refers, None)
     if missing := [x for x in REQUIRED if x not in have]:
         return (*said, None, None, f"missing: {', '.join(missing)}")
     if not have["content-length"].isdecimal() or len(rest) != int(have["content-length"]) + 4 or not rest.endswith(b"\r\n\r\n"):
         return (*said, None, None, "block length")
-    http, gap, body = rest[:-4].partition(b"\r\n\r\n")
-    length = headers(http.split(b"\r\n")[1:]).get("content-length", "")
-    if kind not in ("response", "revisit") or not gap or not length.isdecimal():
-        return (*said, None, None, "block")
-    try:
-        digest = base64.b32decode(digest.removeprefix("sha1:")).hex()
-    except ValueError:
-        return (*said, None, None, "digest")
-    size = int(length)
+    block, cut = rest[:-4], "warc-truncated" in have
+    if (why := mismatch(have.get("warc-block-digest"), block)) is not None:
+        return (*said, None, None, f"block {why}")
+    message = kind in ("response", "request", "revisit") and have.get("content-type", "application/http").lower().startswith("application/http")
+    bodies, length = [block], None
+    if message and block:
+        http, gap, body = block.partition(b"\r\n\r\n")
+        if not gap and not cut:
+            return (*said, None, None, "block")
+        fields = headers(http.split(b"\r\n")[1:])
+        length, bodies = fields.get("content-length"), [body]
+        if length is not None and not length.isdecimal():
+            return (*said, None, None, "block")
+        # Some writers take the digest of the body as it was sent, so both forms may agree with it.
+        if fields.get("transfer-encoding", "").lower() == "chunked":
+            length, plain = None, unchunked(body)
+            if plain is not None:
+                bodies.insert(0, plain)
+    digest = have.get("warc-payload-digest")
+    known = stated(digest) if digest is not None else None
+    named = known[1] if known else digest
     if kind == "revisit":
-        wrong = "revisit" if body or refers is None else None
-    else:
-        wrong = "payload length" if size != len(body) else "payload digest" if hashlib.sha1(body).hexdigest() != digest else None
-    return (*said[:4], digest, size, body if kind == "response" else None, wrong)
+        size = int(length) if length is not None else None
+        points = refers is not None or "warc-refers-to-target-uri" in have
+        return (*said[:4], named, size, None, "revisit" if bodies[-1] or not points else why_not(digest, known))
+    body = bodies[0]
+    if length is not None and int(length) != len(body) and kind == "response" and not cut:
+        return (*said[:4], named, int(length), body, "payload length")
+    faults = [mismatch(digest, x) for x in bodies]
+    return (*said[:4], named or hashlib.sha1(body).hexdigest(), len(body), body, None if None in faults or cut else f"payload {faults[0]}" if known else faults[0])
+
+
+def why_not(digest: str | None, known: tuple[str, str] | None) -> str | None:
+    """A digest of a known algorithm that cannot be read is an error, one of another algorithm is not."""
+    label = (digest or "").partition(":")[0].lower().replace("-", "")
+    return "digest" if known is None and label in ALGORITHMS else None
+
+
+def mismatch(digest: str | None, body: bytes) -> str | None:
+    """What is wrong with a stated digest of ``body``, if anything."""
+    if digest is None:
+        return None
+    known = stated(digest)
+    if known is None:
+        return why_not(digest, known)
+    return None if hashlib.new(known[0], body).hexdigest() == known[1] else "digest"
