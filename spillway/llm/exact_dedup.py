@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from spillway.llm.common import arrow_map, utf8
 from spillway.session import materialise
@@ -37,6 +37,7 @@ SHARD = 1 << 20
 BITS = 16
 PROBES = 4
 FLUSH = 1 << 19
+SHA = T.StructField("sha", T.BinaryType())
 
 
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 64) -> DataFrame:
@@ -70,13 +71,17 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 64) -> DataFrame:
     """``docs`` with one row of each group of equal texts, one with the largest id; columns as they came.
 
-    Null texts count as empty. Rows that cannot have a copy never leave their task.
+    Null texts count as empty; of rows that agree in id too, any one stays. An empty table stays empty.
+    Whole rows are stored once, sorted by hash within each task, and every slice of the hash space
+    reads its own; rows that cannot have a copy do not shuffle.
     """
-    rows = materialise(hashed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))), "hashes")
-    filters = list(repeated_filters(rows, filter_mb))
     told = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kept = told.schema["kept"].dataType.simpleString()
-    marked = reduce(lambda df, f: _passes(df, f, kept), filters, _with_hash(told, kept))
+    rows = materialise(_with_hash(told).sortWithinPartitions("h"), "rows")
+    parts = []
+    for lo, hi, shards, first, bits in repeated_filters(rows, filter_mb):
+        parts.append(materialise(_mark_whole(rows, lo, hi, shards, first, bits), "marked"))
+        bits.destroy()
+    marked = reduce(DataFrame.unionByName, parts)
     alone = marked.where(~F.col("maybe")).select("kept.*")
     grouped = marked.where("maybe").groupBy("sha").agg(F.max_by("kept", F.struct("id")).alias("kept")).select("kept.*")
     return alone.unionByName(grouped)
@@ -100,16 +105,17 @@ def hashed(df: DataFrame) -> DataFrame:
     return out.withColumn("row", F.monotonically_increasing_id()).sortWithinPartitions("h")
 
 
-def _with_hash(df: DataFrame, kept: str) -> DataFrame:
+def _with_hash(told: DataFrame) -> DataFrame:
+    """Rows ``kept`` with their id, digest and the hash of it."""
+
     def run(batches):
         for b in batches:
             sha, h = _digests(b.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [b.column("kept"), b.column("id"), sha, pa.array((h.view(np.uint64) >> np.uint64(8)).view(np.int64)), pa.array(np.zeros(len(h), bool))],
-                ["kept", "id", "sha", "h", "maybe"],
+                [b.column("kept"), b.column("id"), sha, pa.array((h.view(np.uint64) >> np.uint64(8)).view(np.int64))], ["kept", "id", "sha", "h"]
             )
 
-    return arrow_map(df, run, f"kept {kept}, id {df.schema['id'].dataType.simpleString()}, sha binary, h long, maybe boolean")
+    return arrow_map(told, run, T.StructType([told.schema["kept"], told.schema["id"], SHA, T.StructField("h", T.LongType())]))
 
 
 class Shards:
@@ -197,13 +203,13 @@ def mark(rows: DataFrame, lo: int, hi: int, shards: Shards, first: int, bits: Br
     return arrow_map(part.select("id", "row", "sha", "h"), run, f"id {kind}, row long, sha binary, maybe boolean")
 
 
-def _passes(df: DataFrame, one: tuple, kept: str) -> DataFrame:
-    """Pass two over whole rows: sets ``maybe`` for the hashes of one slice."""
-    _, _, shards, _, bits = one
+def _mark_whole(rows: DataFrame, lo: int, hi: int, shards: Shards, first: int, bits: Broadcast) -> DataFrame:
+    """Pass two over the whole rows of a slice."""
 
     def run(batches):
         for b in batches:
-            hit = _test(b.column("h").to_numpy(), shards, bits.value) | b.column("maybe").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(hit)], ["kept", "id", "sha", "h", "maybe"])
+            maybe = pa.array(_test(b.column("h").to_numpy(), shards, bits.value))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], maybe], ["kept", "id", "sha", "maybe"])
 
-    return arrow_map(df, run, f"kept {kept}, id {df.schema['id'].dataType.simpleString()}, sha binary, h long, maybe boolean")
+    part = rows.where((F.col("h") >= lo) & (F.col("h") < hi)).select("kept", "id", "sha", "h")
+    return arrow_map(part, run, T.StructType([rows.schema["kept"], rows.schema["id"], SHA, T.StructField("maybe", T.BooleanType())]))
