@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from spillway.llm.common import arrow_map, merged, utf8
+from spillway.session import materialise
 
 WINDOW = 10
 #: Text of the benchmark that one block holds, about.
@@ -143,28 +146,31 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A null or empty text has no words and is hit by nothing; an item without words
     has no window. Items that share a window are all named; a null item_id is named
-    by an empty string. Rows that agree in id and text are one document, reported
-    once. An empty benchmark hits nothing, an empty table gives an empty result.
+    by an empty string. Rows that agree in id and text get a row each, with the same
+    figures. Further columns are not looked at. An empty benchmark hits nothing, an empty table gives an empty result.
     """
     spark, parts = docs.sparkSession, []
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = own.schema["id"].dataType.simpleString()
-    for items in blocks_of(benchmark, item_col, item_text_col, block_bytes):
-        block = Block(items)
+    for block in chain(map(Block, blocks_of(benchmark, item_col, item_text_col, block_bytes)), [None]):
+        if block is None and parts:
+            break
+        block = block or Block([])  # an empty benchmark: documents are only counted
         counts = np.zeros(len(block.keys), np.int64)
-        for r in occurrences_of(own, spark.sparkContext.broadcast(block)).collect():  # at most the shingles of one block
-            counts[r.shingle] = r.n
+        if len(counts):
+            shared = spark.sparkContext.broadcast(block)
+            for r in occurrences_of(own, shared).collect():  # at most the shingles of one block
+                counts[r.shingle] = r.n
+            shared.destroy()
         block.order_by(counts)
-        parts.append(scan(own, spark.sparkContext.broadcast(block), kind, first=not parts))
-    if not parts:
-        block = Block([])
-        block.order_by(np.zeros(0, np.int64))
-        parts.append(scan(own, spark.sparkContext.broadcast(block), kind, first=True))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
+        shared = spark.sparkContext.broadcast(block)
+        # Stored, so that one block at a time is broadcast.
+        parts.append(materialise(scan(own, shared, kind, first=not parts), "finds"))
+        shared.destroy()
+    found = reduce(DataFrame.unionByName, parts)
     together = found.groupBy("id", "text_key").agg(
-        F.max("n_words").alias("n_words"), F.collect_set("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+        F.max("n_words").alias("n_words"), F.collect_set("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.count_if("first").alias("rows"),
     )
     return summed(together, id_col, kind)
 
@@ -196,15 +202,15 @@ def scan(docs: DataFrame, block, kind: str, first: bool) -> DataFrame:
                 window, start = own.occurrences(ids)
                 if len(window) or first:
                     s, e = merged(start, start + own.lengths[window])
-                    rows.append((key, xxhash.xxh3_64_intdigest(text or b"") - (1 << 63), len(ids), np.stack([s, e]).astype(np.int64).tobytes(), own.held_by(window)))
-            cols = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (b.column("id").type, pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())))], ["id", "text_key", "n_words", "hits", "items"])
+                    rows.append((key, xxhash.xxh3_64_intdigest(text or b"") - (1 << 63), len(ids), np.stack([s, e]).astype(np.int64).tobytes(), own.held_by(window), first))
+            cols = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (b.column("id").type, pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.bool_()))], ["id", "text_key", "n_words", "hits", "items", "first"])
 
-    return arrow_map(docs, run, f"id {kind}, text_key long, n_words long, hits binary, items array<string>")
+    return arrow_map(docs, run, f"id {kind}, text_key long, n_words long, hits binary, items array<string>, first boolean")
 
 
 def summed(found: DataFrame, id_col: str, kind: str) -> DataFrame:
-    """Unites the hit words of all blocks."""
+    """Unites the hit words of all blocks; a row for each of the given ones."""
 
     def run(batches):
         for b in batches:
@@ -217,9 +223,10 @@ def summed(found: DataFrame, id_col: str, kind: str) -> DataFrame:
                 digests.append(hashlib.sha256(",".join(items).encode()).hexdigest())
             kind_ = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("n_words"), pa.array(counts, pa.int64()), b.column("items"), pa.array(digests, pa.string()), pa.array(spans, kind_)],
-                ["id", "n_words", "n_hit", "items", "items_sha256", "spans"],
+                [b.column("id"), b.column("n_words"), pa.array(counts, pa.int64()), b.column("items"), pa.array(digests, pa.string()), pa.array(spans, kind_), b.column("rows")],
+                ["id", "n_words", "n_hit", "items", "items_sha256", "spans", "rows"],
             )
 
-    out = arrow_map(found.select("id", "n_words", "hits", "items"), run, f"id {kind}, n_words long, n_hit long, items array<string>, items_sha256 string, spans array<struct<start: long, end: long>>")
-    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256", "spans", (F.col("n_hit") > 0).alias("contaminated"))
+    out = arrow_map(found.select("id", "n_words", "hits", "items", "rows"), run, f"id {kind}, n_words long, n_hit long, items array<string>, items_sha256 string, spans array<struct<start: long, end: long>>, rows long")
+    each = out.withColumn("copy", F.explode(F.expr("sequence(1L, rows)")))
+    return each.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256", "spans", (F.col("n_hit") > 0).alias("contaminated"))
