@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
 
@@ -130,14 +131,16 @@ class Block:
         return [self.items[k] for k in np.unique(np.concatenate([self.holder_of[self.holder_at[w] : self.holder_at[w + 1]] for w in own])).tolist()] if len(own) else []
 
 
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, bytes]]]:
+def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, bytes | None]]]:
     """Yields the items block by block; one block at a time is on the driver."""
     own = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
     total = own.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = math.ceil(total / block_bytes)
-    for k in range(n):
-        part = own.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) if n > 1 else own
-        yield [(r.item, r.text.encode() if r.text is not None else None) for r in part.toLocalIterator()]
+    if not n:
+        return
+    own = own.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
+    for k in sorted(r.block for r in own.select("block").distinct().collect()):  # the blocks that have items
+        yield [(r.item, r.text.encode() if r.text is not None else None) for r in own.where(F.col("block") == k).toLocalIterator()]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
