@@ -9,7 +9,7 @@ in is a *function of that state*, and functions compose. So:
    domain's functions fit one group, then evaluated back down to each block;
 3. each block is replayed once with its now known entry state.
 
-Steps 1 and 3 carry all rows and are parallel over blocks of fixed size; step
+Where every domain fits one block, only step 3 is left. Steps 1 and 3 carry all rows and are parallel over blocks of fixed size; step
 2 handles one small record per block, and no task more than ``FAN`` of a domain.
 """
 
@@ -23,10 +23,9 @@ from typing import Any, Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from spillway.operators.ordering import same
+from spillway.operators.ordering import domain_starts, same
 from spillway.session import materialise
 
 FAN = 64
@@ -66,7 +65,7 @@ def block_fold(
     needs: Sequence[str],
     added: Sequence[T.StructField],
 ) -> DataFrame:
-    """Replay ``rule`` over every domain of ``numbered`` (which has ``_rn``).
+    """Replay ``rule`` over every domain of ``numbered`` (which has ``_rn``; see ``number_once``).
 
     ``needs`` are the columns the rule reads; all columns of ``numbered`` pass
     through untouched as Arrow buffers, and ``added`` are appended.
@@ -87,21 +86,16 @@ def block_fold(
     rows = blocks.rows
 
     # Blocks with a successor, one small row each; there are none where every domain fits one block.
-    numbered = materialise(numbered, "numbered")
-    followed = materialise(
-        numbered.filter((F.col("_rn") % rows == 0) & (F.col("_rn") > 0)).select(*domain, (own - 1).alias("_blk")),
-        "followed",
-    )
+    followed = numbered.filter((F.col("_rn") % rows == 0) & (F.col("_rn") > 0)).select(*domain, (own - 1).alias("_blk"))
+    most = followed.agg(F.max("_blk")).first()[0]
     placed = placed_in(numbered)
-    entries = _entry_states(placed, followed, domain, rule, rows, needs)
-    # A block's entry state comes as a row before its own, so one shuffle brings both.
-    known = entries.select(*keys, F.lit(-1).cast("bigint").alias("_rn"), "_entry")
-    work = (
-        placed.withColumn("_entry", F.lit(None).cast("bigint"))
-        .unionByName(known, allowMissingColumns=True)
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, "_rn")
-    )
+    work = placed.withColumn("_entry", F.lit(None).cast("bigint"))
+    if most is not None:
+        entries = _entry_states(placed, materialise(followed, "followed"), most, domain, rule, rows, needs)
+        # A block's entry state comes as a row before its own, so one shuffle brings both.
+        known = entries.select(*keys, F.lit(-1).cast("bigint").alias("_rn"), "_entry")
+        work = work.unionByName(known, allowMissingColumns=True)
+    work = work.repartition(*keys).sortWithinPartitions(*keys, "_rn")
 
     def replay(block: pa.Table) -> pa.Table:
         end = (block["_blk"][0].as_py() + 1) * rows
@@ -117,6 +111,28 @@ def block_fold(
     return work.mapInArrow(over, out_schema)
 
 
+def fold_whole(
+    df: DataFrame, domain: Sequence[str], order: Sequence[str], rule: Rule, added: Sequence[T.StructField]
+) -> DataFrame:
+    """Replay ``rule`` over domains that a contract bounds: one shuffle, each domain whole in one task.
+
+    Rows get their position ``_rn`` in ``order``, and ``added``, which the rule appends.
+    """
+    domain = list(domain)
+    out_schema = T.StructType([*df.schema.fields, T.StructField("_rn", T.LongType()), *added])
+    work = df.repartition(*domain).sortWithinPartitions(*domain, *order)
+
+    def replay(rows: pa.Table) -> pa.Table:
+        counted = rows.append_column("_rn", pa.array(np.arange(rows.num_rows), pa.int64()))
+        return rule.replay(counted, rows.num_rows, rule.start).select(out_schema.names)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for domains in _runs(batches, domain):
+            yield from pa.concat_tables([replay(d) for d in domains]).combine_chunks().to_batches()
+
+    return work.mapInArrow(over, out_schema)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[list[pa.Table]]:
     """The blocks of rows sorted by ``keys``, as many at a time as a batch completes."""
     held = None
@@ -125,11 +141,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[li
             continue
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-        new = np.zeros(held.num_rows, bool)
-        for key in keys:
-            codes = pc.dictionary_encode(held[key].combine_chunks(), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
-            new[1:] |= codes[1:] != codes[:-1]
-        cuts = [0, *np.nonzero(new)[0].tolist()]
+        cuts = [0, *np.nonzero(domain_starts(held, keys))[0].tolist()]
         if len(cuts) > 1:
             yield [held.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
         held = held.slice(cuts[-1])
@@ -137,7 +149,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[li
         yield [held]
 
 
-def _entry_states(placed, followed, domain, rule, rows, needs) -> DataFrame:
+def _entry_states(placed, followed, most, domain, rule, rows, needs) -> DataFrame:
     """Entry state of every block but the first of its domain."""
     keys = [*domain, "_blk"]
     key_fields = [placed.schema[c] for c in domain]
@@ -165,7 +177,6 @@ def _entry_states(placed, followed, domain, rule, rows, needs) -> DataFrame:
         out["_fn"] = [pickle.dumps(fn)]
         return out
 
-    most = followed.agg(F.max("_blk")).first()[0] or 0
     while most >= FAN:
         most //= FAN
         up = levels[-1].groupBy(*domain, group.alias("_grp")).applyInPandas(composed, fn_schema)

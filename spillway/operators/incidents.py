@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spillway.operators.asof import next_match, with_next
 from spillway.operators.blockfold import Blocks, block_fold
-from spillway.operators.ordering import number_rows, stage
+from spillway.operators.ordering import number_once
 
 # What changes from one message to the next: UUIDs, hexadecimal numbers, digits.
 _VARIABLE = [
@@ -126,7 +126,7 @@ def lifecycle(signals: DataFrame, by: Sequence[str], blocks: Blocks = Blocks())
     occurrence opens a group, a resolution resolves it, an occurrence after that reopens it. Blocks of rows are
     summarised into transition tables, which compose, so a group of any size is replayed in parallel.
     """
-    numbered = number_rows(stage(signals.select(*by, "ts", "kind", "id"), by, ["ts", "kind", "id"]), by).drop("_part", "_pos")
+    numbered = number_once(signals.select(*by, "ts", "kind", "id"), by, ["ts", "kind", "id"])
     added = [T.StructField("before", T.LongType()), T.StructField("after", T.LongType())]
     told = block_fold(numbered, by, _Lifecycle(), blocks, ["kind"], added)
     named = F.array(*[F.lit(s) for s in STATES])

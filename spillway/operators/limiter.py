@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from spillway.operators.blockfold import Blocks, block_fold
-from spillway.operators.ordering import Scan, number_rows, scan, stage
+from spillway.operators.ordering import Scan, number_once, number_rows, scan, stage
 
 
 def interval_ms(per_minute: Column) -> Column:
@@ -257,11 +257,9 @@ def police(
     closing = carried or paused_until_ms is not None
     if closing:
         rows = rows.withColumn("_paused", paused)
-    staged = stage(rows, token, order)
-    numbered = number_rows(staged, token).drop("_pos", "_part")
     rule = _Police(at_ms, tell=carried)
     out = block_fold(
-        numbered,
+        number_once(rows, token, order),
         token,
         rule,
         Blocks(block_rows),

@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spillway.constants import MAX_BYTES, MAX_ENTRIES, MIN_BYTES, UNBUFFERED_COMMANDS
-from spillway.operators.blockfold import Blocks, block_fold
-from spillway.operators.ordering import number_rows, same, stage
+from spillway.operators.blockfold import Blocks, block_fold, fold_whole
+from spillway.operators.ordering import number_once, number_rows, same, stage
 
 
 def entry_limit(batch_size: int) -> int:
@@ -135,6 +135,7 @@ def pack(
     flush_interval: int | Column | None = None,
     tick: bool = False,
     block_rows: int = Blocks.rows,
+    bounded: bool = False,
 ) -> DataFrame:
     """Greedy first-in-first-out packing by count and, when given, bytes and age.
 
@@ -145,7 +146,8 @@ def pack(
     than ``flush_interval`` whole seconds closes with the entry that finds it
     so, or (``tick``) before that entry.
 
-    (domain, order) must identify a row. Domains may be of any size. ``batch_size``
+    (domain, order) must identify a row. Domains may be of any size; where a contract bounds
+    them (``bounded``), each is packed by one task, without numbering all rows first. ``batch_size``
     and ``flush_interval`` may be columns, constant per domain; a null one is no limit
     of its own (100 entries, any age).
     """
@@ -165,22 +167,18 @@ def pack(
         *([F.unix_seconds(at).alias("_sec")] if by_age else []),
         *[value.cast("bigint").alias(name) for name, value in own.items()],
     )
-    staged = stage(narrow, domain, order)
-    numbered = number_rows(staged, domain).drop("_pos", "_part")
     rule = _Greedy(
         n=entry_limit(batch_size),
         max_bytes=byte_limit(max_bytes) if size is not None else None,
         age=max(0, flush_interval) if flush_interval is not None else None,
         tick=tick,
     )
-    packed = block_fold(
-        numbered,
-        domain,
-        rule,
-        Blocks(block_rows, rule.n),
-        needs=[c for c in ("_size", "_sec", "_n", "_age") if c in numbered.columns],
-        added=[T.StructField("batch_start", T.LongType())],
-    )
+    added = [T.StructField("batch_start", T.LongType())]
+    if bounded:
+        packed = fold_whole(narrow, domain, order, rule, added)
+    else:
+        needs = [c for c in ("_size", "_sec", "_n", "_age") if c in narrow.columns]
+        packed = block_fold(number_once(narrow, domain, order), domain, rule, Blocks(block_rows, rule.n), needs, added)
     return packed.withColumnRenamed("_rn", "rn").drop("_sec", "_n", "_age").withColumnRenamed("_size", "size")
 
 

@@ -168,7 +168,7 @@ def backlog_split(spark, d):
 SELECT queue, chunk, job_no, CAST(pos AS BIGINT) AS pos, CAST(batch_start AS BIGINT) AS batch_start FROM packed
 """)
 def pack_chunked(spark, d):
-    entries = job_entry_rows(split_backlog(chunk_jobs(A.backlog(spark, d), CHUNK)))
+    entries = job_entry_rows(chunk_jobs(split_backlog(A.backlog(spark, d)), CHUNK))
     packed = pack_jobs(entries, batch_size=60, max_bytes=2000)
     return packed.select("queue", "chunk", "job_no", F.col("pos").cast("bigint").alias("pos"), "batch_start")
 
@@ -181,7 +181,7 @@ SELECT c.queue, c.chunk, job_no, CAST(needs AS BIGINT) AS needs, CAST(needs <= q
 """)
 def ack_prefix(spark, d):
     """Only the full batches of each chunk have been queued so far."""
-    jobs = split_backlog(chunk_jobs(A.backlog(spark, d), CHUNK)).select("queue", "chunk", "job_no", "n_entries")
+    jobs = chunk_jobs(split_backlog(A.backlog(spark, d)), CHUNK).select("queue", "chunk", "job_no", "n_entries")
     queued = jobs.groupBy("queue", "chunk").agg((pacing.div(F.sum("n_entries"), F.lit(100)) * 100).alias("queued"))
     out = acknowledged(jobs, queued)
     return out.select("queue", "chunk", "job_no", "needs", F.col("done").cast("bigint").alias("done"))
@@ -252,7 +252,7 @@ def repack_backlog(spark, d):
 
 
 def _chunk_table(spark, d):
-    rows = split_backlog(chunk_jobs(A.backlog(spark, d), CHUNK))
+    rows = chunk_jobs(split_backlog(A.backlog(spark, d)), CHUNK)
     return rows.groupBy("queue", "chunk").agg(pacing.div(F.sum("n_entries") + 99, F.lit(100)).alias("n_batches")).withColumn(
         "start_in", F.lit(0).cast("bigint")
     )

@@ -17,7 +17,10 @@ from spillway.sources.jobs import split_backlog
 
 
 def chunk_jobs(jobs: DataFrame, chunk: int = 1000) -> DataFrame:
-    """Number each queue's jobs in order and cut them into chunks."""
+    """Number each queue's jobs in order and cut them into chunks.
+
+    Read payloads (``split_backlog``) before this, where the scan's tasks share the work, not behind its join.
+    """
     size = max(1, min(MAX_CHUNK, chunk))
     numbered = number_rows(stage(jobs.select("queue", "seq"), ["queue"], ["seq"]), ["queue"], "job_no")
     placed = numbered.select("queue", "seq", "job_no", pacing.div(F.col("job_no"), F.lit(size)).alias("chunk"))
@@ -31,9 +34,9 @@ def job_entry_rows(jobs: DataFrame) -> DataFrame:
 
 
 def pack_jobs(entries: DataFrame, **limits) -> DataFrame:
-    """Pack ``job_entry_rows`` inside their chunk; the rest is flushed at its end."""
+    """Pack ``job_entry_rows`` inside their chunk, which holds at most 5000 jobs; the rest is flushed at its end."""
     return packing.pack(
-        entries, ["queue", "chunk"], ["job_no", "pos"], size=F.col("entry_bytes"), **limits
+        entries, ["queue", "chunk"], ["job_no", "pos"], size=F.col("entry_bytes"), bounded=True, **limits
     )
 
 
@@ -90,7 +93,8 @@ def rebatch_backlog(
     ``waiting`` is the target's state per source queue: ``queue, waiting,
     last_due``. ``now`` is an epoch second.
     """
-    chunked = materialise(split_backlog(chunk_jobs(jobs, chunk), job), "jobs")
+    # The payload stays behind; it is joined to what goes back to the backlog.
+    chunked = materialise(chunk_jobs(split_backlog(jobs, job).drop("payload"), chunk), "jobs")
     entries = job_entry_rows(chunked)
     packed = materialise(pack_jobs(entries, batch_size=batch_size, max_bytes=max_bytes), "packed")
     keys = ["queue", "chunk"]
@@ -131,9 +135,10 @@ def rebatch_backlog(
         .select(*keys, "batch_start", "batch_no", "n_entries", "n_bytes", "due_in", "retry_deadline")
     )
     marked = chunked.join(claimed.select(*keys, F.lit(True).alias("_taken")), keys, "left")
-    kept = marked.filter(F.col("_taken").isNull()).select("queue", "seq", "payload", F.col("seq").alias("new_seq"))
-    foreign = marked.filter(F.col("_taken") & ~F.col("own")).select("queue", "seq", "payload")
-    backlog = kept.unionByName(return_foreign(jobs, foreign))
+    kept = marked.filter(F.col("_taken").isNull()).select("queue", "seq", F.col("seq").alias("new_seq"))
+    foreign = marked.filter(F.col("_taken") & ~F.col("own")).select("queue", "seq")
+    left = kept.unionByName(return_foreign(jobs, foreign))
+    backlog = jobs.select("queue", "seq", "payload").join(left, ["queue", "seq"], "inner")
     return Repacked(due, entries, packed, backlog, repack_totals(claimed))
 
 
