@@ -74,7 +74,7 @@ def format_chat(rows: DataFrame, tokenizer_path: str, trained: str = "assistant"
     ``starts``/``ends`` are the tokens' code-point offsets in ``formatted``, ``loss``
     their mask. Rows of a conversation go by turn, then role, then text (nulls
     first); repeated rows are turns of their own. Null roles and texts are empty;
-    rows without a conv_id make one conversation. A conversation is one string, so
+    rows without a conv_id make one conversation; an empty table gives an empty one. A conversation is one string, so
     one task holds one conversation at a time, and streams through them.
     """
     kind = rows.schema["conv_id"].dataType.simpleString()

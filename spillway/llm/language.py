@@ -186,6 +186,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", name: str =
     """``docs`` with the predicted language and its calibrated probability; columns of those names are replaced.
 
     A text that is null or has no letter gets ``und`` with score 0, as does any text if nothing was learnt.
+    Texts are read whole and one by one, so equal ones get equal answers; an empty table gives an empty one.
     """
     kept = [c for c in docs.columns if c not in (name, score)]
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text_col}`").alias("text"))

@@ -367,6 +367,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     """``docs`` with ``ids_col`` (array<int>): the pieces of the whole text, null for a null text, empty for an empty one.
 
     Identity normalisation, a leading space mark, no pieces for the ends of a text. A column of that name is replaced.
+    A row per row, repeated ones too; an empty table gives an empty one.
     """
     return _mapped(docs, text_col, ids_col, "array<int>", pa.list_(pa.int32()), lambda texts: load(model_path).encode(texts), GATHERED)
 

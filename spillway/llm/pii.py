@@ -384,6 +384,7 @@ def find(docs: DataFrame, field_: Field, id_col: str = "doc_id", text_col: str =
     """Per row: id, ``base`` and ``spans``, arrays of (start, end, kind) in code points, sorted by start, then kind.
 
     ``base`` holds what the rules find, ``spans`` those and what the field adds. A null text counts as empty and holds nothing.
+    Rows are read whole and one by one, repeated ones too; other columns are left out; an empty table gives an empty one.
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(field_)  # of the size of the labelled table

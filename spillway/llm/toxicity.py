@@ -296,21 +296,25 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, longest: in
     """A network from texts (id, text) and their labels (id, toxic).
 
     At most ``per_label`` texts of each label of at most ``longest`` bytes, those of the smallest id hashes,
-    are learnt from. They are chosen by ids and sizes, so texts don't shuffle.
+    are learnt from. They are chosen by ids and sizes, so texts don't shuffle. Null texts are left out.
     """
-    sizes = docs.select("id", F.octet_length("text").alias("size")).where(F.col("size") <= longest)
-    rows = sizes.join(labels.where("toxic IN (0, 1)").select("id", "toxic"), "id")
+    short = docs.where(F.octet_length("text") <= longest)
+    rows = short.select("id").join(labels.where("toxic IN (0, 1)").select("id", "toxic"), "id")
     chosen = [r for label in (0, 1) for r in rows.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(per_label).select("id", "toxic").collect()]
     if not chosen:
         return fit([], np.empty(0, np.int64))
-    ids = docs.sparkSession.createDataFrame([(r.id, r.toxic) for r in chosen], rows.select("id", "toxic").schema)
-    sample = docs.select("id", "text").join(F.broadcast(ids), "id").collect()  # twice per_label rows at most
-    sample.sort(key=lambda r: (r.toxic, r.id))
+    ids = docs.sparkSession.createDataFrame([(r.id, r.toxic) for r in chosen], rows.select("id", "toxic").schema).distinct()
+    # Twice per_label rows, besides rows that repeat an id.
+    sample = short.select("id", "text").join(F.broadcast(ids), "id").limit(4 * per_label).collect()
+    sample.sort(key=lambda r: (r.toxic, r.id, r.text))
     return fit([r.text.encode() for r in sample], np.array([r.toxic for r in sample], np.int64))
 
 
 def score(docs: DataFrame, network: Network, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with ``name``: the chance that the text is toxic; a null text is scored as an empty one. A column of that name is replaced."""
+    """``docs`` with ``name``: the chance that the text is toxic; a null text is scored as an empty one. A column of that name is replaced.
+
+    Equal texts get equal scores wherever they stand; an empty table gives an empty one.
+    """
     kept = [c for c in docs.columns if c != name]
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(network)  # of fixed size

@@ -44,6 +44,7 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str =
     Of rows with equal payloads (null: empty) of at least ``least`` bytes, the
     largest id is the response; ``refers_to`` is that id for the others and null
     for it. Rows that repeat the largest id are all responses; a null id is smallest.
+    Other columns are left out; an empty table gives an empty one, and that no archives.
     """
     own = pages.select(F.col(id_col).alias("id"), F.col("url").alias("url"), F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("body"))
     own = own.withColumn("digest", F.sha1("body")).withColumn("size", F.octet_length("body").cast("long"))
