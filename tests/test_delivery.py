@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from spillway.functions.text import clip_bytes, retry_after_seconds
 from spillway.operators import delivery as D, filters, pacing, rejection as R
-from spillway.plans.adapters import NOON
+from spillway.plans.adapters import NOW_SEC
 
 
 def test_retry_after(spark):
-    printed = lambda seconds, form: datetime.datetime.fromtimestamp(NOON + seconds, datetime.timezone.utc).strftime(form)
+    printed = lambda seconds, form: datetime.datetime.fromtimestamp(NOW_SEC + seconds, datetime.timezone.utc).strftime(form)
     fixdate = "%a, %d %b %Y %H:%M:%S GMT"
     cases = {str(n): min(max(n, 1), 600) for n in (-10**25, -3, 0, 1, 9, 599, 601, 10**25)}
     cases |= {f"\t{n} ": n for n in (2, 45)} | {printed(n, fixdate): min(max(n, 1), 600) for n in (-90, 1, 75, 9000)}
@@ -18,7 +18,7 @@ def test_retry_after(spark):
     spoilt = [other_day, good.lower(), good[:-4], good[5:], good.replace("GMT", "CET"), good.replace(printed(75, "%d"), "00"), printed(75, "%Y/%m/%d %H:%M:%S"), "45.0", "4e1", "45 s", "0x2d", "later", " ", None]
     cases |= dict.fromkeys(spoilt, 30)
     df = spark.createDataFrame(list(cases.items()), "h string, want long")
-    rows = df.withColumn("got", retry_after_seconds(F.col("h"), F.lit(NOON))).collect()
+    rows = df.withColumn("got", retry_after_seconds(F.col("h"), F.lit(NOW_SEC))).collect()
     assert [(r.h, r.got) for r in rows] == [(r.h, r.want) for r in rows]
 
 
@@ -28,20 +28,20 @@ ATTEMPT = "status int, retry_after string, body string, attempt int, now long, r
 @pytest.mark.parametrize(
     "row,action,delay,words",
     [
-        ((503, None, "", 1, NOON, NOON + 9999, False), "release", 10, "HTTP 503"),
-        ((500, None, "", 3, NOON, NOON + 9999, False), "release", 120, "HTTP 500"),
-        ((408, None, "", 2, NOON, NOON + 9999, False), "release", 30, "HTTP 408"),
-        ((502, None, "", 9, NOON, NOON + 9999, False), "release", 300, "HTTP 502"),
-        ((None, None, "reset", 1, NOON, NOON + 9999, False), "release", 10, "unreachable: reset"),
-        ((429, "17", "", 50, NOON, NOON + 9999, False), "release", 17, "HTTP 429"),
-        ((401, None, "no", 1, NOON, NOON + 9999, False), "park", None, "HTTP 401 no"),
-        ((503, None, "", 3, NOON, NOON + 140, False), "park", None, "retry window exhausted"),
-        ((429, "120", "", 1, NOON, NOON + 100, False), "park", None, "retry window exhausted"),
-        ((200, None, "", 1, NOON, NOON - 1, False), "park", None, "exhausted while waiting"),
-        ((503, None, "", 1, NOON, NOON + 9999, True), "park", None, "sync queue"),
-        ((503, None, "", 1, NOON, None, False), "park", None, "without a deadline"),
-        ((429, None, "", 1, NOON, None, False), "park", None, "without a deadline"),
-        ((200, None, "", 1, NOON, NOON + 9999, False), "done", None, None),
+        ((503, None, "", 1, NOW_SEC, NOW_SEC + 9999, False), "release", 10, "HTTP 503"),
+        ((500, None, "", 3, NOW_SEC, NOW_SEC + 9999, False), "release", 120, "HTTP 500"),
+        ((408, None, "", 2, NOW_SEC, NOW_SEC + 9999, False), "release", 30, "HTTP 408"),
+        ((502, None, "", 9, NOW_SEC, NOW_SEC + 9999, False), "release", 300, "HTTP 502"),
+        ((None, None, "reset", 1, NOW_SEC, NOW_SEC + 9999, False), "release", 10, "unreachable: reset"),
+        ((429, "17", "", 50, NOW_SEC, NOW_SEC + 9999, False), "release", 17, "HTTP 429"),
+        ((401, None, "no", 1, NOW_SEC, NOW_SEC + 9999, False), "park", None, "HTTP 401 no"),
+        ((503, None, "", 3, NOW_SEC, NOW_SEC + 140, False), "park", None, "retry window exhausted"),
+        ((429, "120", "", 1, NOW_SEC, NOW_SEC + 100, False), "park", None, "retry window exhausted"),
+        ((200, None, "", 1, NOW_SEC, NOW_SEC - 1, False), "park", None, "exhausted while waiting"),
+        ((503, None, "", 1, NOW_SEC, NOW_SEC + 9999, True), "park", None, "sync queue"),
+        ((503, None, "", 1, NOW_SEC, None, False), "park", None, "without a deadline"),
+        ((429, None, "", 1, NOW_SEC, None, False), "park", None, "without a deadline"),
+        ((200, None, "", 1, NOW_SEC, NOW_SEC + 9999, False), "done", None, None),
     ],
 )
 def test_next_action(spark, row, action, delay, words):
@@ -77,10 +77,10 @@ def test_pacing_goldens(spark):
     due = [r.d for r in six.select(pacing.due_delay(F.col("id"), pacing.default_rate(50), F.col("start")).alias("d")).collect()]
     assert due == [0, 1, 2, 4, 5, 6]
     start = spark.range(1).select(
-        pacing.schedule_start(F.lit(3), F.lit(NOON + 120), F.lit(NOON), 6).alias("a"),
-        pacing.schedule_start(F.lit(0), F.lit(None).cast("double"), F.lit(NOON), 6).alias("b"),
-        pacing.schedule_start(F.lit(9), F.lit(NOON), F.lit(NOON), 6, 5).alias("c"),
-        pacing.schedule_start(F.lit(9), F.lit(NOON), F.lit(NOON), 0).alias("d"),
+        pacing.schedule_start(F.lit(3), F.lit(NOW_SEC + 120), F.lit(NOW_SEC), 6).alias("a"),
+        pacing.schedule_start(F.lit(0), F.lit(None).cast("double"), F.lit(NOW_SEC), 6).alias("b"),
+        pacing.schedule_start(F.lit(9), F.lit(NOW_SEC), F.lit(NOW_SEC), 6, 5).alias("c"),
+        pacing.schedule_start(F.lit(9), F.lit(NOW_SEC), F.lit(NOW_SEC), 0).alias("d"),
     ).first()
     assert tuple(start) == (130, 0, 5, 0)
     assert [pacing.default_rate(x) for x in (0, 1, 50)] == [0, 1, 45]
