@@ -106,20 +106,25 @@ def requests_in_window(
 ) -> DataFrame:
     """Requests of the token in the ``window_ms`` up to and including each request's time.
 
-    Time is cut into cells of one window length. Each cell's rows also go to
-    the next cell, so a range window per (token, cell) sees all it needs. A
+    Time is cut into cells of one window length. What a window sees is what came so far in
+    its own cell and what has not yet left of the cell before, so each cell's rows also go to
+    the next one, at the time they leave: two running sums per (token, cell), linear
+    in its rows, where a sliding frame adds up its whole window at every row. A
     token busy enough to fill one cell is first merged to one row per
     millisecond, which bounds a cell by its length, not by its traffic.
     """
     per_ms = df.groupBy(*token, at_ms).agg(F.count(F.lit(1)).alias("_n"))
-    cell = F.floor(F.col(at_ms) / window_ms).cast("bigint")
-    shown = per_ms.withColumn("_own", cell).withColumn("_cell", F.explode(F.array(cell, cell + 1)))
-    w = Window.partitionBy(*token, "_cell").orderBy(at_ms).rangeBetween(-(window_ms - 1), 0)
-    return (
-        shown.withColumn("in_window", F.sum("_n").over(w))
-        .filter(F.col("_own") == F.col("_cell"))
-        .select(*token, at_ms, F.col("_n").alias("requests"), "in_window")
+    cell, none = F.floor(F.col(at_ms) / window_ms).cast("bigint"), F.lit(0).cast("bigint")
+    at = F.col(at_ms)
+    comes = F.struct(cell.alias("cell"), at.alias("at"), F.col("_n").alias("come"), none.alias("gone"))
+    goes = F.struct((cell + 1).alias("cell"), (at + window_ms).alias("at"), none.alias("come"), F.col("_n").alias("gone"))
+    moves = per_ms.select(*token, F.explode(F.array(comes, goes)).alias("_m")).select(
+        *token, *[F.col(f"_m.{c}").alias(f"_{c}") for c in ("cell", "at", "come", "gone")]
     )
+    whole = Window.partitionBy(*token, "_cell")
+    so_far = whole.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    counted = moves.withColumn("in_window", F.sum(F.col("_come") - F.col("_gone")).over(so_far) + F.sum("_gone").over(whole))
+    return counted.filter(F.col("_come") > 0).select(*token, F.col("_at").alias(at_ms), F.col("_come").alias("requests"), "in_window")
 
 
 # ------------------------------------------------------------------- policing

@@ -71,3 +71,17 @@ def test_saturating_demand_stays_in_the_window_bound(spark):
 def test_pause_is_never_shortened(spark):
     df = spark.createDataFrame([(0, 0, 1, 30), (0, 1000, 2, 5)], "k int, at long, i long, ask int")
     assert [r.paused_until_ms for r in L.pauses(df, ["k"], ["at", "i"], "at", "ask").orderBy("i").collect()] == [30_000, 30_000]
+
+
+def test_windows_are_counted_without_a_sliding_frame(spark):
+    """Beside a count of every pair: several requests of a millisecond, ends of cells, times below zero and none."""
+    rnd = random.Random(5)
+    rows = [(k, rnd.choice([rnd.randrange(-300, 300), 100 * rnd.randrange(-3, 4) + rnd.choice([-1, 0, 1])])) for k in (0, 1) for _ in range(400)]
+    df = spark.createDataFrame([*rows, (1, None), (1, None)], "k int, at long")
+    out = L.requests_in_window(df, ["k"], ["at"], "at", 100)
+    assert out.columns == ["k", "at", "requests", "in_window"]
+    want = {(k, t): (rows.count((k, t)), sum(t - 100 < u <= t for j, u in rows if j == k)) for k, t in rows} | {(1, None): (2, 2)}
+    got = out.collect()
+    assert len(got) == len(want) and {(r.k, r.at): (r.requests, r.in_window) for r in got} == want
+    # A frame that starts behind its row is added up anew at every row.
+    assert "specifiedwindowframe(RangeFrame, -" not in out._jdf.queryExecution().executedPlan().toString()
