@@ -10,7 +10,7 @@ from spillway.llm.decontaminate import decontaminate
 from spillway.llm.exact_dedup import drop_copies
 from spillway.llm.language import UNDETERMINED, identify, train_on
 from spillway.llm.near_dedup import near_dedup
-from spillway.llm.pieces import decode, encode
+from spillway.llm.pieces import encode_and_decode
 from spillway.session import materialise
 
 #: Documents whose language is less sure than this are rejected.
@@ -91,7 +91,7 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text has null ids (``n_pieces`` -1 or null) and is the same; an empty one has none. A row per row.
     """
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    back = decode(encode(docs.select("doc_id", "text"), model), model)
+    back = encode_and_decode(docs.select("doc_id", "text"), model)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
 
 

@@ -369,30 +369,52 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     Identity normalisation, a leading space mark, no pieces for the ends of a text. A column of that name is replaced.
     A row per row, repeated ones too; an empty table gives an empty one.
     """
-    return _mapped(docs, text_col, ids_col, "array<int>", pa.list_(pa.int32()), lambda texts: load(model_path).encode(texts), GATHERED)
+    return _mapped(docs, text_col, {ids_col: _IDS}, lambda texts: [load(model_path).encode(texts)], GATHERED)
 
 
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with ``text_col``: the text of ``ids_col``, null for null. A column of that name is replaced."""
-    return _mapped(docs, ids_col, text_col, "string", pa.string(), lambda rows: [load(model_path).decode(r) for r in rows])
+    return _mapped(docs, ids_col, {text_col: _TEXT}, lambda rows: [_decoded(load(model_path), rows)])
 
 
-def _mapped(docs: DataFrame, source: str, target: str, sql_type: str, kind: pa.DataType, f, together: int = 0) -> DataFrame:
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != target or c == source])
-    renamed = own.select(F.struct(*[F.col(f"`{c}`") for c in own.columns if c != target]).alias("row"), F.col(f"`{source}`").alias("value"))
+def encode_and_decode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """``decode`` of ``encode`` by one worker a task: the pieces and what they are read back as; neither goes through a second worker."""
+
+    def both(texts: list[str]) -> list[list]:
+        model = load(model_path)
+        ids = model.encode(texts)
+        return [ids, _decoded(model, ids)]
+
+    return _mapped(docs, text_col, {ids_col: _IDS, decoded_col: _TEXT}, both, GATHERED)
+
+
+_IDS, _TEXT = ("array<int>", pa.list_(pa.int32())), ("string", pa.string())
+
+
+def _decoded(model: Model, rows: list[np.ndarray]) -> list[str]:
+    return [model.decode(r) for r in rows]
+
+
+def _mapped(docs: DataFrame, source: str, targets: dict[str, tuple[str, pa.DataType]], f, together: int = 0) -> DataFrame:
+    """``docs`` with the columns that ``f`` makes of the non-null values of ``source``; null for null."""
+    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in targets or c == source])
+    renamed = own.select(F.struct(*[F.col(f"`{c}`") for c in own.columns if c not in targets]).alias("row"), F.col(f"`{source}`").alias("value"))
+    names = [f"value{k}" for k in range(len(targets))]
 
     def run(batches):
         for some in _gathered(batches, together):
             values = [v for b in some for v in _values(b.column("value"))]
-            there = iter(f([v for v in values if v is not None]))
-            out = [None if v is None else next(there) for v in values]
+            made = [iter(x) for x in f([v for v in values if v is not None])]
+            out = [[None if v is None else next(there) for v in values] for there in made]
             at = 0
             for b in some:
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out[at : at + len(b)], kind)], ["row", "value"])
+                parts = [pa.array(x[at : at + len(b)], kind) for x, (_, kind) in zip(out, targets.values())]
+                yield pa.RecordBatch.from_arrays([b.column("row"), *parts], ["row", *names])
                 at += len(b)
 
-    done = arrow_map(renamed, run, f"row {renamed.schema['row'].dataType.simpleString()}, value {sql_type}")
-    return done.select("row.*", F.col("value").alias(target))
+    types = ", ".join(f"{n} {sql_type}" for n, (sql_type, _) in zip(names, targets.values()))
+    done = arrow_map(renamed, run, f"row {renamed.schema['row'].dataType.simpleString()}, {types}")
+    return done.select("row.*", *[F.col(n).alias(target) for n, target in zip(names, targets)])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[list[pa.RecordBatch]]:
