@@ -67,8 +67,10 @@ def drain(
     )
 
     def trigger(batch: DataFrame, epoch: int) -> None:
-        # One table per trigger: positions must not change between the passes below.
-        placed = materialise(batch.withColumn("line", F.monotonically_increasing_id()), "lines")
+        # One table per trigger: positions must not change between the passes below. A trigger may hold few files,
+        # and lines of one kind pack to little; dealt out over all cores, a line at a time, they are decoded by all.
+        named = batch.withColumn("line", F.monotonically_increasing_id())
+        placed = materialise(named.repartition(max(2, batch.sparkSession.sparkContext.defaultParallelism)), "lines")
         keyed = placed.withColumn("run", F.lit(epoch).cast("bigint"))
         entries, plan = pack_dead_letters(
             decode(keyed, ["run", *deadletter.LINE_ID]),
