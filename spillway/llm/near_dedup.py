@@ -155,14 +155,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def families_of(classes: DataFrame, threshold: int) -> DataFrame:
     """(``set_key``, ``family``, ``block``, ``blocks``) of the classes that signatures connect with another."""
-    members = classes.select("set_key", F.posexplode("bands").alias("band", "bucket"))
-    who = F.sum(F.xxhash64("set_key").cast("decimal(38,0)")).alias("who")
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), who, F.min("band").alias("band"), F.min("set_key").alias("first")).where("n > 1")
-    buckets = materialise(buckets.groupBy("n", "who").agg(F.min_by("bucket", "band").alias("bucket"), F.min_by("first", "band").alias("first")), "buckets")
-    members = materialise(members.select("set_key", "bucket").join(buckets.select("bucket", "n", "first"), "bucket"), "members")
-
-    large = members.where(F.col("n") > BLOCK).where("first != set_key").select(F.col("first").alias("low"), F.col("set_key").alias("high"))
-    small = members.where(F.col("n") <= BLOCK).select("set_key", F.col("bucket").alias("g")).join(classes.select("set_key", "size", "sig"), "set_key")
+    # Here all bands of all classes move, twice, so a class goes by a number. Classes of one number only meet too often.
+    named = classes.select(F.xxhash64("set_key").alias("class"), "set_key", "size", "sig")
+    members = classes.select(F.xxhash64("set_key").alias("class"), F.posexplode("bands").alias("band", "bucket"))
+    who = F.bit_xor("class").alias("who")
+    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), who, F.min("band").alias("band")).where("n > 1")
+    buckets = materialise(buckets.groupBy("n", "who").agg(F.min_by("bucket", "band").alias("bucket")), "buckets")
+    members = materialise(members.select("class", "bucket").join(buckets.select("bucket", "n"), "bucket"), "members")
+
+    crowds = members.where(F.col("n") > BLOCK).join(named.select("class", "set_key"), "class")
+    firsts = materialise(crowds.groupBy("bucket").agg(F.min("set_key").alias("first")), "firsts")
+    large = crowds.join(firsts, "bucket").where("first != set_key").select(F.col("first").alias("low"), F.col("set_key").alias("high"))
+    small = members.where(F.col("n") <= BLOCK).select("class", F.col("bucket").alias("g")).join(named, "class").drop("class")
     edges = within(small, threshold).unionByName(large).distinct()
     found = components(materialise(edges, "candidates"))
     found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
