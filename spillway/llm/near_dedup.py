@@ -14,7 +14,7 @@
 5. In a family of several blocks, one class of each connected part meets those of the other blocks. Only if it still
    falls into parts, all that is outside its largest part meets every block (``across``). So near copies of
    one text cost in proportion to their number, and no link is lost.
-6. Components by alternating large and small stars.
+6. Components by alternating large and small stars, where links are no stars yet; those of blocks and of their heads are, and take no round.
 """
 
 from __future__ import annotations
@@ -130,19 +130,24 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = own.withColumnRenamed("id", "class_id").join(wanted, "class_id").dropDuplicates(["class_id", "set_key", "text"])
     sets = materialise(sets_of(texts, size), "sets")
     links = within(sets.withColumn("g", F.xxhash64("family", "block")), threshold)
-    links = across(sets, materialise(links, "links"), threshold)
+    found, more = across(sets, materialise(links, "links"), threshold)
 
     # An id with several sets links their classes.
     key = F.xxhash64("set_key")
     recurring = with_sets.groupBy("id").agg(F.min(key).alias("least"), F.max(key).alias("most"), F.min("set_key").alias("low")).where("least != most").select("id", "low")
-    again = with_sets.join(materialise(recurring, "recurring"), "id").select("low", F.col("set_key").alias("high")).where("low != high")
-    found = components(materialise(links.unionByName(again.distinct()), "links"))
-    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
-
-    parts = found.join(classes.select(F.col("set_key").alias("node"), "class_id"), "node")
-    first = materialise(parts.groupBy("component").agg(F.min("class_id").alias("component_id")), "components")
-    named = parts.join(first, "component").select(F.col("node").alias("set_key"), "component_id")
-    named = classes.select("set_key", "class_id").join(named, "set_key", "left").select("set_key", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
+    recurring = materialise(recurring, "recurring")
+    if not recurring.isEmpty():
+        again = with_sets.join(recurring, "id").select("low", F.col("set_key").alias("high")).where("low != high").distinct()
+        more = again if more is None else more.unionByName(again)
+    if more is not None:
+        stars = found.where("set_key != part").select(F.col("part").alias("low"), F.col("set_key").alias("high"))
+        found = components(materialise(stars.unionByName(more), "links")).toDF("set_key", "part")
+
+    keyed = materialise(classes.select("set_key", "class_id").join(found.select("set_key", "part"), "set_key", "left"), "keyed")
+    linked = keyed.where("part IS NOT NULL")
+    first = materialise(linked.groupBy("part").agg(F.min("class_id").alias("component_id")), "components")
+    named = linked.join(first, "part").select("set_key", "class_id", "component_id")
+    named = named.unionByName(keyed.where("part IS NULL").select("set_key", "class_id", F.col("class_id").alias("component_id")))
     alone = F.col("n_shingles") == 0
     joined = seen.select("id", "n_shingles", "set_key").join(materialise(named, "named"), "set_key", "left")
     return joined.select(
@@ -168,9 +173,7 @@ def families_of(classes: DataFrame, threshold: int) -> DataFrame:
     large = crowds.join(firsts, "bucket").where("first != set_key").select(F.col("first").alias("low"), F.col("set_key").alias("high"))
     small = members.where(F.col("n") <= BLOCK).select("class", F.col("bucket").alias("g")).join(named, "class").drop("class")
     edges = within(small, threshold).unionByName(large).distinct()
-    found = components(materialise(edges, "candidates"))
-    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
-    found = materialise(found.select(F.col("node").alias("set_key"), F.col("component").alias("family")), "families")
+    found = components(materialise(edges, "candidates")).toDF("set_key", "family")
     sizes = found.join(classes.select("set_key", "size"), "set_key").groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") * 8 / BYTES)).cast("int")
     sizes = materialise(sizes.select("family", blocks.alias("blocks")), "sizes")
@@ -303,54 +306,51 @@ def within(rows: DataFrame, threshold: int) -> DataFrame:
     return arrow_map(rows.select(*kept).repartition("g").sortWithinPartitions("g"), run, "low binary, high binary")
 
 
-def across(sets: DataFrame, links: DataFrame, threshold: int) -> DataFrame:
-    """``links`` within blocks, and those between the blocks of families that have several."""
-    large = sets.where("blocks > 1")
-    if large.isEmpty():
-        return links
+def across(sets: DataFrame, links: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame | None]:
+    """(``set_key``, ``part``) of all classes of families: the smallest that is reached by ``links`` within blocks and by
+    those of one class of each part with others; and further links, where families still fall into parts."""
+    # A class has one block, where it is linked with the smallest of its part alone: no rounds are needed.
+    parts = links.select(F.col("high").alias("set_key"), F.col("low").alias("part"))
+    now = sets.select("set_key", "family", "block", "blocks").join(parts, "set_key", "left")
+    now = materialise(now.withColumn("part", F.coalesce("part", "set_key")).distinct(), "parted")
+    if now.where("blocks > 1").isEmpty():
+        return now, None
 
-    def parts(of: DataFrame) -> DataFrame:
-        """``family`` rows with the part that they are connected to so far."""
-        found = materialise(components(materialise(of, "links")), "parts")
-        return of_parts.join(found, F.col("set_key") == F.col("node"), "left").select("set_key", "family", "block", "blocks", F.coalesce("component", "set_key").alias("part"))
-
-    of_parts = materialise(large.select("set_key", "family", "block", "blocks"), "large")
-    now = materialise(parts(links), "parted")
-    # One class of each part of a block stands for it.
-    heads = now.groupBy("family", "block", "part").agg(F.min("set_key").alias("set_key")).select("family", "set_key")
+    # That smallest class of each part of a block stands for it, in one group.
+    heads = now.where("blocks > 1 AND set_key = part").select("family", "set_key")
     many = materialise(heads.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n")), "heads")
     heads = heads.join(many, "family").select("set_key", F.xxhash64("family", F.pmod(F.xxhash64("set_key"), "n")).alias("g"))
-    data = large.select("set_key", "size", "sig", "shingles")
-    links = materialise(links.unionByName(within(data.join(heads, "set_key"), threshold)), "links")
-
-    now = materialise(parts(links), "parted")
-    counts = now.groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
+    data = sets.where("blocks > 1").select("set_key", "size", "sig", "shingles")
+    tops = materialise(within(data.join(heads, "set_key"), threshold), "tops").select(F.col("high").alias("part"), F.col("low").alias("top"))
+    now = now.join(tops, "part", "left").select("set_key", "family", "block", "blocks", F.coalesce("top", "part").alias("part"))
+    now = materialise(now, "parted")
+    counts = now.where("blocks > 1").groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
     split = counts.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max("n").alias("most")).where("parts > 1")
     split = materialise(split.select("family", "top", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("guests")), "split")
     if split.isEmpty():
-        return links
+        return now, None
     rows = now.join(split, "family")
     own = F.pmod(F.xxhash64("set_key"), "guests").cast("int")
     guests = rows.where("part != top").withColumn("at", own).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("guest", F.lit(True))
     hosts = rows.withColumn("at", F.explode(F.expr("sequence(0, guests - 1)"))).withColumn("guest", F.lit(False))
     meet = guests.unionByName(hosts, allowMissingColumns=True).select("set_key", "part", "guest", F.xxhash64("family", "at", "block").alias("g"))
-    return links.unionByName(within(data.join(meet, "set_key"), threshold)).distinct()
+    return now, within(data.join(meet, "set_key"), threshold).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(``node``, ``component``) of every linked node: the smallest node that it reaches."""
-    edges, before = materialise(links.select(F.col("high").alias("u"), F.col("low").alias("v")).where("u != v").distinct(), "edges"), None
+    """(``node``, ``component``) of every linked node: the smallest node that it reaches, itself included."""
+    edges = links.select(F.col("high").alias("u"), F.col("low").alias("v")).where("u != v")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # The aggregates are stored, so that the joins deal the edges out anew and can split a node of many.
-        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+        ends, seen = both.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most")), Observation()
+        # All are stars around their smallest nodes once none with a smaller neighbour has a second one.
+        ends = ends.observe(seen, F.count_if((F.col("least") < F.col("u")) & (F.col("least") != F.col("most"))).alias("loose"))
+        least = materialise(ends.select("u", F.least("least", "u").alias("m")), "least")
+        if not seen.get["loose"]:
+            return least.toDF("node", "component")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u")
         small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        seen = Observation()
-        edges = materialise(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
-        now = tuple(seen.get[k] for k in ("n", "sum"))
-        if now == before or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = now
+        edges = materialise(small, "edges")
