@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spillway.llm.catalog import TOKENIZERS
-from spillway.llm.common import table
+from spillway.llm.common import sieve, table
 from spillway.llm.decontaminate import decontaminate
 from spillway.llm.exact_dedup import drop_copies
 from spillway.llm.language import UNDETERMINED, identify, train_on
@@ -43,6 +43,13 @@ def with_key(docs: DataFrame) -> tuple[DataFrame, list[Column], str]:
     return rows.withColumn("key", row_key(F.col(f"c{k}"), F.col(text), docs.dtypes[k][1])), back, text
 
 
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` whose key is not among those of ``gone``. Whole rows move only where a sieve lets their key pass."""
+    gone = materialise(gone.select("key"), "gone")
+    rows = rows.withColumn("may", sieve(gone, "key")(F.col("key")))
+    return rows.where("NOT may").unionByName(rows.where("may").join(gone, "key", "left_anti"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a learnt language; the model learns from the labelled ones among them.
 
@@ -70,8 +77,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     An empty table stays empty. All columns are kept, whatever their names.
     """
     rows, back, text = with_key(docs)
-    gone = near_dedup(rows, id_col="key", text_col=text, size=5, threshold=80).where("NOT kept").select("key")
-    return rows.join(gone, "key", "left_anti").select(*back)
+    gone = near_dedup(rows, id_col="key", text_col=text, size=5, threshold=80).where("NOT kept")
+    return without(rows, gone).select(*back)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,8 +88,8 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text stay or go together. An empty table stays empty. All columns are kept, whatever their names.
     """
     rows, back, text = with_key(docs)
-    gone = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="key", text_col=text).where("contaminated").select("key")
-    return rows.join(gone, "key", "left_anti").select(*back)
+    gone = decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="key", text_col=text).where("contaminated")
+    return without(rows, gone).select(*back)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,14 +72,17 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of each group of equal texts, one with the largest id; columns as they came.
 
     Null texts count as empty; of rows that agree in id too, any one stays. An empty table stays empty.
-    Whole rows are stored once, sorted by hash within each task, and every slice of the hash space
-    reads its own; rows that cannot have a copy do not shuffle.
+    Hashes are stored alone, and whole rows once, as they are marked. Only where the hash space has several slices they
+    are stored before as well, sorted by hash within each task, and every slice reads its own; rows that cannot have a copy do not shuffle.
     """
-    told = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = materialise(_with_hash(told).sortWithinPartitions("h"), "rows")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    hashes = materialise(_with_hash(rows.select("text")).select("h"), "hashes")
     parts = []
-    for lo, hi, shards, first, bits in repeated_filters(rows, filter_mb):
-        parts.append(materialise(_mark_whole(rows, lo, hi, shards, first, bits), "marked"))
+    for lo, hi, shards, first, bits in repeated_filters(hashes, filter_mb):
+        if not parts and hi < shards.first_hash(shards.count):
+            rows = materialise(_with_hash(rows).sortWithinPartitions("h"), "rows")
+        own = rows if "text" in rows.columns else rows.where((F.col("h") >= lo) & (F.col("h") < hi))
+        parts.append(materialise(_mark_whole(own, shards, bits), "marked"))
         bits.destroy()
     marked = reduce(DataFrame.unionByName, parts)
     alone = marked.where(~F.col("maybe")).select("kept.*")
@@ -88,8 +91,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _digests(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """SHA-256 of the normalised texts, and their first 56 bits."""
     digests = [hashlib.sha256((t or b"").translate(LOWER)).digest() for t in utf8(texts)]
-    return pa.array(digests, pa.binary()), np.array([d[:8] for d in digests], "S8").view(">i8").astype(np.int64) if digests else np.empty(0, np.int64)
+    h = np.frombuffer(b"".join(d[:8] for d in digests), ">u8").astype(np.uint64) >> np.uint64(8)
+    return pa.array(digests, pa.binary()), h.view(np.int64)
 
 
 def hashed(df: DataFrame) -> DataFrame:
@@ -105,17 +110,16 @@ def hashed(df: DataFrame) -> DataFrame:
     return out.withColumn("row", F.monotonically_increasing_id()).sortWithinPartitions("h")
 
 
-def _with_hash(told: DataFrame) -> DataFrame:
-    """Rows ``kept`` with their id, digest and the hash of it."""
+def _with_hash(rows: DataFrame) -> DataFrame:
+    """``rows`` with digest and hash of the text in its place."""
+    kept = [f for f in rows.schema if f.name != "text"]
 
     def run(batches):
         for b in batches:
             sha, h = _digests(b.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("kept"), b.column("id"), sha, pa.array((h.view(np.uint64) >> np.uint64(8)).view(np.int64))], ["kept", "id", "sha", "h"]
-            )
+            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), sha, pa.array(h)], [*(f.name for f in kept), "sha", "h"])
 
-    return arrow_map(told, run, T.StructType([told.schema["kept"], told.schema["id"], SHA, T.StructField("h", T.LongType())]))
+    return arrow_map(rows, run, T.StructType([*kept, SHA, T.StructField("h", T.LongType())]))
 
 
 class Shards:
@@ -203,13 +207,12 @@ def mark(rows: DataFrame, lo: int, hi: int, shards: Shards, first: int, bits: Br
     return arrow_map(part.select("id", "row", "sha", "h"), run, f"id {kind}, row long, sha binary, maybe boolean")
 
 
-def _mark_whole(rows: DataFrame, lo: int, hi: int, shards: Shards, first: int, bits: Broadcast) -> DataFrame:
-    """Pass two over the whole rows of a slice."""
+def _mark_whole(rows: DataFrame, shards: Shards, bits: Broadcast) -> DataFrame:
+    """Pass two over whole rows: those of a slice with their hashes, or all with their texts."""
 
     def run(batches):
         for b in batches:
-            maybe = pa.array(_test(b.column("h").to_numpy(), shards, bits.value))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], maybe], ["kept", "id", "sha", "maybe"])
+            sha, h = _digests(b.column("text")) if "text" in b.schema.names else (b.column("sha"), b.column("h").to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column("kept"), b.column("id"), sha, pa.array(_test(h, shards, bits.value))], ["kept", "id", "sha", "maybe"])
 
-    part = rows.where((F.col("h") >= lo) & (F.col("h") < hi)).select("kept", "id", "sha", "h")
-    return arrow_map(part, run, T.StructType([rows.schema["kept"], rows.schema["id"], SHA, T.StructField("maybe", T.BooleanType())]))
+    return arrow_map(rows, run, T.StructType([rows.schema["kept"], rows.schema["id"], SHA, T.StructField("maybe", T.BooleanType())]))

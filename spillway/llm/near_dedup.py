@@ -8,7 +8,7 @@
    posterior of the similarity after m of n matches is Beta(m + 1, n - m + 1); a pair
    goes once its chance to reach the threshold is below ``MISS``. Only signatures travel here. What the
    survivors connect is a *family*; a bucket of more than ``BLOCK`` classes is one as it is.
-4. Full sets are made for families of several classes alone and move once, to a block of their family (``BLOCK`` classes
+4. Full sets are made for families of several classes alone (texts of others do not move, but for a few in 100) and move once, to a block of their family (``BLOCK`` classes
    or ``BYTES`` of sets at most). Surviving pairs of a block are verified exactly, most similar
    first; pairs that are already connected need no check.
 5. In a family of several blocks, one class of each connected part meets those of the other blocks. Only if it still
@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from spillway.llm.common import arrow_map, utf8
+from spillway.llm.common import arrow_map, sieve, utf8
 from spillway.session import materialise
 
 HASHES = 224
@@ -126,8 +126,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     families = families_of(classes, threshold)
     # A text is found by its class's id and told from others of that id by the key of its set.
-    wanted = families.join(classes.select("set_key", "class_id", "size", "sig"), "set_key")
-    texts = own.withColumnRenamed("id", "class_id").join(wanted, "class_id").dropDuplicates(["class_id", "set_key", "text"])
+    wanted = materialise(families.join(classes.select("set_key", "class_id", "size", "sig"), "set_key"), "wanted")
+    texts = own.where(sieve(wanted, "class_id")(F.col("id"))).withColumnRenamed("id", "class_id").join(wanted, "class_id").dropDuplicates(["class_id", "set_key", "text"])
     sets = materialise(sets_of(texts, size), "sets")
     links = within(sets.withColumn("g", F.xxhash64("family", "block")), threshold)
     found, more = across(sets, materialise(links, "links"), threshold)
