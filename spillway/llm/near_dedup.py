@@ -124,9 +124,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = with_sets.groupBy("set_key").agg(F.min("id").alias("class_id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes = materialise(classes, "classes")
 
-    families = families_of(classes, threshold)
+    families = materialise(families_of(classes, threshold), "families")
     # A text is found by its class's id and told from others of that id by the key of its set.
-    wanted = materialise(families.join(classes.select("set_key", "class_id", "size", "sig"), "set_key"), "wanted")
+    wanted = classes.where(sieve(families, "set_key")(F.col("set_key"))).select("set_key", "class_id", "size", "sig")
+    wanted = materialise(families.join(wanted, "set_key"), "wanted")
     texts = own.where(sieve(wanted, "class_id")(F.col("id"))).withColumnRenamed("id", "class_id").join(wanted, "class_id").dropDuplicates(["class_id", "set_key", "text"])
     sets = materialise(sets_of(texts, size), "sets")
     links = within(sets.withColumn("g", F.xxhash64("family", "block")), threshold)
@@ -160,18 +161,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def families_of(classes: DataFrame, threshold: int) -> DataFrame:
     """(``set_key``, ``family``, ``block``, ``blocks``) of the classes that signatures connect with another."""
-    # Here all bands of all classes move, twice, so a class goes by a number. Classes of one number only meet too often.
+    # Here all bands of all classes move, so a class goes by a number; only those of the buckets that count move again. Classes of one number only meet too often.
     named = classes.select(F.xxhash64("set_key").alias("class"), "set_key", "size", "sig")
     members = classes.select(F.xxhash64("set_key").alias("class"), F.posexplode("bands").alias("band", "bucket"))
     who = F.bit_xor("class").alias("who")
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), who, F.min("band").alias("band")).where("n > 1")
     buckets = materialise(buckets.groupBy("n", "who").agg(F.min_by("bucket", "band").alias("bucket")), "buckets")
-    members = materialise(members.select("class", "bucket").join(buckets.select("bucket", "n"), "bucket"), "members")
+    members = members.select("class", "bucket").where(sieve(buckets, "bucket")(F.col("bucket")))
+    members = materialise(members.join(buckets.select("bucket", "n"), "bucket"), "members")
 
     crowds = members.where(F.col("n") > BLOCK).join(named.select("class", "set_key"), "class")
     firsts = materialise(crowds.groupBy("bucket").agg(F.min("set_key").alias("first")), "firsts")
     large = crowds.join(firsts, "bucket").where("first != set_key").select(F.col("first").alias("low"), F.col("set_key").alias("high"))
-    small = members.where(F.col("n") <= BLOCK).select("class", F.col("bucket").alias("g")).join(named, "class").drop("class")
+    small = members.where(F.col("n") <= BLOCK).select("class", F.col("bucket").alias("g")).join(named.where(sieve(members, "class")(F.col("class"))), "class").drop("class")
     edges = within(small, threshold).unionByName(large).distinct()
     found = components(materialise(edges, "candidates")).toDF("set_key", "family")
     sizes = found.join(classes.select("set_key", "size"), "set_key").groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))

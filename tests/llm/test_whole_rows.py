@@ -50,10 +50,11 @@ def test_rows_that_stay_do_not_move(spark):
         assert sum(r.at == r.now for r in got) > 0.9 * len(got)
 
 
-def test_texts_of_no_family_do_not_move(spark, monkeypatch):
-    passed = []
-    monkeypatch.setattr(N, "sieve", lambda keys, key: (lambda test: passed.append(test) or test)(common.sieve(keys, key)))
+def test_only_what_may_be_linked_moves(spark, monkeypatch):
+    tests = {}
+    monkeypatch.setattr(N, "sieve", lambda keys, key: tests.setdefault(key, common.sieve(keys, key)))
     docs = table_of(spark, [(k, " ".join(f"w{k // 2 if k < 20 else k}_{i}" for i in range(40)) + f" {k}") for k in range(400)])
     got = N.near_dedup(docs).where("NOT kept").collect()
     assert sorted(r.doc_id for r in got) == list(range(1, 20, 2))
-    assert 20 <= docs.where(passed[0](F.col("doc_id"))).count() < 40
+    assert sorted(tests) == ["bucket", "class", "class_id", "set_key"]  # bands, signatures and texts
+    assert 20 <= docs.where(tests["class_id"](F.col("doc_id"))).count() < 40
