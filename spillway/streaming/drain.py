@@ -29,13 +29,39 @@ def epoch_sink(path: str) -> Sink:
     return send
 
 
-def read_epochs(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """What ``epoch_sink`` has committed: every batch once, as it is named by trigger and ``batch_id``."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+def _numbered(spark: SparkSession, path: str, marker: str = "") -> set[int]:
+    """The numbers among a folder's names, of those that hold ``marker`` where it is given; none if there is no folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    where = hadoop(path)
     files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [str(f.getPath().toString()) for f in files.listStatus(where)] if files.exists(where) else []
-    done = [f for f in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{f}/_SUCCESS"))]
-    return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
+    names = [str(f.getPath().getName()) for f in files.listStatus(where)] if files.exists(where) else []
+    return {int(n) for n in names if n.isdigit() and (not marker or files.exists(hadoop(f"{path}/{n}/{marker}")))}
+
+
+def read_epochs(spark: SparkSession, path: str, schema: StructType | str, checkpoint: str | None = None) -> DataFrame:
+    """What ``epoch_sink`` has committed: every batch once, as it is named by trigger and ``batch_id``.
+
+    With the ``checkpoint`` of the drain that is all it sent, or an error: the drain has ended its last trigger, and the
+    folder holds every trigger of it and no other. Without, it is what was sent so far, and only the last trigger may
+    be lacking: they come one after the other from 0, so one below a committed one has been lost.
+    """
+    done = _numbered(spark, path, "_SUCCESS")
+    if checkpoint is None:
+        due = set(range(max(done, default=-1) + 1))
+    else:
+        # A trigger is noted in ``offsets`` before it runs and in ``commits`` after; old notes are deleted, the last one stays.
+        begun, ended = (max(_numbered(spark, f"{checkpoint}/{log}"), default=-1) for log in ("offsets", "commits"))
+        started = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+        if not started.getFileSystem(spark._jsc.hadoopConfiguration()).exists(started):
+            raise RuntimeError(f"no drain has used the checkpoint {checkpoint}")
+        if begun != ended:
+            raise RuntimeError(f"the drain of the checkpoint {checkpoint} broke off in trigger {begun}")
+        due = set(range(begun + 1))
+        if done - due:
+            raise RuntimeError(f"{path} holds triggers {sorted(done - due)}, which the checkpoint {checkpoint} doesn't know")
+    if due - done:
+        raise RuntimeError(f"{path} lacks triggers {sorted(due - done)}, which were sent")
+    return spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in sorted(done)]) if done else spark.createDataFrame([], schema)
 
 
 def drain(
